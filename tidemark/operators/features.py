@@ -126,7 +126,12 @@ def disruption_features(df: DataFrame, shares: Mapping[str, float] = fixed.DISTR
 
 
 def model_features(
-    df: DataFrame, value: str, keys: Sequence[str] = KEYS, d: str = D, variant: str = "report"
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str] = KEYS,
+    d: str = D,
+    variant: str = "report",
+    shares: Mapping[str, float] = fixed.DISTRICT_WEIGHTS,
 ) -> DataFrame:
     """The full feature table for model fits.
 
@@ -136,7 +141,7 @@ def model_features(
     search = variant == "search"
     df = weather_aggregates(df)
     if "Market_Risk" in df.columns and not search:
-        df = disruption_features(df)
+        df = disruption_features(df, shares)
     df = lags(df, value, fixed.MODEL_LAGS, "lag", keys, d)
     specs = {f"roll_mean{w}": (w, "mean") for w in ((7, 14, 21, 30) if search else (7, 14, 21))}
     specs.update({f"roll_std{w}": (w, "std") for w in ((7, 14) if search else (7, 14, 21))})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import product
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed
@@ -83,10 +83,20 @@ def quality_report(df: DataFrame, d: str = D) -> DataFrame:
     return out.where((F.col("item") != "nulls") | (F.col("value") != "0"))
 
 
+def pearson(a: str, b: str) -> Column:
+    """Correlation over the rows where both are present; NULL where one of them is constant.
+
+    The built-in aggregate divides by zero there.
+    """
+    x, y = F.col(a), F.col(b)
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataFrame:
     """Pearson correlation of every pair over the rows where both are present, long form."""
     pairs = list(product(cols, cols))
-    one = df.agg(*[F.corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[pearson(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
 
     def cell(i: int):
         c = F.col(f"_c{i}")
@@ -101,7 +111,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> D
 def autocorr(df: DataFrame, value: str, k: int = 1, keys: Sequence[str] = KEYS, d: str = D) -> DataFrame:
     """Correlation of a series with itself ``k`` rows back."""
     lagged = df.withColumn("_lag", F.lag(value, k).over(by_day(keys, d)))
-    return lagged.groupBy(*keys).agg(F.corr("_lag", value).alias(f"autocorr_lag{k}"))
+    return lagged.groupBy(*keys).agg(pearson("_lag", value).alias(f"autocorr_lag{k}"))
 
 
 def season_ttest(

@@ -84,7 +84,7 @@ def _strip_tags(fragment: Column, glue: str = "") -> Column:
 
 def _cells(row: Column, tags: str) -> Column:
     found = F.regexp_extract_all(row, F.lit(rf"(?is)<(?:{tags})\b[^>]*>(.*?)</(?:{tags})>"), F.lit(1))
-    return F.transform(found, _strip_tags)
+    return F.transform(found, lambda cell: _strip_tags(cell))
 
 
 def explode_html_table(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
