@@ -22,7 +22,11 @@ def local_session(cpus: int | str = "*", app: str = "tidemark", **extra: str) ->
     cores = str(cpus)
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     partitions = cores if cores.isdigit() else "8"
-    local = {"spark.sql.shuffle.partitions": partitions, "spark.driver.memory": "12g"}
+    local = {
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        "spark.driver.memory": "12g",
+    }
     for key, value in {**SETTINGS, **local, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

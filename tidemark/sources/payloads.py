@@ -74,12 +74,15 @@ def explode_rss(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def _strip_tags(fragment: Column, glue: str = "") -> Column:
-    """Text nodes of a fragment, each trimmed, empty ones left out, entities decoded."""
-    nodes = F.transform(F.split(fragment, r"<[^>]*>"), lambda x: F.btrim(x, F.lit(_BLANKS)))
-    text = F.array_join(F.filter(nodes, lambda x: x != ""), glue)
+    """Text of a fragment: its text nodes trimmed and joined, entities decoded.
+
+    Blanks next to tags go together with the tags, which trims every node at once.
+    """
+    text = F.btrim(F.regexp_replace(fragment, r"\s*(?:<[^>]*>\s*)+", glue), F.lit(_BLANKS))
+    decoded = text
     for entity, char in _ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(fragment.contains("&"), decoded).otherwise(text)
 
 
 def _cells(row: Column, tags: str) -> Column:
@@ -96,14 +99,16 @@ def explode_html_table(df: DataFrame, col: str, keep: Sequence[str] = ()) -> Dat
     table = F.regexp_extract(F.col(col), r"(?is)<table\b[^>]*>(.*?)</table>", 1)
     lines = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
     header = F.transform(_cells(F.get(F.col("_lines"), F.lit(0)), "th|td"), F.lower)
-    return (
-        df.select(*keep, lines.alias("_lines"))
-        .where(F.size("_lines") > 0)
-        .select(*keep, header.alias("header"), F.posexplode("_lines").alias("row_no", "_line"))
-        .where(F.col("row_no") > 0)
-        .select(*keep, "header", "row_no", _cells(F.col("_line"), "td").alias("cells"))
-        .where(F.size("cells") > 0)
+    body = F.transform(
+        "_lines", lambda line, i: F.struct(i.alias("row_no"), F.when(i > 0, _cells(line, "td")).alias("cells"))
     )
+    # Rows are sifted inside the array: a filter after the explode would be pushed below
+    # the projection and parse everything once more.
+    body = F.filter(body, lambda r: F.size(r["cells"]) > 0)
+    # The header gets a projection of its own: next to a generator it would be
+    # evaluated once per generated row.
+    found = df.select(*keep, lines.alias("_lines")).select(*keep, "_lines", header.alias("header"))
+    return found.select(*keep, "header", F.inline(body).alias("row_no", "cells"))
 
 
 def _positions(header: Column, words: Sequence[str]) -> Column:
@@ -125,22 +130,12 @@ def dated_values(
     The date stands under the **first** date-like header, the value under the
     **last** value-like one. Rows too short or not parseable are left out.
     """
-    header = F.col("header")
-    date_at = F.get(_positions(header, date_words), F.lit(0))
-    value_at = F.element_at(_positions(header, value_words), -1)
-    placed = rows.withColumn("_date_at", date_at).where(F.size(_positions(header, value_words)) > 0)
-    placed = placed.withColumn("_value_at", value_at).where(F.col("_date_at").isNotNull())
-    raw_value = F.replace(F.get("cells", F.col("_value_at")), F.lit(","), F.lit(""))
-    return (
-        placed.where(F.size("cells") > F.greatest("_date_at", "_value_at"))
-        .select(
-            *keep,
-            "row_no",
-            extract_ad_date(F.get("cells", F.col("_date_at"))).alias("d"),
-            to_float(raw_value).alias("value"),
-        )
-        .where(F.col("d").isNotNull() & F.col("value").isNotNull())
-    )
+    dates, values = _positions(F.col("header"), date_words), _positions(F.col("header"), value_words)
+    raw_date = F.get("cells", F.get(dates, F.lit(0)))
+    raw_value = F.replace(F.get("cells", F.get(values, F.size(values) - 1)), F.lit(","), F.lit(""))
+    found = F.struct(extract_ad_date(raw_date).alias("d"), to_float(raw_value).alias("value"))
+    whole = F.filter(F.array(found), lambda r: r["d"].isNotNull() & r["value"].isNotNull())
+    return rows.select(*keep, "row_no", F.inline(whole).alias("d", "value"))
 
 
 def scraped_rows(df: DataFrame, col: str, scrape_date: str, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
