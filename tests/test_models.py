@@ -78,6 +78,16 @@ def test_importances(spark, matrix, table):
     assert [r["importance"] for r in rows] == sorted((r["importance"] for r in rows), reverse=True)
 
 
+def test_short_catalogue_leaves_out_the_long_lag(table):
+    from tidemark import fixed
+
+    short = feature_list(table, catalogue=fixed.FEATURE_GROUPS_SHORT)
+    assert "lag28" in table.columns and "lag28" not in short and "lag28" in feature_list(table)
+    own = modelling.model_matrix(table, ["lag1"]).count()
+    shared = modelling.model_matrix(table, ["lag1"], complete="all").count()
+    assert own - shared == 2 * 27
+
+
 def test_ablation_and_horizons(table):
     gaps = evaluate.overfit_gap(modelling.ablation(table, ("BASE", "FULL MODEL"), ("Ridge",)))
     r2 = {r["exp"]: r["test_r2"] for r in gaps.collect()}

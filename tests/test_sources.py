@@ -19,6 +19,12 @@ def test_csv_roundtrip_with_bad_cells_and_bytes(spark, tmp_path):
     assert got == [(day("2024-01-01"), "रू", 1.5), (day("2024-01-02"), "a�", None)]
 
 
+def test_nan_is_missing_on_input(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("a,b\nNaN,1\n2.5,NaN\n")
+    got = [tuple(r) for r in tables.read_table(spark, str(tmp_path / "n.csv"), "a double, b float").collect()]
+    assert got == [(None, 1.0), (2.5, None)]
+
+
 def test_missing_path_gives_an_empty_table_unless_required(spark, tmp_path):
     schema = "a int, b string"
     empty = tables.read_table(spark, str(tmp_path / "nope"), schema)

@@ -121,6 +121,22 @@ FEATURE_GROUPS = {
     ),
     "Interaction": ("mom7_x_monsoon", "mom7_x_festival"),
 }
+# The shorter study knows fewer columns per group; lag28 is computed there but not used.
+FEATURE_GROUPS_SHORT = {
+    "Macro": ("Supply_Volume", "USD_TO_NPR", "Diesel", "Inflation"),
+    "Weather": ("Temp_mean", "Temp_std", "Rainfall_mean", "Rainfall_max"),
+    "KG Risk": ("Market_Risk",),
+    "Lag": ("lag1", "lag2", "lag3", "lag5", "lag7", "lag14", "lag21"),
+    "Rolling": ("roll_mean7", "roll_mean14", "roll_mean21", "roll_std7", "roll_std14"),
+    "Momentum": (
+        "momentum7", "momentum14", "momentum21", "accel", "zscore14", "price_range7", "volatility7",
+    ),
+    "Temporal": (
+        "month_sin", "month_cos", "month_progress", "is_monsoon", "is_dashain_tihar",
+        "day_of_week", "is_weekend", "weeks_to_dashain",
+    ),
+    "Interaction": ("mom7_x_monsoon", "mom7_x_festival"),
+}
 EXPERIMENTS = {
     "BASE": ("Macro", "Weather", "KG Risk"),
     "BASE + LAG": ("Macro", "Weather", "KG Risk", "Lag"),
@@ -162,6 +178,7 @@ BOOSTING_SPARSE = {
     "maxIter": 500, "stepSize": 0.01, "maxDepth": 2, "minInstancesPerNode": 20,
     "subsamplingRate": 0.6, "featureSubsetStrategy": "0.6",
 }
+BOOSTING_SERVICE = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8}
 SEARCH_GRID = {
     "numTrees": (200, 300, 400, 500),
     "maxDepth": (3, 4, 5, 6),

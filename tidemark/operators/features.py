@@ -158,7 +158,12 @@ def model_features(
     return interactions(df, f"{prefix}7", harvest=search)
 
 
-def feature_list(df: DataFrame, experiment: str = "FULL MODEL", without: Sequence[str] = ()) -> list[str]:
+def feature_list(
+    df: DataFrame,
+    experiment: str = "FULL MODEL",
+    without: Sequence[str] = (),
+    catalogue: Mapping[str, Sequence[str]] = fixed.FEATURE_GROUPS,
+) -> list[str]:
     """Features of an experiment that exist in ``df``, leaving out whole groups on request."""
     groups = [g for g in fixed.EXPERIMENTS[experiment] if g not in without]
-    return [f for g in groups for f in fixed.FEATURE_GROUPS[g] if f in df.columns]
+    return [f for g in groups for f in catalogue[g] if f in df.columns]

@@ -100,6 +100,13 @@ def _(spark, sf):
     return _orders(spark, sf, "o_orderkey", text.alias("t")).select("o_orderkey", dates.extract_ad_date(F.col("t")).alias("d"))
 
 
+@query("market_day", "SELECT event_id, CAST(ts + INTERVAL 345 MINUTE AS DATE) AS d FROM events")
+def _(spark, sf):
+    events = roles.table(spark, sf, "events")
+    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    return events.select("event_id", dates.local_today(F.to_utc_timestamp(instant, F.current_timezone())).alias("d"))
+
+
 # --- sheets ------------------------------------------------------------------
 @query("discover_columns", "SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice AS usd_sell FROM orders", "usd_sell")
 def _(spark, sf):

@@ -6,8 +6,12 @@ the full ones. The rows are always the whole feature table.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import fixed
 from tidemark.operators import evaluate, features
 from tidemark.plans import dataset, modelling, roles
 from tidemark.plans.catalog.daily import model_table
@@ -19,6 +23,7 @@ SMALL = {
     "RandomForest": {"numTrees": 20},
     "GradientBoosting": {"maxIter": 10, "stepSize": 0.1},
     "XGBoost": {"maxIter": 10, "stepSize": 0.1},
+    modelling.SERVICE: {"maxIter": 5, "stepSize": 0.2},
 }
 
 
@@ -35,6 +40,7 @@ _fit_query("fit_ridge", "Ridge")
 _fit_query("fit_rf", "RandomForest")
 _fit_query("fit_gbt", "GradientBoosting")
 _fit_query("fit_gbt_sparse", "XGBoost")
+_fit_query("fit_gbt_service", modelling.SERVICE)
 
 
 @query("ablation")
@@ -43,6 +49,19 @@ def _(spark, sf):
     return evaluate.overfit_gap(modelling.ablation(df, models=("Ridge", "RandomForest"), params=SMALL))
 
 
+@query("ablation_short_study")
+def _(spark, sf):
+    """The shorter study: fewer columns, one set of rows for all experiments, scores of logarithms."""
+    base = dataset.model_base(roles.base_table(spark, sf), "model_all")
+    df = settle(features.model_features(base, PRICE, shares=roles.RISK_WEIGHTS).drop("roll_std21"))
+    frames = []
+    for exp in fixed.EXPERIMENTS:
+        names = features.feature_list(df, exp, catalogue=fixed.FEATURE_GROUPS_SHORT)
+        matrix = settle(modelling.model_matrix(df, names, complete="all"))
+        frames.append(modelling.fit_predict(matrix, "Ridge", names, exp)[0])
+    return evaluate.summary(evaluate.overfit_gap(reduce(DataFrame.unionByName, frames), space="log"))
+
+
 @query("horizon_table")
 def _(spark, sf):
     df = settle(model_table(spark, sf))

@@ -12,6 +12,7 @@ from tidemark.plans.catalog import sql as S
 from tidemark.plans.catalog.daily import filled, model_table
 from tidemark.plans.catalog.registry import query
 from tidemark.plans.dataset import PRICE, clean_weather
+from tidemark.session import settle
 
 _MONTH = "CAST(month(d) AS INTEGER) AS month"
 
@@ -183,6 +184,6 @@ _DRIFT = ["Average_Price", "Supply_Volume", "USD_TO_NPR"]
     f"SELECT '{c}' AS feature, sum((c - r) * ln(c / r)) AS psi, sum((c - r) * ln(c / r)) > 0.2 AS drift FROM s{i}" for i, c in enumerate(_DRIFT)
 ), "psi")
 def _(spark, sf):
-    table = roles.base_table(spark, sf).select("d", *_DRIFT)
+    table = settle(roles.base_table(spark, sf).select("d", *_DRIFT))
     cut = F.lit("1998-07-01").cast("date")
     return drift.psi(table.where(F.col("d") < cut), table.where(F.col("d") >= cut), _DRIFT)

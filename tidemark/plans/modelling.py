@@ -28,6 +28,7 @@ from tidemark.plans.dataset import PRICE
 from tidemark.session import settle
 
 MODELS = ("Ridge", "RandomForest", "GradientBoosting", "XGBoost")
+SERVICE = "ServiceBoosting"
 PARALLEL_FITS = 4
 
 
@@ -39,10 +40,17 @@ def model_matrix(
     share: float = fixed.TRAIN_SHARE,
     keys: Sequence[str] = KEYS,
     d: str = D,
+    complete: str = "features",
 ) -> DataFrame:
-    """Features that exist, log target ``horizon`` rows ahead, complete cases, split in time."""
+    """Features that exist, log target ``horizon`` rows ahead, complete cases, split in time.
+
+    ``complete="all"`` asks for every column of ``df``, not just the features, so that
+    all experiments are fitted on the same rows.
+    """
     present = [f for f in features if f in df.columns]
     led = leads_log(df, value, [horizon], "target_h", keys, d)
+    if complete == "all":
+        led = led.na.drop()
     rows = led.select(*keys, d, *present, F.col(f"target_h{horizon}").alias("target")).na.drop()
     return chrono_split(rows.withColumn("horizon", F.lit(horizon)), share, keys, d)
 
@@ -92,12 +100,12 @@ def prediction_rows(
 
 
 def estimator(name: str, params: Mapping | None = None, train: DataFrame | None = None, label: str = "target"):
-    """Pipeline stages after the assembler for one of :data:`MODELS`.
+    """Pipeline stages after the assembler for one of :data:`MODELS` or :data:`SERVICE`.
 
     Ridge penalises the coefficients of features scaled by their population deviation.
     The library scales by sample deviation and divides the target by its deviation, so
     the penalty is converted; that takes the row count and spread of the target.
-    Both boosting variants map to the one gradient-boosted tree learner; leaf penalties
+    All boosting variants map to the one gradient-boosted tree learner; leaf penalties
     have no counterpart in it.
     """
     params = dict(params or {})
@@ -115,8 +123,8 @@ def estimator(name: str, params: Mapping | None = None, train: DataFrame | None
     common = {"featuresCol": "features", "labelCol": label, "predictionCol": "y_pred", "seed": fixed.SEED}
     if name == "RandomForest":
         return [RandomForestRegressor(**common, **{**fixed.FOREST, **params})]
-    base = fixed.BOOSTING if name == "GradientBoosting" else fixed.BOOSTING_SPARSE
-    return [GBTRegressor(**common, **{**base, **params})]
+    boosting = {"GradientBoosting": fixed.BOOSTING, "XGBoost": fixed.BOOSTING_SPARSE, SERVICE: fixed.BOOSTING_SERVICE}
+    return [GBTRegressor(**common, **{**boosting[name], **params})]
 
 
 def fit(train: DataFrame, name: str, features: Sequence[str], params: Mapping | None = None) -> PipelineModel:

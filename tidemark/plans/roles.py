@@ -71,6 +71,16 @@ def step_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_agg(orders, {"Diesel": ("o_totalprice", "max")}, keys=())
 
 
+def market_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rate and step changes from one scan, one row per day with orders."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("d"),
+        "o_totalprice",
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).alias("urgent"),
+    )
+    return daily_agg(orders, {"USD_TO_NPR": ("o_totalprice", "mean"), "Diesel": ("urgent", "max")}, keys=())
+
+
 def monthly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per month, dated the first."""
     orders = table(spark, sf_dir, "orders")
@@ -118,8 +128,7 @@ def event_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def base_table(spark: SparkSession, sf_dir: str, variant: str = "cloud") -> DataFrame:
     others = [
-        daily_rate(spark, sf_dir),
-        step_changes(spark, sf_dir),
+        market_daily(spark, sf_dir),
         monthly_rate(spark, sf_dir),
         clean_weather(stations_wide(spark, sf_dir), variant=variant),
         event_risk(spark, sf_dir),

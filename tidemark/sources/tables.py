@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.numbers import no_nan
+
 
 def read_table(
     spark: SparkSession,
@@ -21,13 +23,16 @@ def read_table(
     """Read with an explicit schema; malformed cells become NULL.
 
     A missing path gives an empty table with the same schema, so later joins keep
-    their columns, unless ``required``. Undecodable bytes turn into U+FFFD.
+    their columns, unless ``required``. Undecodable bytes turn into U+FFFD, and NaN
+    becomes NULL.
     """
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
     try:
-        return reader.format(fmt).load(path)
+        table = reader.format(fmt).load(path)
+        floats = [n for n, t in table.dtypes if t in ("double", "float")]
+        return table.withColumns({n: no_nan(F.col(f"`{n}`")) for n in floats}) if floats else table
     except AnalysisException as err:
         if required or err.getCondition() != "PATH_NOT_FOUND":
             raise
