@@ -154,6 +154,7 @@ def test_new_rows(frame):
     assert keyed == [("a", day("2024-01-03"), 30.0), ("b", day("2022-01-01"), 2.0)]
     assert [r["x"] for r in increments.new_rows(new, old).collect()] == [30.0]
     assert increments.new_rows(new, old.limit(0)).count() == 3
+    assert increments.new_rows(new, old, until="2024-01-02").count() == 0
 
 
 def test_upsert_direction(frame):

@@ -18,7 +18,7 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def psi(
-    ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10, threshold: float = 0.2, accuracy: int = 100_000
+    ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10, threshold: float = 0.2, accuracy: int = 10_000
 ) -> DataFrame:
     """Population stability index of each feature over quantile bins of the reference window.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions import dates, numbers
 from tidemark.operators import series, shaping
-from tidemark.plans import roles
+from tidemark.plans import dataset, roles
 from tidemark.plans.catalog.registry import query
 from tidemark.session import scratch_path
 from tidemark.sources import increments, sheets, tables
@@ -225,6 +225,20 @@ _dedupe_query("dedupe_by_date", "first", "ASC")
 _dedupe_query("dedupe_by_date_last", "last", "DESC")
 
 
+@query("macro_rows", """SELECT d, CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS "Diesel" FROM (
+  SELECT CAST(o_orderdate AS DATE) AS d, o_totalprice, o_orderpriority,
+    row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS rn FROM orders
+  WHERE o_orderpriority <> '3-MEDIUM') WHERE rn = 1""", "Diesel")
+def _(spark, sf):
+    which = F.col("o_orderpriority")
+    raw = _orders(
+        spark, sf, "o_orderkey",
+        F.when(which == "3-MEDIUM", "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+        F.when(which == "5-LOW", "-").otherwise(F.col("o_totalprice").cast("string")).alias("diesel"),
+    )
+    return dataset.macro_rows(raw, "date", "diesel", "Diesel", ["o_orderkey"])
+
+
 @query("common_dates", """SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem
   SEMI JOIN (SELECT DISTINCT o_orderdate::DATE AS od FROM orders WHERE o_orderpriority = '1-URGENT') ON l_shipdate::DATE = od""")
 def _(spark, sf):

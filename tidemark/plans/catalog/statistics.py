@@ -186,4 +186,4 @@ _DRIFT = ["Average_Price", "Supply_Volume", "USD_TO_NPR"]
 def _(spark, sf):
     table = settle(roles.base_table(spark, sf).select("d", *_DRIFT))
     cut = F.lit("1998-07-01").cast("date")
-    return drift.psi(table.where(F.col("d") < cut), table.where(F.col("d") >= cut), _DRIFT)
+    return drift.psi(table.where(F.col("d") < cut), table.where(F.col("d") >= cut), _DRIFT, accuracy=100_000)

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed
-from tidemark.functions.dates import parse_date
-from tidemark.functions.numbers import clean_number, normalize_category
+from tidemark.functions.dates import DATE_FORMATS, parse_date
+from tidemark.functions.numbers import clean_number, normalize_category, to_float
 from tidemark.operators.features import calendar_features, dataset_lags, festival_flag
 from tidemark.operators.fill import fill
 from tidemark.operators.series import D, KEYS, densify, unique_by
 from tidemark.operators.shaping import daily_agg, drop_nonpositive, merge_sources
+from tidemark.sources.increments import dedupe_by
 from tidemark.sources.tables import columns_containing, drop_if_exists
 
 PRICE, SUPPLY = "Average_Price", "Supply_Volume"
@@ -42,6 +43,14 @@ def daily_supply(rows: DataFrame, value: str = SUPPLY, keys: Sequence[str] = KEY
     return daily_agg(rows, {value: (value, "sum0")}, keys, d)
 
 
+def macro_rows(
+    raw: DataFrame, date: str, value: str, name: str, order: Sequence[str], formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
+    """A market-wide source as ``(d, name)``: coerced, dated, the first row of a day by ``order``."""
+    rows = raw.select(parse_date(F.col(date), formats).alias(D), to_float(F.col(value)).alias(name), *order)
+    return dedupe_by(rows.where(F.col(D).isNotNull()), [D], order).select(D, name)
+
+
 def clean_weather(df: DataFrame, d: str = D, variant: str = "cloud") -> DataFrame:
     """Wide daily weather ahead of the merge: temperatures filled, rain 0.
 

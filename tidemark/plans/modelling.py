@@ -26,6 +26,7 @@ from tidemark.operators.features import feature_list
 from tidemark.operators.series import D, KEYS, by_day, chrono_split, leads_log, time_folds
 from tidemark.plans.dataset import PRICE
 from tidemark.session import settle
+from tidemark.sources.increments import dedupe_by
 
 MODELS = ("Ridge", "RandomForest", "GradientBoosting", "XGBoost")
 SERVICE = "ServiceBoosting"
@@ -309,10 +310,7 @@ def forecast(
     """
     features = feature_list(df, exp)
     complete = df.na.drop(subset=features)
-    newest = complete.groupBy(*KEYS).agg(
-        F.max(D).alias(D), F.max_by(F.struct(*features), D).alias("_f")
-    )
-    last = settle(newest.select(*KEYS, D, "_f.*"))
+    last = settle(dedupe_by(complete, KEYS, [D], "last").select(*KEYS, D, *features))
 
     def run(h: int) -> DataFrame:
         matrix = settle(model_matrix(df, features, h, share=1.0))

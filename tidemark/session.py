@@ -54,13 +54,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that many later passes read files.
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write ``df`` to the shared folder once, so that many later passes read files.
 
-    Used before iterative fits: a lost executor then costs one file read, not a
-    recomputation from the raw tables.
+    Used before iterative fits: each pass reads just the columns it needs, and a lost
+    executor costs a file read, not a recomputation from the raw tables.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

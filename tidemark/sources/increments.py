@@ -16,13 +16,16 @@ def new_rows(
     keys: Sequence[str] = (),
     d: str = "d",
     default: str = "2021-12-31",
+    until: str | None = None,
 ) -> DataFrame:
-    """Rows of ``src`` later than the newest one in ``target``.
+    """Rows of ``src`` later than the newest one in ``target`` (and not after ``until``).
 
     Without keys the mark is one scalar for the whole table. With keys it is one mark
     per key, joined back; how large that side is decides the join at run time.
     """
     start = F.lit(default).cast(src.schema[d].dataType)
+    if until is not None:
+        src = src.where(F.col(d) <= F.lit(until).cast(src.schema[d].dataType))
     if not keys:
         mark = target.agg(F.max(d)).scalar()
         return src.where(F.col(d) > F.coalesce(mark, start))
