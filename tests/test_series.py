@@ -169,7 +169,7 @@ def test_time_folds(frame, n, splits, gap):
     df = frame("series_id string, d date", [("a", START + dt.timedelta(i)) for i in range(n)])
     size = n // (splits + 1)
     got = {}
-    for r in series.time_folds(df, splits, gap).collect():
+    for r in series.ts_folds(df, splits, gap).collect():
         got.setdefault((r["fold"], r["role"]), []).append(r["row_no"] - 1)
     for fold in range(1, splits + 1):
         start = n - (splits + 1 - fold) * size

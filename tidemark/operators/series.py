@@ -39,15 +39,14 @@ def densify(df: DataFrame, keys: Sequence[str] = KEYS, d: str = D) -> DataFrame:
     if not keys:
         once = unique_by(df, [d]).withColumn("_all", F.lit(0))
         return densify(once, ["_all"], d).select(d, *values)
-    follower = F.lead(d).over(by_day(keys, d))
+    follower = F.col("_next")
     until = (
         F.when(follower == F.col(d), F.raise_error(F.lit("more than one row for a key and day")).cast("date"))
         .when(follower.isNull(), F.col(d))
         .otherwise(F.date_sub(follower, 1))
     )
-    run = df.withColumn("_until", until)
-    day = F.explode(F.sequence(F.col(d), F.col("_until")))
-    run = run.select(*keys, day.alias("_day"), *([d] + values))
+    run = df.withColumn("_next", F.lead(d).over(by_day(keys, d))).withColumn("_until", until)
+    run = run.select(*keys, d, *values, F.explode(F.sequence(d, "_until")).alias("_day"))
     own = F.col("_day") == F.col(d)
     return run.select(*keys, F.col("_day").alias(d), *[F.when(own, F.col(c)).alias(c) for c in values])
 
@@ -81,24 +80,13 @@ def leads_log(
 ) -> DataFrame:
     """Log of the value ``h`` rows ahead; values not above zero give NULL."""
     w = by_day(keys, d)
-    return df.withColumns({f"{prefix}{h}": ln_or_null(F.lead(value, h).over(w)) for h in hs})
+    led = df.withColumns({f"{prefix}{h}": F.lead(value, h).over(w) for h in hs})
+    return led.withColumns({f"{prefix}{h}": ln_or_null(F.col(f"{prefix}{h}")) for h in hs})
 
 
 _ROLLERS = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min, "sum": F.sum}
 
 
-def rolling_column(
-    value: str, width: int, fn: str, shift: int = 1, keys: Sequence[str] = KEYS, d: str = D
-) -> Column:
-    """Trailing statistic over ``width`` rows ending ``shift`` rows back, NULL unless all are present."""
-    frame = by_day(keys, d).rowsBetween(-(width + shift - 1), -shift)
-    x = F.col(value)
-    full = F.count(x).over(frame) == width
-    if fn == "range":
-        return F.when(full, F.max(x).over(frame) - F.min(x).over(frame))
-    return F.when(full, _ROLLERS[fn](x).over(frame))
-
-
 def rolling(
     df: DataFrame,
     value: str,
@@ -107,8 +95,26 @@ def rolling(
     keys: Sequence[str] = KEYS,
     d: str = D,
 ) -> DataFrame:
-    """Several trailing statistics ``{name: (width, fn)}`` in one window pass."""
-    return df.withColumns({n: rolling_column(value, w, fn, shift, keys, d) for n, (w, fn) in specs.items()})
+    """Trailing statistics ``{name: (width, fn)}`` in one window pass.
+
+    A frame of ``width`` rows ends ``shift`` rows back; the result is NULL unless all of
+    its values are present. ``fn``: mean, std, max, min, sum or range.
+    """
+    x, w = F.col(value), by_day(keys, d)
+    raw: dict[str, Column] = {}
+    out: dict[str, Column] = {}
+    for name, (width, fn) in specs.items():
+        frame = w.rowsBetween(-(width + shift - 1), -shift)
+        raw[f"_n{width}"] = F.count(x).over(frame)
+        if fn == "range":
+            raw[f"_max_{name}"], raw[f"_min_{name}"] = F.max(x).over(frame), F.min(x).over(frame)
+            stat = F.col(f"_max_{name}") - F.col(f"_min_{name}")
+        else:
+            raw[f"_{name}"] = _ROLLERS[fn](x).over(frame)
+            stat = F.col(f"_{name}")
+        out[name] = F.when(F.col(f"_n{width}") == width, stat)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in out]
+    return df.withColumns(raw).select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
 def step_to_daily(
@@ -186,7 +192,7 @@ def chrono_split(
     return placed.withColumn("split", split).drop("row_no", "n_rows")
 
 
-def time_folds(
+def ts_folds(
     df: DataFrame, n_splits: int = 5, gap: int = 0, keys: Sequence[str] = KEYS, d: str = D
 ) -> DataFrame:
     """Expanding-window folds: every row once per fold it takes part in.

@@ -139,7 +139,7 @@ _FOLDS = " UNION ALL ".join(
   count(*) OVER (PARTITION BY series_id) AS n FROM filled)
   SELECT series_id, d, CAST(fold AS INTEGER) AS fold, CAST(row_no AS INTEGER) AS row_no, role FROM ({_FOLDS}) WHERE role IS NOT NULL""")
 def _(spark, sf):
-    return series.time_folds(filled(spark, sf), 5, 7).drop(PRICE)
+    return series.ts_folds(filled(spark, sf), 5, 7).drop(PRICE)
 
 
 _STEP = """steps AS (SELECT o_orderstatus AS series_id, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) AS value

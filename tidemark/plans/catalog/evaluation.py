@@ -100,7 +100,7 @@ _FOLD_ROWS = " UNION ALL ".join(
   UNION ALL SELECT exp, model, horizon, 'Std', stddev_pop(r2), stddev_pop(mae), stddev_pop(mape) FROM w GROUP BY 1, 2, 3""", "r2 mae mape")
 def _(spark, sf):
     rows = pred(spark, sf).where(F.col("horizon") == 7).drop("fold", "split")
-    folds = series.time_folds(rows, 5, 7).where(F.col("role") == "test")
+    folds = series.ts_folds(rows, 5, 7).where(F.col("role") == "test")
     return evaluate.walk_forward_summary(folds)
 
 

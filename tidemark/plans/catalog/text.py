@@ -9,6 +9,7 @@ from tidemark.operators import events
 from tidemark.plans import roles
 from tidemark.plans.catalog.registry import query
 from tidemark.sources import payloads
+from tidemark.sources.increments import dedupe_by
 
 # Words that occur in the given texts, in the places of place and event names.
 PLACES = {"tion": "Tion", "reble": "Reble", "eaux": "Eaux", "rebleed": "Reble"}
@@ -75,6 +76,13 @@ def _(spark, sf):
     return events.district_events(records, ["Tion", "Eaux"])
 
 
+@query("news_dedupe", """SELECT doc_id, text, source FROM documents
+  QUALIFY row_number() OVER (PARTITION BY text, source ORDER BY doc_id) = 1""")
+def _(spark, sf):
+    docs = roles.table(spark, sf, "documents").select("doc_id", "text", "source")
+    return dedupe_by(docs, ["text", "source"], ["doc_id"])
+
+
 _QUERY_WORDS = " OR ".join(f'"{w}"' for w in events.sorted_vocabulary(fixed.EVENT_WORDS))
 _QUERY_PLACES = " OR ".join(f'"{p}"' for p in fixed.PLACE_NAMES)
 

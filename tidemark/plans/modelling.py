@@ -23,7 +23,7 @@ from tidemark import fixed
 from tidemark.functions.rows import ln_or_null
 from tidemark.operators import evaluate
 from tidemark.operators.features import feature_list
-from tidemark.operators.series import D, KEYS, by_day, chrono_split, leads_log, time_folds
+from tidemark.operators.series import D, KEYS, by_day, chrono_split, leads_log, ts_folds
 from tidemark.plans.dataset import PRICE
 from tidemark.session import settle
 from tidemark.sources.increments import dedupe_by
@@ -234,7 +234,7 @@ def walk_forward(
     """Test predictions of one fit per fold."""
     features = feature_list(df)
     matrix = model_matrix(df, features, horizon).drop("split")
-    folds = settle(time_folds(matrix, n_splits, gap))
+    folds = settle(ts_folds(matrix, n_splits, gap))
 
     def run(i: int) -> DataFrame:
         rows = folds.where(F.col("fold") == i).withColumnRenamed("role", "split")
@@ -261,7 +261,7 @@ def grid_search(
     present = [f for f in features if f in df.columns]
     matrix = settle(model_matrix(df, present, horizon))
     train, test = (matrix.where(F.col("split") == s) for s in ("train", "test"))
-    folds = settle(time_folds(train.drop("split"), n_splits))
+    folds = settle(ts_folds(train.drop("split"), n_splits))
     score = RegressionEvaluator(labelCol="target", predictionCol="y_pred", metricName="r2")
     points = [dict(zip(grid, values)) for values in product(*grid.values())]
 

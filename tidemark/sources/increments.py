@@ -89,7 +89,7 @@ def upsert_partitions(
     """
     spark = new.sparkSession
     try:
-        old = spark.read.parquet(target)
+        old = spark.read.schema(new.schema).parquet(target)
     except Exception as err:  # first load
         if getattr(err, "getCondition", lambda: None)() != "PATH_NOT_FOUND":
             raise
