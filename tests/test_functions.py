@@ -138,6 +138,13 @@ def test_student_t_tables(frame):
     assert [r[0] for r in nulls.select(tdist.student_t_cdf(F.col("t"), F.col("v"))).collect()] == [None] * 3
 
 
-def test_local_today(frame):
-    df = frame("t timestamp", [(dt.datetime(2024, 1, 1, 18, 14),), (dt.datetime(2024, 1, 1, 18, 16),)])
-    assert [r[0] for r in df.select(dates.local_today(F.col("t"))).collect()] == [day("2024-01-01"), day("2024-01-02")]
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_local_today_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql("select explode(array(timestamp'2024-01-01 18:14:00Z', timestamp'2024-01-01 18:16:00Z')) t")
+        got = [r[0] for r in df.select(dates.local_today(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [day("2024-01-01"), day("2024-01-02")]

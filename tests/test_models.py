@@ -89,8 +89,9 @@ def test_short_catalogue_leaves_out_the_long_lag(table):
 
 
 def test_ablation_and_horizons(table):
-    gaps = evaluate.overfit_gap(modelling.ablation(table, ("BASE", "FULL MODEL"), ("Ridge",)))
-    r2 = {r["exp"]: r["test_r2"] for r in gaps.collect()}
+    gaps = modelling.ablation_table(table, modelling.ablation(table, ("BASE", "FULL MODEL"), ("Ridge",))).collect()
+    r2 = {r["exp"]: r["test_r2"] for r in gaps}
+    assert {r["exp"]: r["n_features"] for r in gaps} == {e: len(feature_list(table, e)) for e in r2}
     assert r2["FULL MODEL"] > r2["BASE"]
     pred = modelling.horizon_predictions(table, (1, 7), params=TREES)
     out = modelling.horizon_table(pred, modelling.persistence(table, (1, 7))).orderBy("horizon").collect()

@@ -92,5 +92,6 @@ def weeks_to_day_of_year(d: Column, centre: int) -> Column:
 
 
 def local_today(instant: Column, zone: str = fixed.MARKET_ZONE) -> Column:
-    """The calendar day at ``zone`` for a UTC instant; callers pass the result as ``as_of``."""
-    return F.to_date(F.from_utc_timestamp(instant, zone))
+    """The calendar day at ``zone`` for a timestamp; callers pass the result as ``as_of``."""
+    wall = instant.cast("timestamp").cast("timestamp_ntz")
+    return F.to_date(F.convert_timezone(F.current_timezone(), F.lit(zone), wall))

@@ -104,7 +104,7 @@ def _(spark, sf):
 def _(spark, sf):
     events = roles.table(spark, sf, "events")
     instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
-    return events.select("event_id", dates.local_today(F.to_utc_timestamp(instant, F.current_timezone())).alias("d"))
+    return events.select("event_id", dates.local_today(instant).alias("d"))
 
 
 # --- sheets ------------------------------------------------------------------

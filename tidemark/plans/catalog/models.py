@@ -46,7 +46,7 @@ _fit_query("fit_gbt_service", modelling.SERVICE)
 @query("ablation")
 def _(spark, sf):
     df = settle(model_table(spark, sf))
-    return evaluate.overfit_gap(modelling.ablation(df, models=("Ridge", "RandomForest"), params=SMALL))
+    return modelling.ablation_table(df, modelling.ablation(df, models=("Ridge", "RandomForest"), params=SMALL))
 
 
 @query("ablation_short_study")

@@ -172,6 +172,13 @@ def ablation(
     return _union(_in_parallel(run, list(product(experiments, models))))
 
 
+def ablation_table(df: DataFrame, pred: DataFrame, catalogue: Mapping = fixed.FEATURE_GROUPS) -> DataFrame:
+    """Scores, gap and grade of every experiment and model, with the number of features used."""
+    sizes = {exp: len(feature_list(df, exp, catalogue=catalogue)) for exp in fixed.EXPERIMENTS}
+    table = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
+    return evaluate.overfit_gap(pred).withColumn("n_features", F.try_element_at(table, F.col("exp")))
+
+
 def horizon_predictions(
     df: DataFrame,
     horizons: Sequence[int] = fixed.HORIZONS,
