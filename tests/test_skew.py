@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import report, shaping
-from tidemark.plans import modelling  # noqa: F401
 from tidemark.sources import increments, sheets
 
 N = 60_000

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 
-_BLANKS = " \t\n\r\f\u000b "
+_BLANKS = " \t\n\r\f\u000b\u00a0"
 _FLOAT = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 
