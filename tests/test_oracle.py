@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import TESTDATA
 from tests.oracle import compare, connect
 
+UNWANTED = r"PythonEval|BatchEval|ArrowEval|MapInPandas|FlatMapGroups|CartesianProduct|NestedLoopJoin"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
@@ -22,8 +25,11 @@ def test_every_sql_belongs_to_a_query():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
-    ok, note = compare(QUERIES[name](spark, TESTDATA), duck, SQL[name])
+    df = QUERIES[name](spark, TESTDATA)
+    ok, note = compare(df, duck, SQL[name])
     assert ok, note
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(UNWANTED, text), "Python or a cross join in the plan"
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))

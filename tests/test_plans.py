@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import TESTDATA
@@ -14,19 +13,11 @@ from tidemark.plans.dataset import PRICE
 from tidemark.sources import increments
 from tidemark.session import settle, shared_root
 
-LAZY = [n for n in catalog.queries() if n in catalog.oracle_sql() and not n.startswith(("stream_", "scan_"))]
-
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", LAZY)
-def test_no_python_and_no_cartesian_product(spark, name):
-    text = plan(catalog.queries()[name](spark, TESTDATA))
-    assert not re.search(r"PythonEval|BatchEval|ArrowEval|MapInPandas|FlatMapGroups|CartesianProduct|NestedLoopJoin", text)
-
-
 def test_window_stage_of_the_flagship_has_one_exchange(spark):
     text = plan(catalog.queries()["ts_dataset"](spark, TESTDATA))
     assert len(re.findall(r"Exchange hashpartitioning\(series_id#\d+, \d+\)", text)) == 1
