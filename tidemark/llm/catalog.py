@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, packed_ids, packing
 
-MODULES = (exact_dedup,)
+MODULES = (packed_ids, exact_dedup, packing)
 
 
 def queries() -> dict:
