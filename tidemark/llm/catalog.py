@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, packed_ids, packing, secrets
+from tidemark.llm import exact_dedup, packed_ids, packing, quality, secrets
 
-MODULES = (secrets, packed_ids, exact_dedup, packing)
+MODULES = (secrets, packed_ids, quality, exact_dedup, packing)
 
 
 def queries() -> dict:
