@@ -38,6 +38,19 @@ def test_batches_are_encoded_like_single_texts(texts):
         assert ids[begin:end].tolist() == plain_ids(text)
 
 
+def test_kept_words_are_bounded_and_right(monkeypatch):
+    monkeypatch.setattr(token_ids, "KEPT", 50)
+    kept = token_ids.PlainWords(token_ids.vocabulary_path())
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        words = sorted({"".join(rng.choice(list("abé"), rng.integers(1, 5))) for _ in range(20)})
+        ids, sizes = kept.get(pa.array(words, pa.large_string()))
+        ends = np.cumsum(sizes)
+        for word, begin, end in zip(words, ends - sizes, ends):
+            assert ids[begin:end].tolist() == plain_ids(word)[:-1]
+        assert len(kept.words) <= 50 + 20
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(1, 32).flatmap(lambda b: st.tuples(st.just(b), st.lists(st.integers(0, 2**b - 1), max_size=300))))
 def test_bits_round_trip(case):

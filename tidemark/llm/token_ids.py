@@ -27,7 +27,10 @@ VOCABULARY_SIZE = 49_408
 LETTERS = "[a-zß-öø-ÿ]+"
 
 #: Words encoded in one call, which bounds the memory that the tokenizer's own objects take.
-CALL = 2048
+CALL = 512
+
+#: Plain words whose ids a worker keeps.
+KEPT = 1 << 19
 
 #: Bytes of text whose distinct words are held at a time.
 PART_BYTES = 24 << 20
@@ -73,25 +76,62 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[places]
 
 
-def _plain_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words, ids of each): words of ``LETTERS`` alone."""
-    if not len(words):
-        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    plain, separator = load_plain(path)
-    texts = words.to_pylist()
-    ids: list[int] = []
-    for at in range(0, len(texts), CALL):
-        ids += plain.encode(" | ".join(texts[at : at + CALL]), add_special_tokens=False).ids
-        ids.append(separator)
-    flat = np.array(ids, np.uint32)
-    cuts = np.flatnonzero(flat == separator)
-    return np.delete(flat, cuts), np.diff(cuts, prepend=-1) - 1
+class PlainWords:
+    """Ids of plain words, kept from batch to batch in a worker: at most ``KEPT`` words.
+
+    When they are full, those not met since the last time are dropped.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.sizes, self.met = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        plain, separator = load_plain(self.path)
+        texts, ids = words.to_pylist(), []
+        for at in range(0, len(texts), 16 * CALL):
+            joined = [" | ".join(texts[k : k + CALL]) for k in range(at, min(at + 16 * CALL, len(texts)), CALL)]
+            for found in plain.encode_batch_fast(joined, add_special_tokens=False):
+                ids += found.ids
+                ids.append(separator)
+        flat = np.array(ids, np.uint32)
+        cuts = np.flatnonzero(flat == separator)
+        return np.delete(flat, cuts), np.diff(cuts, prepend=-1) - 1
+
+    def _add(self, words: pa.Array) -> None:
+        if len(self.words) + len(words) > KEPT:  # never drops a word that the present batch has
+            begins = np.cumsum(self.sizes) - self.sizes
+            self.ids = gather(self.ids, begins[self.met], self.sizes[self.met])
+            self.words, self.sizes = self.words.filter(pa.array(self.met)), self.sizes[self.met]
+            self.met = np.zeros(len(self.sizes), bool)
+        ids, sizes = self._encoded(words)
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        self.met = np.concatenate([self.met, np.zeros(len(sizes), bool)])
+
+    def get(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after another, ids of each): distinct words of ``LETTERS`` alone."""
+        place = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(place))
+        self.met[place.drop_null().to_numpy()] = True
+        if len(new):
+            self._add(new)
+            place = pc.index_in(words, value_set=self.words)
+        at = place.to_numpy().astype(np.int64)
+        begins = np.cumsum(self.sizes) - self.sizes
+        return gather(self.ids, begins[at], self.sizes[at]), self.sizes[at]
+
+
+@lru_cache(maxsize=1)
+def plain_words(path: str) -> PlainWords:
+    return PlainWords(path)
 
 
 def _other_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     tokenizer, ids, lengths = load(path), [], []
-    for at in range(0, len(words), CALL):
-        for found in tokenizer.encode_batch_fast(words.slice(at, CALL).to_pylist(), add_special_tokens=False):
+    for at in range(0, len(words), 4 * CALL):
+        for found in tokenizer.encode_batch_fast(words.slice(at, 4 * CALL).to_pylist(), add_special_tokens=False):
             ids += (own := found.ids)
             lengths.append(len(own))
     return np.array(ids, np.uint32), np.array(lengths, np.int64)
@@ -103,7 +143,7 @@ def word_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     simple = words.filter(pa.array(plain))
     codes, stems = word_codes(pc.utf8_rtrim(simple, characters=".,"))
     marks = [_other_ids(pa.array([m], pa.large_string()), path) for m in ",."]
-    tables = [_plain_ids(stems, path), _other_ids(words.filter(pa.array(~plain)), path), *marks]
+    tables = [plain_words(path).get(stems), _other_ids(words.filter(pa.array(~plain)), path), *marks]
     flat = np.concatenate([ids for ids, _ in tables])
     sizes = np.concatenate([n for _, n in tables])
     begins = np.cumsum(sizes) - sizes
