@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, packed_ids, packing, quality, secrets
+from tidemark.llm import decontaminate, exact_dedup, packed_ids, packing, quality, secrets, url_lists
 
-MODULES = (secrets, packed_ids, decontaminate, quality, exact_dedup, packing)
+MODULES = (secrets, url_lists, packed_ids, decontaminate, quality, exact_dedup, packing)
 
 
 def queries() -> dict:
