@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, licenses, packed_ids, packing, quality, secrets, url_lists
+from tidemark.llm import decontaminate, exact_dedup, jaccard, licenses, packed_ids, packing, quality, secrets, url_lists
 
-MODULES = (secrets, url_lists, packed_ids, decontaminate, licenses, quality, exact_dedup, packing)
+MODULES = (secrets, url_lists, packed_ids, jaccard, decontaminate, licenses, quality, exact_dedup, packing)
 
 
 def queries() -> dict:
