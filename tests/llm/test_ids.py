@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from tests.llm.conftest import ODD_ROWS
 from tidemark.llm import packed_ids, packing, token_ids
-from tidemark.llm.common import read_table
+from tidemark.llm.common import read_table, texts_of
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -38,6 +38,19 @@ def test_batches_are_encoded_like_single_texts(texts):
         assert ids[begin:end].tolist() == plain_ids(text)
 
 
+def test_slices_of_a_batch_are_encoded_like_the_whole(monkeypatch):
+    texts = [f"Été {k} ß, wörter. AKIA {'x' * (k % 50)}" for k in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    monkeypatch.setattr(token_ids, "PART_BYTES", 1000)
+    at = 0
+    for piece in token_ids.parts_of(batch, 0):
+        ids, offsets = token_ids.encode(texts_of(piece.column(0)), token_ids.vocabulary_path())
+        for begin, end in zip(offsets, offsets[1:]):
+            assert ids[begin:end].tolist() == plain_ids(texts[at])
+            at += 1
+    assert at == 500
+
+
 def test_kept_words_are_bounded_and_right(monkeypatch):
     monkeypatch.setattr(token_ids, "KEPT", 50)
     kept = token_ids.PlainWords(token_ids.vocabulary_path())

@@ -38,9 +38,15 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], s
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """Texts of a batch; NULL becomes the empty text."""
+    """Texts of a batch; NULL becomes the empty text.
+
+    The result begins at the start of its buffers: some string kernels (``ascii_lower``) give
+    wrong bytes for an array that does not.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if column.offset:
+        column = column.take(pa.array(np.arange(len(column))))
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
