@@ -100,6 +100,19 @@ def test_odd_rows_and_empty_tables(spark, docs, store):
     assert rows_of(jaccard.near_groups(docs([(1, None), (2, "")]))) == [(1, 0, 1), (2, 0, 2)]
 
 
+def test_one_of_each_group_stays(docs):
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(100)]
+    rows = [(k, " ".join(edited(base, 2, rng))) for k in range(10, 20)] + [(30, "alone in the world"), (31, None), (32, ""), (32, "")]
+    rows += [(40, "the same text twice"), (40, "the same text twice"), (None, "the same text TWICE"), (None, "without an id"), (None, "without an id")]
+    got = jaccard.drop_near_copies(docs(rows))
+    assert got.columns == docs([]).columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    whole = {c for i, _, c in all_pairs(rows) if i in range(10, 20)}
+    want = [r for r in rows[:10] if r[0] in whole] + rows[10:14] + [(40, "the same text twice"), (None, "without an id")]
+    assert kept == sorted(want, key=str)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 10**6))
 def test_linked_sets_meet_in_a_group(n, less, more, seed):

@@ -372,19 +372,21 @@ def _component_rows(df: DataFrame, id_col: str, text: str, size: int, share: int
     spark, bands = df.sparkSession, Bands(share, share_of)
     # A number for each document by which the texts of chosen ones are found again; equal ones only mean more texts.
     key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text)))
-    texts = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"), key.alias("row_key"), F.col(id_col).alias("doc_id"))
+    texts = df.select(
+        F.coalesce(F.col(text), F.lit("")).alias("text"), key.alias("row_key"), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text)).alias("mark")
+    )
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in (piece for whole in batches for piece in parts_of(whole, 0)):
             sets = Sets(texts_of(piece.column(0)), size)
             sketches = pa.array([sets.sketch(k) if sets.sizes[k] else None for k in range(len(sets.sizes))], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [piece.column(2), piece.column(1), pa.array(sets.sizes), pa.array(sets.names), sketches],
-                names=["doc_id", "row_key", "n", "name", "sketch"],
+                [piece.column(2), piece.column(3), piece.column(1), pa.array(sets.sizes), pa.array(sets.names), sketches],
+                names=["doc_id", "mark", "row_key", "n", "name", "sketch"],
             )
 
     kind = dict(texts.dtypes)["doc_id"]
-    rows = settle(texts.mapInArrow(described, f"doc_id {kind}, row_key long, n long, name long, sketch binary"), "described")
+    rows = settle(texts.mapInArrow(described, f"doc_id {kind}, mark long, row_key long, n long, name long, sketch binary"), "described")
     filled = rows.where("n > 0")
     nodes = settle(filled.groupBy("name").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
 
@@ -411,14 +413,36 @@ def _component_rows(df: DataFrame, id_col: str, text: str, size: int, share: int
     labels = settle(components(settle(links.unionByName(more), "linked")), "labels")
 
     named = rows.join(labels, (F.col("name") == F.col("node")) & (F.col("n") > 0), "left").select(
-        "doc_id", "n", "name", F.when(F.col("n") > 0, F.coalesce("label", "name")).alias("label")
+        "doc_id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("label", "name")).alias("label")
+    )
+    smallest = named.where(F.col("label").isNotNull()).groupBy(F.col("label").alias("of")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark")).alias("first")
     )
-    smallest = named.where(F.col("label").isNotNull()).groupBy(F.col("label").alias("of")).agg(F.min("doc_id").alias("smallest"))
     return named.join(smallest, F.col("label") == F.col("of"), "left").select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "mark", "n", F.when(F.col("n") > 0, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("first.mark").alias("first_mark"),
     )
 
 
+def drop_near_copies(
+    df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = SIZE, share: int = SHARE, share_of: int = SHARE_OF
+) -> DataFrame:
+    """The rows of ``df`` that stay, with their columns: of each component the one with the smallest id.
+
+    Texts without a word all stay. Of rows with the same id, that with the smallest hash of its
+    text; of rows with the same id and text one.
+    """
+    rows = settle(_component_rows(df, id_col, text, size, share, share_of).where("n > 0"), "components")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("first_mark"))
+    gone = rows.where(~first).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__mark"))
+    left = df.join(gone, same, "left_anti")
+    again = rows.where(first).groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).count().where("count > 1").drop("count")
+    if again.isEmpty():
+        return left
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col, text]))
+
+
 def op5_parity_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_table(spark, sf_dir, "documents"))
 
