@@ -172,7 +172,7 @@ def _losses(z: np.ndarray, trusted: np.ndarray, weights: np.ndarray) -> np.ndarr
     return np.concatenate([plus[trusted].sum(axis=0), minus[trusted].sum(axis=0), minus.sum(axis=0)])
 
 
-def fit(rows: DataFrame, prior: float, rounds: int = 12, ridge: float = 1e-4) -> Model:
+def fit(rows: DataFrame, prior: float, rounds: int = 12, ridge: float = 1e-2) -> Model:
     """A model fitted to all ``rows`` (x, trusted); every row counts as unlabelled too."""
     d = len(MEASURES)
     moments = summed(rows, lambda x, t: np.concatenate([[len(x), t.sum()], x.sum(axis=0), (x * x).sum(axis=0)]), 2 + 2 * d)
