@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,18 @@ def local_session(cpus: int | str = "*", app: str = "tidemark", **extra: str) ->
     return builder.getOrCreate()
 
 
+def share_code(spark: SparkSession) -> None:
+    """Lets Python workers import this package where the session was started from another folder.
+
+    The package's folder has to exist on all machines; else install the package or send it with
+    ``--py-files``, and this changes nothing.
+    """
+    home, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if home not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([home, *paths])
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
