@@ -9,13 +9,14 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidemark.plans import catalog  # noqa: E402
-from tidemark.session import local_session  # noqa: E402
+from tidemark.session import clear_scratch, local_session  # noqa: E402
 
 HEADLINE = (
     "ts_dataset base_dataset daily_price daily_supply densify_calendar interpolate_linear rolling_std model_features "
@@ -27,7 +28,8 @@ HEADLINE = (
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"), app="bench")
+    shared = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")
+    spark = local_session(os.environ.get("BENCH_CPUS", "8"), app="bench", **{"spark.checkpoint.dir": shared})
     spark.sparkContext.setLogLevel("ERROR")
     known, seconds = catalog.queries(), {}
     names = sys.argv[1:] or HEADLINE
@@ -36,6 +38,7 @@ def main() -> None:
         start = time.perf_counter()
         known[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        clear_scratch(spark)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": Path(sf_dir).name.removeprefix("sf"), "cpus": os.environ.get("BENCH_CPUS", "8"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, exact_dedup, jaccard, packing, quality
 from tidemark.llm.common import read_table
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, with_code
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +39,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality classifier", keep_good),
-    ("exact dedup", keep_one_copy),
-    ("near duplicates", keep_one_near_copy),
-    ("benchmark decontamination", drop_benchmark),
-    ("packing", pack),
+    ("quality classifier", with_code(keep_good)),
+    ("exact dedup", with_code(keep_one_copy)),
+    ("near duplicates", with_code(keep_one_near_copy)),
+    ("benchmark decontamination", with_code(drop_benchmark)),
+    ("packing", with_code(pack)),
 ]
 
 #: A trained model and token ids are beyond SQL; the tests hold every stage against a plain version.

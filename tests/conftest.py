@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tidemark.session import local_session  # noqa: E402
+from tidemark.session import clear_scratch, local_session, path_exists, scratch_root  # noqa: E402
 
 TESTDATA = "/root/testdata/sf0.001"
 
@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
+    assert not path_exists(session, scratch_root(session))
     session.stop()
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import sys
+import tempfile
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -69,13 +70,13 @@ def compare(df, con, sql):
 
 def main(sf_dir: str, names: list[str]) -> int:
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-    from tidemark.plans import catalog
-    from tidemark.session import local_session
+    import __spark_entry__ as entry
+    from tidemark.session import clear_scratch, local_session
 
-    spark = local_session(8)
+    spark = local_session(8, **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-")})
     spark.sparkContext.setLogLevel("ERROR")
-    con, sqls, failed = connect(sf_dir), catalog.oracle_sql(), []
-    for name, fn in catalog.queries().items():
+    con, sqls, failed = connect(sf_dir), entry.oracle_sql(), []
+    for name, fn in entry.queries().items():
         if names and name not in names:
             continue
         start = time.time()
@@ -88,6 +89,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         except Exception as err:  # noqa: BLE001
             ok, note = False, f"{type(err).__name__}: {str(err)[:900]}"
         print(f"{'ok  ' if ok else 'FAIL'} {name:28s} {time.time() - start:6.1f}s  {note}", flush=True)
+        clear_scratch(spark)
         if not ok:
             failed.append(name)
     print("failed:", failed)

@@ -77,7 +77,10 @@ def test_diebold_mariano(spark):
     diff = loss[0] - loss[1]
     stat = diff.mean() / (diff.std(ddof=1) / math.sqrt(len(diff)))
     assert row["n"] == 30 and row["dm_stat"] == pytest.approx(stat) and 0 < row["p_value"] < 0.05 and row["significant"]
-    assert evaluate.diebold_mariano(df, min_dates=31).count() == 0
+    few = evaluate.diebold_mariano(df, min_dates=31).first()
+    assert row["enough"] and (few["n"], few["enough"], few["dm_stat"], few["p_value"], few["significant"]) == (30, False, None, None, None)
+    with pytest.raises(Exception, match="more than one row"):
+        evaluate.diebold_mariano(df.unionByName(df.where("model = 'PERSISTENCE'"))).collect()
 
 
 def test_walk_forward_summary(spark):
@@ -125,6 +128,15 @@ def test_spikes(spark):
     assert row["auc"] == pytest.approx(brute_auc(pred[100:], truth.astype(int))) and row["few_shocks"] == (truth.sum() < 30)
 
 
+def test_spikes_of_a_cheap_series_are_its_own(spark):
+    df, a = table(spark, {"M": 0.1}, n=200)
+    both = df.unionByName(df.withColumn("series_id", F.lit("dear")).withColumns({c: F.col(c) + 5 for c in ("y_true", "y_pred")}))
+    each = {r["series_id"]: r["shocks"] for r in evaluate.spike_report(both, sigma=0.5).collect()}
+    assert len(each) == 2 and len(set(each.values())) == 1
+    pooled = evaluate.spike_labels(both, 0.5, evaluate.ID).groupBy("series_id").agg(F.sum("is_spike").alias("n")).collect()
+    assert {r["series_id"]: r["n"] for r in pooled} != each
+
+
 def test_missing_prediction_is_no_spike_and_undefined_scores_are_zero(spark):
     df, _ = table(spark, {"M": 0.1})
     blank = df.withColumn("y_pred", F.lit(None).cast("double"))
@@ -141,7 +153,8 @@ def test_subsets(spark):
     test_days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(30, 60)]
     on = sum(d.day <= 15 for d in test_days)
     assert got == {"All test dates": 30, "Disruption dates": on, "Non-disruption dates": 30 - on}
-    assert evaluate.subset_metrics(df, flags, min_rows=16).count() == 1
+    few = {r["subset"]: (r["enough"], r["mae"] is None) for r in evaluate.subset_metrics(df, flags, min_rows=16).collect()}
+    assert few == {"All test dates": (True, False), "Disruption dates": (False, True), "Non-disruption dates": (False, True)}
 
 
 def test_residuals(spark):

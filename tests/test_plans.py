@@ -11,7 +11,7 @@ from tidemark.operators import evaluate, shaping
 from tidemark.plans import catalog, dataset, modelling, roles
 from tidemark.plans.dataset import PRICE
 from tidemark.sources import increments
-from tidemark.session import settle, shared_root
+from tidemark.session import scratch_path, settle, shared_root
 
 
 def plan(df) -> str:
@@ -75,3 +75,23 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/") or spark.conf.get("spark.checkpoint.dir") in shared_root(spark)
     text = plan(settle(spark.range(3).withColumn("x", F.lit(1))).select("id"))
     assert shared_root(spark) in text and "ReadSchema: struct<id:bigint>" in text
+
+
+def test_a_persisted_batch_reads_only_the_partitions_it_touches(spark):
+    target = scratch_path(spark, "pruned")
+    spark.range(200).select("id", (F.col("id") % 20).cast("int").alias("part")).write.partitionBy("part").parquet(target)
+    batch = spark.range(2).select("id", F.lit(3).alias("part")).persist()
+    try:
+        old = spark.read.schema("id long, part int").parquet(target)
+        found = increments.touched_rows(old, batch, "part")
+        assert re.search(r"PartitionFilters: \[[^\]]*part#\d+ = 3", plan(found))
+        assert len(found.inputFiles()) and found.count() == 10
+        files = {r[0].rsplit("/", 2)[1] for r in found.select(F.input_file_name()).distinct().collect()}
+        assert files == {"part=3"}
+    finally:
+        batch.unpersist()
+
+
+def test_joins_of_daily_tables_carry_no_hint(spark):
+    df = catalog.queries()["merge_sources"](spark, TESTDATA)
+    assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()

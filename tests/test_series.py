@@ -224,3 +224,10 @@ def test_outer_merge_equals_long_form(frame):
 def test_lookup_label(frame):
     df = frame("f string", [("lag1",), ("x",), (None,)])
     assert [r[0] for r in df.select(shaping.lookup_label(F.col("f"), {"Lag": ["lag1"], "Also": ["lag1", "y"]})).collect()] == ["Lag", "Other", "Other"]
+
+
+def test_a_day_must_be_a_date(spark):
+    df = spark.sql("SELECT 'a' AS series_id, timestamp_ntz'2024-01-01 10:00:00' AS d, 1.0D AS x")
+    for operator in (series.densify, series.missing_days):
+        with pytest.raises(ValueError, match="must be a date"):
+            operator(df)

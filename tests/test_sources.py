@@ -68,13 +68,25 @@ def test_rate_rows_variants(frame):
         sheets.rate_rows(df)
 
 
-def test_seek_header_falls_back_to_the_first_row(frame):
+def test_seek_header_reads_the_whole_sheet(frame):
     df = frame("sheet_id int, row_no int, cells array<string>", [
         (1, 0, ["Title", None]), (1, 1, ["FISCAL YEAR", "% Change"]), (1, 2, ["2021/22", "7"]),
-        (2, 0, ["month", "x"]), (2, 1, ["a", "b"]), (2, 11, ["Mid-Month", "too far down"]),
+        (2, 0, ["month", "x"]), (2, 1, ["a", "b"]), (2, 110, ["Mid-Month", "far down"]), (2, 111, ["Jul/Aug", "3"]),
+        (3, 0, ["no", "header"]), (3, 1, [None, "at all"]),
     ])
     got = sorted((r["sheet_id"], r["row_no"], r["header"][0], r["cells"][0]) for r in sheets.seek_header(df).collect())
-    assert got == [(1, 2, "FISCAL YEAR", "2021/22"), (2, 1, "month", "a"), (2, 11, "month", "Mid-Month")]
+    assert got == [(1, 2, "FISCAL YEAR", "2021/22"), (2, 111, "Mid-Month", "Jul/Aug")]
+    assert [tuple(r) for r in sheets.sheets_without_header(df).collect()] == [(3, 2)]
+
+
+def test_inflation_rows(frame):
+    lines = [["Prices", None, None, None]] * 12 + [
+        ["No", "Mid-Month", "Overall Index", "Change"], ["1", "2021/22", None, None], ["2", "Jul/Aug", "100", "4.5"], ["3", "Jan/Feb", "101", "5"],
+    ]
+    other = [["Fiscal Year", "Inflation"], ["2022/23", ""], ["Aug/Sep", "7.5"], ["Sep/Oct", "n/a"]]
+    df = frame("sheet_id int, row_no int, cells array<string>", [(s, i, c) for s, x in ((1, lines), (2, other)) for i, c in enumerate(x)])
+    got = sorted((r["sheet_id"], str(r["d"]), r["value"]) for r in sheets.inflation_rows(df).collect())
+    assert got == [(1, "2021-07-01", 4.5), (1, "2022-01-01", 5.0), (2, "2022-08-01", 7.5)]
 
 
 @pytest.mark.parametrize("block", [2, 3, 4096])
@@ -136,12 +148,43 @@ def test_page_text(frame):
     assert df.select(payloads.page_text(F.col("html"), max_len=9)).first()[0] == long[:9]
 
 
-def test_page_text_cut_is_only_a_cut(frame):
+def test_page_text_is_whole_unless_a_cut_is_asked_for(frame):
     df = frame("html string", [("".join(f"<p>{i:05d} {'word ' * 20}</p>" for i in range(400)),)])
-    whole, cut = df.select(payloads.page_text(F.col("html"), max_len=None), payloads.page_text(F.col("html"))).first()
+    whole, cut = df.select(payloads.page_text(F.col("html")), payloads.page_text(F.col("html"), max_len=20_000)).first()
     assert len(whole) > 40_000 and cut == whole[:20_000]
 
 
+def test_any_number_of_tags_in_a_paragraph(frame):
+    df = frame("html string", [("<p>" + "<b></b>" * 100_000 + "a sentence <i>behind</i> very many tags</p>",), ("<table><tr><td>" + "<b> </b>" * 100_000 + "x</td></tr></table>",)])
+    assert df.select(payloads.page_text(F.col("html"))).first()[0] == "a sentence behind very many tags"
+    wide = df.select(F.replace("html", F.lit("</table>"), F.lit("<tr><td>1</td></tr></table>")).alias("html"))
+    assert payloads.page_headers(wide, "html") == ["x"]
+
+
+def test_entities(frame):
+    text = "a &lt;b&gt; &amp;lt; &#8217;&#x2019;&rsquo; &mdash; &#128; &#xD800; AT&T &bogus; &#0; R&D; &Aacute; x&nbsp;y &#99999999;"
+    want = "a <b> &lt; ’’’ — € � AT&T &bogus; � R&D; Á x y &#99999999;"
+    df = frame("t string", [(text,), (None,), ("",), ("no entity",), ("&",), ("&&amp;&",)])
+    assert [r[0] for r in df.select(payloads.decode_entities(F.col("t"))).collect()] == [want, None, "", "no entity", "&", "&&&"]
+
+
+def test_tables_inside_a_table(frame):
+    page = ("<TABLE><tr><th>Date</th><th>Diesel</th></tr><tr><td>2024-01-01<table><tr><td>2024-02-02</td><td>9</td></tr><tr><td>x</td></tr></table></td><td>1</td></tr>"
+            "<tr><td>2024-01-03<td>3<tr><td>2024-01-04</td><td>4</td></tr></table><table><tr><td>2024-05-05</td><td>7</td></tr></table>")
+    df = frame("id int, html string", [(1, page)])
+    rows = payloads.explode_html_table(df, "html", ["id"])
+    assert [(r["row_no"], r["cells"][-1]) for r in rows.collect()] == [(1, "1"), (2, "3"), (3, "4"), (4, "9"), (5, "x")]
+    assert rows.first()["cells"][0].split() == ["2024-01-01", "2024-02-02", "9", "x"]
+    days = sorted((str(r["d"]), r["value"]) for r in payloads.dated_values(rows, keep=["id"]).collect())
+    assert ("2024-01-03", 3.0) in days and ("2024-01-04", 4.0) in days and ("2024-02-02", 9.0) in days
+
+
+def test_scraped_rows_take_the_header_of_the_page(frame):
+    df = frame("day date, html string", [(day("2024-01-02"), "<table><tr><th>Item</th><th> Price </th></tr><tr><td>a</td><td>1</td></tr></table>")])
+    got = payloads.scraped_rows(df, "html", "day")
+    assert got.columns == ["Date", "row_no", "item", "price"] and [tuple(r) for r in got.collect()] == [("01/02/2024", 1, "a", "1")]
+
+
 # --- increments --------------------------------------------------------------
 OLD = [("a", day("2024-01-01"), 1.0), ("a", day("2024-01-02"), 2.0)]
 NEW = [("a", day("2024-01-02"), 20.0), ("a", day("2024-01-03"), 30.0), ("b", day("2021-12-31"), 1.0), ("b", day("2022-01-01"), 2.0)]

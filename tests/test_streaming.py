@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import TESTDATA
 from tidemark.plans import roles
-from tidemark.session import scratch_path
+from tidemark.session import delete_path, path_exists, scratch_path
 from tidemark.sources import increments
 from tidemark.streaming import loads
 
@@ -84,3 +84,31 @@ def test_ingest_of_a_given_table(spark, paths):
     loads.stream_ingest(stream, paths["target"], paths["state"]).awaitTermination()
     got = spark.read.schema(schema).parquet(paths["target"])
     assert got.agg(F.count("*"), F.sum("event_id")).first() == roles.table(spark, TESTDATA, "events").agg(F.count("*"), F.sum("event_id")).first()
+
+
+def test_an_upsert_that_ends_between_delete_and_write_loses_nothing(spark, paths, monkeypatch):
+    def frame(rows):
+        return spark.createDataFrame([(k, t, v, t.date()) for k, t, v in rows], SCHEMA)
+
+    def read():
+        return sorted((r.k, r.v) for r in spark.read.schema(SCHEMA).parquet(paths["target"]).collect())
+
+    def broken(spark, staged, target, schema, part):
+        delete_path(spark, f"{target}/day=2024-01-01")
+        raise RuntimeError("executor lost")
+
+    increments.upsert_partitions(paths["target"], frame([(1, at(1), 1.0), (2, at(1), 2.0), (3, at(5), 3.0)]), ["k", "day"], "day")
+    with monkeypatch.context() as m:
+        m.setattr(increments, "_replace_partitions", broken)
+        with pytest.raises(RuntimeError):
+            increments.upsert_partitions(paths["target"], frame([(2, at(1), 20.0)]), ["k", "day"], "day")
+    assert read() == [(3, 3.0)]  # the old partition is gone, its replacement not yet there
+    increments.upsert_partitions(paths["target"], frame([(4, at(5), 4.0)]), ["k", "day"], "day")
+    assert read() == [(1, 1.0), (2, 20.0), (3, 3.0), (4, 4.0)]
+    assert not path_exists(spark, paths["target"] + "/_upsert")
+
+
+def test_a_key_in_two_parts_is_refused(spark, paths):
+    new = spark.createDataFrame([(1, at(1), 1.0, at(1).date()), (1, at(2), 1.0, at(2).date())], SCHEMA)
+    with pytest.raises(ValueError, match="day differs"):
+        increments.upsert_partitions(paths["target"], new, ["k"], "day")

@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.numbers import ascii_digits
 
-DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd")
+#: Padded or not; month first where slashes end with the year. A time of day, with or without T, parts of a second or a
+#: zone, is left out before.
+DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd")
+_TIME_OF_DAY = r"[T ]+\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
 _ANY_DATE = r"(\d{4}[.\-/]\d{1,2}[.\-/]\d{1,2})"
 
 
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits, else NULL."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats])
+    """The day of the first format that fits, as it is written, else NULL."""
+    day = F.regexp_replace(F.trim(c), _TIME_OF_DAY, "")
+    return F.coalesce(*[F.try_to_date(day, f) for f in formats])
 
 
 def extract_ad_date(c: Column, before: int = 2050) -> Column:

@@ -17,18 +17,38 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.explode(F.array(*lines)).alias("_l")).select("_l.*").where(F.col("value").isNotNull())
 
 
-def psi(
-    ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10, threshold: float = 0.2, accuracy: int = 10_000
-) -> DataFrame:
+def exact_quantiles(rows: DataFrame, quantiles: Sequence[float], by: str = "feature", value: str = "value", partitions: int | None = None) -> DataFrame:
+    """``(by, _edges)``: for each share the smallest value with at least that share of the group's rows at or below it.
+
+    Rows are first reduced to one per group and value. Those are range-partitioned and ranked
+    inside their partitions; one row per partition hands the totals on. A group of any size is spread
+    over many tasks, and no value is approximate.
+    """
+    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = counts.repartitionByRange(n, by, value).withColumn("_part", F.spark_partition_id())
+    inside = Window.partitionBy(by, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.withColumn("_upto", F.sum("_n").over(inside))
+    totals = placed.groupBy(by, "_part").agg(F.sum("_n").alias("_sum"))
+    before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        by, "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"), F.sum("_sum").over(Window.partitionBy(by)).alias("_all")
+    )
+    ranked = placed.join(totals, [by, "_part"]).withColumn("_rank", F.col("_before") + F.col("_upto"))
+    wanted = [F.greatest(F.ceil(F.lit(q) * F.col("_all")), F.lit(1)) for q in quantiles]
+    edges = [F.min(F.when(F.col("_rank") >= w, F.col(value))) for w in wanted]
+    return ranked.groupBy(by).agg(F.array(*edges).alias("_edges"))
+
+
+def psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10, threshold: float = 0.2) -> DataFrame:
     """Population stability index of each feature over quantile bins of the reference window.
 
-    Bin edges come from a mergeable quantile sketch whose size depends on ``accuracy``
-    alone (exact up to that many rows per feature); shares are floored at 1e-4. The
-    edges are one short array per feature and therefore broadcast.
+    Bin edges are exact at any size; shares are floored at 1e-4. The edges are one short
+    array per feature and therefore broadcast.
     """
     quantiles = [i / bins for i in range(1, bins)]
     both = _long(ref, cols).withColumn("_cur", F.lit(0)).unionByName(_long(cur, cols).withColumn("_cur", F.lit(1)))
-    edges = _long(ref, cols).groupBy("feature").agg(F.percentile_approx("value", quantiles, accuracy).alias("_edges"))
+    edges = exact_quantiles(_long(ref, cols), quantiles)
     placed = both.join(F.broadcast(edges), "feature").withColumn(
         "_bin", F.size(F.filter("_edges", lambda e: e < F.col("value")))
     )

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions.tdist import student_t_cdf
+from tidemark.operators.series import unique_by
 
 ID = ("exp", "model", "horizon")
+#: Spikes are judged within each series: a dear series is not all spikes, a cheap one not without any.
+EACH = (*ID, "series_id")
 
 
 def r2_column(y: Column, p: Column) -> Column:
@@ -81,13 +84,14 @@ def diebold_mariano(
 ) -> DataFrame:
     """One-sided test that a model is more accurate than ``against`` on their common dates.
 
-    Squared errors in price space, no correction for autocorrelation. Groups with
-    fewer than ``min_dates`` common rows are left out.
+    Squared errors in price space, no correction for autocorrelation. A group with
+    fewer than ``min_dates`` common rows keeps its row, with ``enough`` false and no statistic.
+    With several rows of ``against`` for one place in ``on``, the test raises.
     """
     test = pred.where(F.col("split") == "test")
     err = F.exp("y_pred") - F.exp("y_true")
     model = test.where(F.col("model") != against).select(*dict.fromkeys([*by, *on]), (err * err).alias("_e1"))
-    base = test.where(F.col("model") == against).select(*on, (err * err).alias("_e2"))
+    base = unique_by(test.where(F.col("model") == against).select(*on, (err * err).alias("_e2")), on)
     diff = model.join(base, list(on)).withColumn("_diff", F.col("_e1") - F.col("_e2"))
     out = diff.groupBy(*by).agg(
         F.count("_diff").alias("n"),
@@ -95,7 +99,7 @@ def diebold_mariano(
         F.stddev_samp("_diff").alias("_std"),
     )
     stat = F.try_divide(F.col("_mean"), F.col("_std") / F.sqrt("n"))
-    out = out.where(F.col("n") >= min_dates).withColumn("dm_stat", stat)
+    out = out.withColumn("enough", F.col("n") >= min_dates).withColumn("dm_stat", F.when(F.col("enough"), stat))
     p = student_t_cdf(F.col("dm_stat"), F.col("n") - 1)
     return (
         out.withColumn("p_value", p)
@@ -128,8 +132,8 @@ def walk_forward_summary(pred: DataFrame, by: Sequence[str] = ID) -> DataFrame:
     return rows.select(*by, "_l.*")
 
 
-def spike_threshold(pred: DataFrame, sigma: float = fixed.SPIKE_SIGMA, by: Sequence[str] = ID) -> DataFrame:
-    """Mean plus ``sigma`` sample deviations of the training prices."""
+def spike_threshold(pred: DataFrame, sigma: float = fixed.SPIKE_SIGMA, by: Sequence[str] = EACH) -> DataFrame:
+    """Mean plus ``sigma`` sample deviations of the training prices, by series; ``by=ID`` pools all series."""
     price = F.exp("y_true")
     return (
         pred.where(F.col("split") == "train")
@@ -138,7 +142,7 @@ def spike_threshold(pred: DataFrame, sigma: float = fixed.SPIKE_SIGMA, by: Seque
     )
 
 
-def spike_labels(pred: DataFrame, sigma: float = fixed.SPIKE_SIGMA, by: Sequence[str] = ID) -> DataFrame:
+def spike_labels(pred: DataFrame, sigma: float = fixed.SPIKE_SIGMA, by: Sequence[str] = EACH) -> DataFrame:
     """Test rows with the threshold and 0/1 labels; a missing prediction counts as 0."""
     test = pred.where(F.col("split") == "test")
     rows = test.join(spike_threshold(pred, sigma, by), list(by))
@@ -150,7 +154,7 @@ def spike_labels(pred: DataFrame, sigma: float = fixed.SPIKE_SIGMA, by: Sequence
     )
 
 
-def spike_prf(labels: DataFrame, by: Sequence[str] = ID) -> DataFrame:
+def spike_prf(labels: DataFrame, by: Sequence[str] = EACH) -> DataFrame:
     """Precision, recall and F1 of the spike class, 0 where undefined."""
     hit = F.sum(F.col("is_spike") * F.col("pred_spike"))
     out = labels.groupBy(*by).agg(
@@ -204,7 +208,7 @@ def grouped_auc(
     )
 
 
-def spike_report(pred: DataFrame, sigma: float = fixed.SPIKE_SIGMA, by: Sequence[str] = ID) -> DataFrame:
+def spike_report(pred: DataFrame, sigma: float = fixed.SPIKE_SIGMA, by: Sequence[str] = EACH) -> DataFrame:
     """Precision, recall, F1 and AUC of spike detection per group."""
     labels = spike_labels(pred, sigma, by).select(*by, "is_spike", "pred_spike", F.exp("y_pred").alias("_price"))
     return spike_prf(labels, by).join(grouped_auc(labels, "_price", "is_spike", by), list(by), "left")
@@ -220,7 +224,8 @@ def subset_metrics(
 ) -> DataFrame:
     """Metrics on all test rows, on flagged and on unflagged ones, in one pass.
 
-    A date without a flag counts as unflagged; subsets below ``min_rows`` are left out.
+    A date without a flag counts as unflagged. A subset below ``min_rows`` keeps its row, with
+    ``enough`` false and no score.
     """
     keys = [F.col(b) for b in by]
     test = pred.where(F.col("split") == "test")
@@ -233,7 +238,9 @@ def subset_metrics(
         F.when(F.col("_all") == 1, "All test dates").when(F.col("_flag") == 1, "Disruption dates")
         .otherwise("Non-disruption dates")
     )
-    return out.where(F.col("n") >= min_rows).select(*by, subset.alias("subset"), "n", "r2", "mae", "mape")
+    enough = F.col("n") >= min_rows
+    scores = [F.when(enough, F.col(c)).alias(c) for c in ("r2", "mae", "mape")]
+    return out.select(*by, subset.alias("subset"), "n", enough.alias("enough"), *scores)
 
 
 def residuals(pred: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import product
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,17 +94,20 @@ def pearson(a: str, b: str) -> Column:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataFrame:
-    """Pearson correlation of every pair over the rows where both are present, long form."""
-    pairs = list(product(cols, cols))
-    one = df.agg(*[pearson(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    """Pearson correlation of every pair over the rows where both are present, long form.
 
-    def cell(i: int):
-        c = F.col(f"_c{i}")
-        return c if digits is None else F.bround(c, digits)
+    Each pair is computed once and mirrored; a column with itself gives 1 unless it is constant.
+    """
+    pairs = list(combinations(cols, 2))
+    own = [F.when(F.stddev_pop(c) > 0, F.lit(1.0)).alias(f"_o{i}") for i, c in enumerate(cols)]
+    one = df.agg(*[pearson(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)], *own)
 
-    lines = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), cell(i).alias("corr")) for i, (a, b) in enumerate(pairs)
-    ]
+    def line(a: str, b: str, source: str) -> Column:
+        c = F.col(source)
+        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), (c if digits is None else F.bround(c, digits)).alias("corr"))
+
+    lines = [line(x, y, f"_c{i}") for i, (a, b) in enumerate(pairs) for x, y in ((a, b), (b, a))]
+    lines += [line(c, c, f"_o{i}") for i, c in enumerate(cols)]
     return one.select(F.explode(F.array(*lines)).alias("_l")).select("_l.*")
 
 

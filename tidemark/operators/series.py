@@ -26,6 +26,13 @@ def by_day(keys: Sequence[str] = KEYS, d: str = D) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(d)
 
 
+def require_date(df: DataFrame, d: str = D) -> None:
+    """Raises unless ``d`` is a DATE: with a time of day, a "day" would not be unique and series not bounded by the calendar."""
+    kind = df.schema[d].dataType.simpleString()
+    if kind != "date":
+        raise ValueError(f"{d} must be a date, not {kind}")
+
+
 def densify(df: DataFrame, keys: Sequence[str] = KEYS, d: str = D) -> DataFrame:
     """All days from a key's first to its last one; the added days hold NULLs.
 
@@ -34,6 +41,7 @@ def densify(df: DataFrame, keys: Sequence[str] = KEYS, d: str = D) -> DataFrame:
     raises. Without keys the days run over the whole table, which is checked to be a
     daily table before its days are lined up under one constant key.
     """
+    require_date(df, d)
     df = df.where(F.col(d).isNotNull())
     values = [c for c in df.columns if c not in (*keys, d)]
     if not keys:
@@ -61,6 +69,7 @@ def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def missing_days(df: DataFrame, keys: Sequence[str] = KEYS, d: str = D) -> DataFrame:
     """Days between a key's first and last one that have no row."""
+    require_date(df, d)
     days = df.where(F.col(d).isNotNull()).select(*keys, d).distinct()
     after = F.date_add(d, 1)
     before_next = F.date_sub(F.lead(d).over(by_day(keys, d)), 1)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import D, KEYS, densify, unique_by
+from tidemark.operators.series import D, KEYS, densify, require_date, unique_by
 
 
 def daily_agg(
@@ -38,8 +38,8 @@ def merge_sources(
     """Left-join daily tables onto ``base`` and close the calendar.
 
     A table that has the key columns is joined by key and day, a table without them
-    by day alone. The latter must be unique per day, which is checked while it runs;
-    its size is then bounded by the calendar and it is broadcast.
+    by day alone. The latter must be unique per day, which is checked while it runs. How a
+    table is joined is left to its size.
 
     ``densify_when="after"`` (default) joins first, so values that fall on days
     without a base row are **lost** and filled again later; ``"before"`` keeps them;
@@ -47,12 +47,14 @@ def merge_sources(
     """
     if densify_when not in ("after", "before", "never"):
         raise ValueError("densify_when must be 'after', 'before' or 'never'")
+    require_date(base, d)
     out = densify(base, keys, d) if densify_when == "before" else base.where(F.col(d).isNotNull())
     for other in others:
+        require_date(other, d)
         if all(k in other.columns for k in keys):
             out = out.join(other, [*keys, d], "left")
         else:
-            out = out.join(F.broadcast(unique_by(other.where(F.col(d).isNotNull()), [d])), d, "left")
+            out = out.join(unique_by(other.where(F.col(d).isNotNull()), [d]), d, "left")
     cols = [*keys, d, *[c for c in out.columns if c not in (*keys, d)]]
     out = out.select(*cols)
     return densify(out, keys, d) if densify_when == "after" else out

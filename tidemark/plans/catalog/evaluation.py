@@ -80,12 +80,24 @@ def _(spark, sf):
 @query("diebold_mariano", f"""WITH {P}, {LAST}, j AS (
   SELECT last.exp, last.model, last.horizon, pow(exp(last.y_pred) - exp(last.y_true), 2) - pow(exp(pred.y_pred) - exp(pred.y_true), 2) AS diff
   FROM last JOIN pred USING (series_id, d, horizon) WHERE last.split = 'test' AND pred.split = 'test'),
-  a AS (SELECT {ID}, count(diff) AS n, avg(diff) / (stddev_samp(diff) / sqrt(count(diff))) AS dm_stat FROM j GROUP BY {ID} HAVING count(diff) >= 20),
-  p AS (SELECT *, {t_cdf_sql('dm_stat', '(n - 1)')} AS p_value FROM a) SELECT *, p_value < 0.05 AS significant FROM p""", "dm_stat p_value")
+  a AS (SELECT {ID}, count(diff) AS n, avg(diff) / (stddev_samp(diff) / sqrt(count(diff))) AS dm_stat FROM j GROUP BY {ID}),
+  p AS (SELECT *, {t_cdf_sql('dm_stat', '(n - 1)')} AS p_value FROM a WHERE n >= 20)
+  SELECT {ID}, n, n >= 20 AS enough, p.dm_stat, p_value, p_value < 0.05 AS significant FROM a LEFT JOIN p USING ({ID}, n)""", "dm_stat p_value")
 def _(spark, sf):
     return evaluate.diebold_mariano(two_models(spark, sf))
 
 
+@query("diebold_mariano_series", f"""WITH {P}, {LAST}, j AS (
+  SELECT last.exp, last.model, last.horizon, series_id, d, pow(exp(last.y_pred) - exp(last.y_true), 2) - pow(exp(pred.y_pred) - exp(pred.y_true), 2) AS diff
+  FROM last JOIN pred USING (series_id, d, horizon) WHERE last.split = 'test' AND pred.split = 'test'),
+  a AS (SELECT {ID}, series_id, count(diff) AS n, avg(diff) / (stddev_samp(diff) / sqrt(count(diff))) AS dm_stat FROM j GROUP BY {ID}, series_id),
+  p AS (SELECT *, {t_cdf_sql('dm_stat', '(n - 1)')} AS p_value FROM a WHERE n >= 20)
+  SELECT {ID}, series_id, n, n >= 20 AS enough, p.dm_stat, p_value, p_value < 0.05 AS significant
+  FROM a LEFT JOIN p USING ({ID}, series_id, n)""", "dm_stat p_value")
+def _(spark, sf):
+    return evaluate.diebold_mariano(two_models(spark, sf), by=evaluate.EACH)
+
+
 _WF = f"""SELECT exp, model, horizon, fold, r2, mae, mape FROM ({metric_sql('f', 'exp, model, horizon, fold')})"""
 _FOLD_ROWS = " UNION ALL ".join(
     f"SELECT exp, model, horizon, {k} AS fold, y_true, y_pred FROM z WHERE pos >= n - {6 - k} * (n // 6) AND pos < n - {6 - k} * (n // 6) + n // 6"
@@ -105,9 +117,10 @@ def _(spark, sf):
     return evaluate.walk_forward_summary(folds)
 
 
-_SPIKE = f"""WITH {P}, th AS (SELECT {ID}, avg(exp(y_true)) + 1.5 * stddev_samp(exp(y_true)) AS threshold FROM pred WHERE split = 'train' GROUP BY {ID}),
+EACH = f"{ID}, series_id"
+_SPIKE = f"""WITH {P}, th AS (SELECT {EACH}, avg(exp(y_true)) + 1.5 * stddev_samp(exp(y_true)) AS threshold FROM pred WHERE split = 'train' GROUP BY {EACH}),
   sp AS (SELECT pred.*, threshold, CAST(coalesce(exp(y_true) > threshold, false) AS INTEGER) AS is_spike,
-    CAST(coalesce(exp(y_pred) > threshold, false) AS INTEGER) AS pred_spike FROM pred JOIN th USING ({ID}) WHERE split = 'test')"""
+    CAST(coalesce(exp(y_pred) > threshold, false) AS INTEGER) AS pred_spike FROM pred JOIN th USING ({EACH}) WHERE split = 'test')"""
 
 
 @query("spike_labels", f"{_SPIKE} SELECT exp, model, horizon, fold, split, series_id, d, y_true, y_pred, threshold, is_spike, pred_spike FROM sp",
@@ -116,22 +129,22 @@ def _(spark, sf):
     return evaluate.spike_labels(pred(spark, sf))
 
 
-@query("spike_prf", f"""{_SPIKE}, c AS (SELECT {ID}, count(*) AS n, CAST(sum(is_spike) AS BIGINT) AS shocks, sum(pred_spike)::DOUBLE AS called,
-    sum(is_spike * pred_spike)::DOUBLE AS hit FROM sp GROUP BY {ID})
-  SELECT {ID}, n, shocks, coalesce(hit / nullif(called, 0), 0) AS "precision", coalesce(hit / nullif(shocks, 0), 0) AS recall,
+@query("spike_prf", f"""{_SPIKE}, c AS (SELECT {EACH}, count(*) AS n, CAST(sum(is_spike) AS BIGINT) AS shocks, sum(pred_spike)::DOUBLE AS called,
+    sum(is_spike * pred_spike)::DOUBLE AS hit FROM sp GROUP BY {EACH})
+  SELECT {EACH}, n, shocks, coalesce(hit / nullif(called, 0), 0) AS "precision", coalesce(hit / nullif(shocks, 0), 0) AS recall,
     coalesce(2 * hit / nullif(called + shocks, 0), 0) AS f1, shocks / n::DOUBLE * 100 AS shock_pct, shocks < 30 AS few_shocks FROM c""",
        "precision recall f1 shock_pct")
 def _(spark, sf):
     return evaluate.spike_prf(evaluate.spike_labels(pred(spark, sf)))
 
 
-@query("spike_auc", f"""{_SPIKE}, s AS (SELECT {ID}, is_spike, exp(y_pred) AS x FROM sp WHERE y_pred IS NOT NULL),
-  r AS (SELECT *, rank() OVER (PARTITION BY {ID} ORDER BY x) + (count(*) OVER (PARTITION BY {ID}, x) - 1) / 2.0::DOUBLE AS rk FROM s)
-  SELECT {ID}, (sum(rk) FILTER (is_spike = 1) - count(*) FILTER (is_spike = 1) * (count(*) FILTER (is_spike = 1) + 1) / 2.0::DOUBLE)
-    / (count(*) FILTER (is_spike = 1)::DOUBLE * count(*) FILTER (is_spike = 0)) AS auc FROM r GROUP BY {ID}""", "auc")
+@query("spike_auc", f"""{_SPIKE}, s AS (SELECT {EACH}, is_spike, exp(y_pred) AS x FROM sp WHERE y_pred IS NOT NULL),
+  r AS (SELECT *, rank() OVER (PARTITION BY {EACH} ORDER BY x) + (count(*) OVER (PARTITION BY {EACH}, x) - 1) / 2.0::DOUBLE AS rk FROM s)
+  SELECT {EACH}, (sum(rk) FILTER (is_spike = 1) - count(*) FILTER (is_spike = 1) * (count(*) FILTER (is_spike = 1) + 1) / 2.0::DOUBLE)
+    / nullif(count(*) FILTER (is_spike = 1)::DOUBLE * count(*) FILTER (is_spike = 0), 0) AS auc FROM r GROUP BY {EACH}""", "auc")
 def _(spark, sf):
     labels = evaluate.spike_labels(pred(spark, sf)).withColumn("price", F.exp("y_pred"))
-    return evaluate.grouped_auc(labels, "price", "is_spike")
+    return evaluate.grouped_auc(labels, "price", "is_spike", evaluate.EACH)
 
 
 _SUB = f"""WITH {P}, {S.RISK_DAYS}, x AS (SELECT pred.*, coalesce(CAST(Market_Risk > 0.6 AS INTEGER), 0) AS flag FROM pred LEFT JOIN risk USING (d)
@@ -141,7 +154,8 @@ _SUB = f"""WITH {P}, {S.RISK_DAYS}, x AS (SELECT pred.*, coalesce(CAST(Market_Ri
 @query("subset_metrics", f"""{_SUB}, a AS ({metric_sql('x', "exp, model, horizon, 'All test dates'")}), b AS ({metric_sql('x', 'exp, model, horizon, flag')}),
   u AS (SELECT exp, model, horizon, 'All test dates' AS subset, n, r2, mae, mape FROM a
   UNION ALL SELECT exp, model, horizon, CASE flag WHEN 1 THEN 'Disruption dates' ELSE 'Non-disruption dates' END, n, r2, mae, mape FROM b)
-  SELECT * FROM u WHERE n >= 10""", "r2 mae mape")
+  SELECT exp, model, horizon, subset, n, n >= 10 AS enough, CASE WHEN n >= 10 THEN r2 END AS r2, CASE WHEN n >= 10 THEN mae END AS mae,
+    CASE WHEN n >= 10 THEN mape END AS mape FROM u""", "r2 mae mape")
 def _(spark, sf):
     flags = roles.event_risk(spark, sf).select("d", (F.col("Market_Risk") > 0.6).cast("int").alias("disruption_flag"))
     return evaluate.subset_metrics(pred(spark, sf), flags, on=["d"])

@@ -71,6 +71,12 @@ def _(spark, sf):
     return report.corr_matrix(roles.base_table(spark, sf), _CORR, digits=None)
 
 
+@query("corr_matrix_rounded", f"WITH {S.base()} " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}) + 1e-7, 2) AS corr FROM base" for a in _CORR for b in _CORR), "corr")
+def _(spark, sf):
+    return report.corr_matrix(roles.base_table(spark, sf), _CORR)
+
+
 @query("autocorr_lag1", f"""WITH {S.FILLED}, l AS (SELECT series_id, Average_Price AS x, lag(Average_Price) OVER ({S.W}) AS y FROM filled)
   SELECT series_id, corr(x, y) AS autocorr_lag1 FROM l WHERE y IS NOT NULL GROUP BY 1""", "autocorr_lag1")
 def _(spark, sf):
@@ -185,4 +191,4 @@ _DRIFT = ["Average_Price", "Supply_Volume", "USD_TO_NPR"]
 def _(spark, sf):
     table = settle(roles.base_table(spark, sf).select("d", *_DRIFT))
     cut = F.lit("1998-07-01").cast("date")
-    return drift.psi(table.where(F.col("d") < cut), table.where(F.col("d") >= cut), _DRIFT, accuracy=100_000)
+    return drift.psi(table.where(F.col("d") < cut), table.where(F.col("d") >= cut), _DRIFT)

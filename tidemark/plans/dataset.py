@@ -21,7 +21,7 @@ PRICE, SUPPLY = "Average_Price", "Supply_Volume"
 MACRO = ("USD_TO_NPR", "Diesel", "Inflation")
 
 
-def quote_rows(raw: DataFrame, columns=fixed.QUOTE_COLUMNS, formats=("MM/dd/yyyy", "yyyy-MM-dd")) -> DataFrame:
+def quote_rows(raw: DataFrame, columns=fixed.QUOTE_COLUMNS, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Scraped quote or volume rows: renamed, cleaned, and cut to the commodities kept."""
     value = next(v for v in columns.values() if v not in ("Date", "commodity"))
     picked = raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in columns.items()])

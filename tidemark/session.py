@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,17 @@ def share_code(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join([home, *paths])
 
 
+def with_code(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``job``, whose first argument is a session, after ``share_code`` in that session."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *rest: object) -> DataFrame:
+        share_code(spark)
+        return job(spark, *rest)
+
+    return run
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -63,9 +76,35 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop's file system of a path, the path): any store that Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, where = _file_system(spark, path)
+    return store.exists(where)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    store, where = _file_system(spark, path)
+    store.delete(where, True)
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_root(spark)}/tidemark-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below this application's folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has settled; for callers that are done with the results."""
+    delete_path(spark, scratch_root(spark))
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.session import scratch_path
+from tidemark.session import delete_path, path_exists
 
 
 def new_rows(
@@ -78,31 +80,55 @@ def dedupe(df: DataFrame, date_cols: Sequence[str] = ()) -> DataFrame:
     return df.distinct()
 
 
+#: Partition values that one upsert may name in its filter; with more of them the old rows are found by a join.
+MOST_TOUCHED = 10_000
+
+
+def touched_rows(old: DataFrame, new: DataFrame, part: str) -> DataFrame:
+    """Rows of ``old`` in the partitions that ``new`` touches; only those partitions are read.
+
+    The few partition values come to the driver and go into the filter. A batch that
+    touches more than ``MOST_TOUCHED`` partitions reads them by a join.
+    """
+    values = [r[0] for r in new.select(part).distinct().limit(MOST_TOUCHED + 1).collect()]
+    if len(values) > MOST_TOUCHED:
+        return old.join(new.select(part).distinct(), old[part].eqNullSafe(new[part]), "left_semi")
+    known = [v for v in values if v is not None]
+    hit = F.col(part).isin(known) if known else F.lit(False)
+    return old.where(hit | F.col(part).isNull() if len(known) < len(values) else hit)
+
+
+def _replace_partitions(spark: SparkSession, staged: str, target: str, schema: StructType, part: str) -> None:
+    (
+        spark.read.schema(schema).parquet(staged).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(target)
+    )
+
+
 def upsert_partitions(
     target: str, new: DataFrame, key: Sequence[str], part: str, keep: str = "last", order: Sequence[str] = ()
 ) -> None:
-    """Upsert into a Parquet table partitioned by ``part``, touching only those partitions.
+    """Upsert into a Parquet table partitioned by ``part``, reading and writing only those partitions.
 
-    ``part`` must be a function of the key. The merged partitions are written to the
-    shared folder first, because a table cannot be overwritten while it is read, and
-    then replace just themselves.
+    ``part`` must be a function of the key; a key with two parts in ``new`` raises. The merged
+    partitions are first written to ``_upsert`` below the table, where readers do not look, and
+    then replace the old ones. If the job ends in between, the next call finishes that
+    replacement from the written copy before anything else, so no row is lost.
     """
-    spark = new.sparkSession
+    spark, schema, staged = new.sparkSession, new.schema, f"{target}/_upsert"
+    if part not in key:
+        twice = new.groupBy(*key).agg(F.min(part).alias("_a"), F.max(part).alias("_b")).where("_a <> _b")
+        if not twice.isEmpty():
+            raise ValueError(f"{part} differs between rows of one key")
+    if path_exists(spark, f"{staged}/_SUCCESS"):
+        _replace_partitions(spark, staged, target, schema, part)
+    delete_path(spark, staged)
     try:
-        old = spark.read.schema(new.schema).parquet(target)
-    except Exception as err:  # first load
-        if getattr(err, "getCondition", lambda: None)() != "PATH_NOT_FOUND":
+        old = spark.read.schema(schema).parquet(target)
+    except AnalysisException as err:  # first load
+        if err.getCondition() != "PATH_NOT_FOUND":
             raise
-        dedupe_by(new, key, order or [key[0]], keep).write.partitionBy(part).parquet(target)
-        return
-    touched = new.select(part).distinct()
-    merged = upsert(old.join(touched, part, "left_semi"), new, key, keep, order)
-    staged = scratch_path(spark, "upsert")
-    merged.write.partitionBy(part).parquet(staged)
-    (
-        spark.read.schema(merged.schema).parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part)
-        .parquet(target)
-    )
+        old = spark.createDataFrame([], schema)
+    upsert(touched_rows(old, new, part), new, key, keep, order).write.partitionBy(part).parquet(staged)
+    _replace_partitions(spark, staged, target, schema, part)
+    delete_path(spark, staged)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +15,7 @@ from tidemark.functions.numbers import to_float
 from tidemark.functions.rows import row_mean
 
 _BLANKS = " \t\n\r\f\u000b"
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ",
-             "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 RSS_SCHEMA = (
     "channel struct<item:array<struct<title:string,link:string,pubDate:string,"
     "source:struct<_VALUE:string,_url:string>>>>"
@@ -73,31 +74,95 @@ def explode_rss(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _named_entities() -> dict[str, str]:
+    """All names of HTML with a semicolon, from the standard library; a non-breaking blank is a blank."""
+    return {name[:-1]: text.replace("\u00a0", " ") for name, text in html5.items() if name.endswith(";")}
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a numeric entity, read as browsers do: 128 to 159 as Windows-1252, what is no character as U+FFFD."""
+    western = bytes(range(128, 160)).decode("cp1252", errors="replace")
+    low = F.substring(F.lit(western), number - 127, F.lit(1))
+    valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number < 0x110000))
+    known = F.when(valid, number).otherwise(0xFFFD)
+    char = F.decode(F.unhex(F.lpad(F.hex(known), 8, "0")), "UTF-32")
+    return F.when(number.between(128, 159), low).when(number == 160, F.lit(" ")).otherwise(char)
+
+
+def decode_entities(text: Column) -> Column:
+    """Each entity once: names of HTML, decimal and hexadecimal numbers. Anything else stays as it is."""
+    table = F.from_json(F.lit(json.dumps(_named_entities())), "map<string,string>")
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, _ENTITY, 1)
+        hexadecimal = F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10).cast("int")
+        number = F.when(F.lower(name).startswith("#x"), hexadecimal).when(
+            name.startswith("#"), F.substring(name, F.lit(2), F.length(name)).cast("int")
+        )
+        char = F.when(number.isNotNull(), _code_point(number)).otherwise(F.try_element_at(table, name))
+        return F.coalesce(F.concat(char, F.substring(piece, F.length(name) + 2, F.length(piece))), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
+    return F.when(text.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
+
+
 def _strip_tags(fragment: Column, glue: str = "") -> Column:
     """Text of a fragment: its text nodes trimmed and joined, entities decoded.
 
-    Blanks next to tags go together with the tags, which trims every node at once.
+    Tags are cut one at a time, so that a fragment may hold any number of them.
     """
-    text = F.btrim(F.regexp_replace(fragment, r"\s*(?:<[^>]*>\s*)+", glue), F.lit(_BLANKS))
-    decoded = text
-    for entity, char in _ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(fragment.contains("&"), decoded).otherwise(text)
+    nodes = F.transform(F.split(fragment, r"<[^>]*>"), lambda x: F.btrim(x, F.lit(_BLANKS)))
+    return decode_entities(F.array_join(F.filter(nodes, lambda x: x != ""), glue))
+
+
+def _elements(text: Column, tags: str) -> Column:
+    """Inner text of each ``tags`` element; an end tag may be missing, as HTML allows."""
+    pieces = F.filter(F.split(text, rf"(?i)(?=<(?:{tags})\b)"), lambda x: x.rlike(rf"(?i)^<(?:{tags})\b"))
+    return F.transform(pieces, lambda x: F.regexp_extract(x, rf"(?is)^<(?:{tags})\b[^>]*>(.*?)(?:</(?:{tags})\b|\z)", 1))
 
 
 def _cells(row: Column, tags: str) -> Column:
-    found = F.regexp_extract_all(row, F.lit(rf"(?is)<(?:{tags})\b[^>]*>(.*?)</(?:{tags})>"), F.lit(1))
-    return F.transform(found, lambda cell: _strip_tags(cell))
+    """Cell texts; ``td`` and ``th`` both end the cell before them."""
+    pieces = F.filter(F.split(row, r"(?i)(?=<t[dh]\b)"), lambda x: x.rlike(rf"(?i)^<(?:{tags})\b"))
+    inner = F.transform(pieces, lambda x: F.regexp_extract(x, r"(?is)^<t[dh]\b[^>]*>(.*?)(?:</t[dh]\b|\z)", 1))
+    return F.transform(inner, lambda x: _strip_tags(x))
+
+
+def _first_table(page: Column) -> Column:
+    """The first table's content in pieces ``(depth, text)``: depth 1 is its own, more that of tables inside it."""
+    parts = "array<struct<depth:int,text:string>>"
+    state = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast(parts).alias("parts"))
+
+    def follow(s: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table")
+        depth = (s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).cast("int")
+        text = F.regexp_replace(piece, r"(?is)^</?table\b[^>]*>", "")
+        new = F.struct(depth.alias("depth"), text.alias("text"))
+        inside = (opens | closes) & (depth > 0)
+        moved = F.struct(
+            depth.alias("depth"), (closes & (depth == 0)).alias("done"),
+            F.when(inside, F.concat(s["parts"], F.array(new))).otherwise(s["parts"]).cast(parts).alias("parts"),
+        )
+        return F.when(s["done"] | (closes & (s["depth"] == 0)), s).otherwise(moved)
+
+    return F.aggregate(F.split(page, r"(?i)(?=</?table\b)"), state, follow, lambda s: s["parts"])
 
 
 def explode_html_table(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
     """First table of each page: ``(keep…, header, row_no, cells)``, header in lower case.
 
     Header cells may be ``th`` or ``td``; body rows are read from ``td`` and rows
-    without any are left out.
+    without any are left out. Rows of tables inside the first one follow its own rows;
+    in its own rows such a table is text of the cell that holds it.
     """
-    table = F.regexp_extract(F.col(col), r"(?is)<table\b[^>]*>(.*?)</table>", 1)
-    lines = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    parts = F.col("_parts")
+    flat = F.transform(
+        parts,
+        lambda p: F.when(p["depth"] == 1, p["text"]).otherwise(F.regexp_replace(p["text"], r"(?is)</?(?:tr|t[dh]|thead|tbody|tfoot)\b[^>]*>", " ")),
+    )
+    inner = F.flatten(F.transform(F.filter(parts, lambda p: p["depth"] > 1), lambda p: _elements(p["text"], "tr")))
+    lines = F.concat(_elements(F.array_join(flat, ""), "tr"), inner)
     header = F.transform(_cells(F.get(F.col("_lines"), F.lit(0)), "th|td"), F.lower)
     body = F.transform(
         "_lines", lambda line, i: F.struct(i.alias("row_no"), F.when(i > 0, _cells(line, "td")).alias("cells"))
@@ -107,8 +172,14 @@ def explode_html_table(df: DataFrame, col: str, keep: Sequence[str] = ()) -> Dat
     body = F.filter(body, lambda r: F.size(r["cells"]) > 0)
     # The header gets a projection of its own: next to a generator it would be
     # evaluated once per generated row.
-    found = df.select(*keep, lines.alias("_lines")).select(*keep, "_lines", header.alias("header"))
-    return found.select(*keep, "header", F.inline(body).alias("row_no", "cells"))
+    found = df.select(*keep, _first_table(F.col(col)).alias("_parts")).select(*keep, lines.alias("_lines"))
+    return found.select(*keep, "_lines", header.alias("header")).select(*keep, "header", F.inline(body).alias("row_no", "cells"))
+
+
+def page_headers(df: DataFrame, col: str) -> list[str]:
+    """Header cells of the first table of some page that has one, in lower case; one row comes to the driver."""
+    row = explode_html_table(df, col).select("header").first()
+    return [] if row is None else list(row["header"])
 
 
 def _positions(header: Column, words: Sequence[str]) -> Column:
@@ -138,17 +209,23 @@ def dated_values(
     return rows.select(*keep, "row_no", F.inline(whole).alias("d", "value"))
 
 
-def scraped_rows(df: DataFrame, col: str, scrape_date: str, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Market listing pages to a table: the scrape date first, then the cells by position."""
+def scraped_rows(
+    df: DataFrame, col: str, scrape_date: str, names: Sequence[str] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Market listing pages to a table: the scrape date first, then the cells by position.
+
+    Without ``names`` the columns are named after the header of the pages.
+    """
+    names = page_headers(df, col) if names is None else names
     rows = explode_html_table(df, col, [*keep, scrape_date])
     cells = [F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)]
     return rows.select(*keep, F.date_format(scrape_date, "MM/dd/yyyy").alias("Date"), "row_no", *cells)
 
 
-def page_text(html: Column, min_len: int = 30, max_len: int | None = 20000) -> Column:
+def page_text(html: Column, min_len: int = 30, max_len: int | None = None) -> Column:
     """Paragraph text of a page: paragraphs longer than ``min_len``, blanks collapsed.
 
-    The whole page is read; ``max_len`` only bounds the returned text (None: no bound).
+    The whole page is read and its whole text returned; a caller may ask for a cut at ``max_len``.
     Script and style bodies do not count as text.
     """
     body = F.regexp_replace(html, r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)>", " ")

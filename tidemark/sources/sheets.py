@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed
@@ -69,32 +69,53 @@ def rate_rows(df: DataFrame, variant: str = "cloud") -> DataFrame:
     return table.select(F.col(f"`{date_col}`").alias("date"), F.col(f"`{sell_col}`").alias("usd_sell"))
 
 
+def _marked(markers: Sequence[str], cells: str) -> Column:
+    found = F.array(*[F.lit(m) for m in markers])
+    return F.exists(cells, lambda x: F.exists(found, lambda m: F.lower(x).contains(m)))
+
+
 def seek_header(
     df: DataFrame,
     markers: Sequence[str] = fixed.SHEET_MARKERS,
     sheet: str = "sheet_id",
     row_no: str = "row_no",
     cells: str = "cells",
-    within: int = 10,
 ) -> DataFrame:
     """Rows below the header of each sheet, with the header beside them.
 
-    The header is the first of the rows ``0 … within-1`` in which some cell contains
-    a marker, else row 0. The header rows are found with one map-side-combined
-    aggregate per sheet, so a very long sheet is not gathered anywhere.
+    The header is the first row of the sheet in which some cell contains a marker, however far
+    down it stands. A sheet without one gives no rows; ``sheets_without_header`` lists those.
+    The header rows are found with one map-side-combined aggregate per sheet, so a very long
+    sheet is not gathered anywhere.
     """
-    hit = F.exists(cells, lambda x: F.exists(F.array(*[F.lit(m) for m in markers]), lambda m: F.lower(x).contains(m)))
-    header = (
-        df.where(F.col(row_no) < within)
-        .groupBy(sheet)
-        .agg(
-            F.coalesce(F.min(F.when(hit, F.col(row_no))), F.lit(0)).alias("_header_row"),
-            F.coalesce(F.min_by(cells, F.when(hit, F.col(row_no))), F.min_by(cells, row_no)).alias("header"),
-        )
-    )
+    hit = F.when(_marked(markers, cells), F.col(row_no))
+    header = df.groupBy(sheet).agg(F.min(hit).alias("_header_row"), F.min_by(cells, hit).alias("header"))
     return df.join(header, sheet).where(F.col(row_no) > F.col("_header_row")).drop("_header_row")
 
 
+def sheets_without_header(
+    df: DataFrame, markers: Sequence[str] = fixed.SHEET_MARKERS, sheet: str = "sheet_id", cells: str = "cells"
+) -> DataFrame:
+    """Sheets in which no cell of any row contains a marker, with their number of rows."""
+    found = F.max(F.coalesce(_marked(markers, cells), F.lit(False)))
+    return df.groupBy(sheet).agg(F.count(F.lit(1)).alias("n_rows"), found.alias("_found")).where(~F.col("_found")).drop("_found")
+
+
+def inflation_rows(
+    df: DataFrame, sheet: str = "sheet_id", row_no: str = "row_no", cells: str = "cells", months: Mapping[str, int] = fixed.MONTH_PAIRS
+) -> DataFrame:
+    """Sheets of unknown layout to the monthly table ``(sheet, d, value)``: header, columns, fiscal years and months.
+
+    The label stands under the first header with a date word. The value stands right of
+    "overall index", else under the first header with a value word.
+    """
+    rows = seek_header(df, sheet=sheet, row_no=row_no, cells=cells)
+    label = cell_under(fixed.SHEET_DATE_WORDS, cells=cells)
+    value = F.coalesce(cell_under(["overall index"], 1, cells=cells), cell_under(fixed.SHEET_VALUE_WORDS, cells=cells))
+    named = rows.select(sheet, row_no, label.alias("raw_date"), value.alias("raw_value"))
+    return fiscal_months(named, file=sheet, row_no=row_no, months=months)
+
+
 def cell_under(header_words: Sequence[str], offset: int = 0, header: str = "header", cells: str = "cells"):
     """The cell below the first header containing any word, ``offset`` places to the right."""
     words = F.array(*[F.lit(w) for w in header_words])
