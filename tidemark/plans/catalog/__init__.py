@@ -5,6 +5,7 @@ from tidemark.plans.catalog import (  # noqa: F401  (registration by import)
     evaluation,
     ingest,
     models,
+    pipeline_steps,
     statistics,
     streams,
     text,

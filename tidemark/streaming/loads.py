@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.increments import upsert_partitions
+from tidemark.session import path_exists
+from tidemark.sources.increments import dedupe_by, upsert_partitions
 
 
 def file_stream(
@@ -78,3 +79,24 @@ def stream_dedupe(stream: DataFrame, key: Sequence[str], ts: str, delay: str) ->
     if stream.schema[ts].dataType.simpleString() == "timestamp_ntz":
         stamped = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     return stamped.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
+
+
+def stream_first(
+    stream: DataFrame, target: str, key: Sequence[str], checkpoint: str, order: Sequence[str]
+) -> StreamingQuery:
+    """Append the rows whose key the table does not have yet, the first of each key by ``order``.
+
+    The table itself is the memory: nothing is forgotten, however late a row comes, and there is no
+    state that grows. Keys are compared by one join of a batch with the table's key columns.
+    """
+
+    def add(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        fresh = dedupe_by(batch, key, order)
+        if path_exists(spark, target):
+            fresh = fresh.join(spark.read.schema(batch.schema).parquet(target).select(*key), list(key), "left_anti")
+        fresh.select(*batch.columns).write.mode("append").parquet(target)
+
+    return (
+        stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
