@@ -27,17 +27,17 @@ def components(links: DataFrame) -> DataFrame:
     pairs = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pairs, before = settle(pairs, "links"), None
     while True:
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = settle(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        pairs = settle(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
         now = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if now == before:
             break
         before = now
+        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        both_ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(least, "u").select(F.explode(both_ends).alias("e"))
+        pairs = settle(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )

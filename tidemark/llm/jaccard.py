@@ -14,8 +14,9 @@ D = (share_of - share) * (|a| + |b|) / (share_of + share) members.
   rare, also use their empty groups, and meet in them only one another.
 * Buckets: sets with one group in common form a bucket. Not all its pairs are formed. Round one
   compares each set with the bucket's smallest one; verified links give components. Round two
-  compares, in the buckets that still hold several components, the sets of different components.
-  A pair within a component needs no test: it cannot change the result.
+  takes, in the buckets that still hold several components, each set's nearest one of another
+  component; round three all that are left of different components. A pair within a component
+  needs no test: it cannot change the result.
 * Bit sketches (one bit toggled for each member) bound the symmetric difference from below and
   rule out almost all pairs that do not link; the others are verified on their whole sets.
 
@@ -33,6 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import mix64, read_table, shingle_hashes, split_words, texts_of, word_codes, word_hashes
 from tidemark.llm.components import bloom_of, components
@@ -43,8 +45,10 @@ SIZE = 4
 SHARE, SHARE_OF = 85, 100
 #: Rows of one block of a large bucket.
 BLOCK = 1024
-#: Group rows that one task sorts; sets the number of shuffle partitions for large inputs.
-TASK_ROWS = 1 << 21
+#: Group rows that one task sorts, and bytes of text that make one; they set the number of shuffle partitions for large inputs.
+TASK_ROWS, GROUP_BYTES = 1 << 21, 16
+#: Bytes of text whose sets are made at a time.
+PIECE_BYTES = 8 << 20
 SEPARATOR = np.uint64(0xA0761D6478BD642F)
 
 
@@ -178,17 +182,42 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-_BLOBS = "part int, kind int, keys binary, names binary, more binary"
-_SEND, _PAIRS, _MEMBERS = 0, 1, 2
+_SEND, _PAIRS, _MEMBERS, _TEXTS = 0, 1, 2, 3
+_SENT = [("part", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("names", pa.binary()), ("more", pa.binary())]
+_TOLD = [("a", pa.int64()), ("mark", pa.int64()), ("row_key", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())]
+_TOLD_SQL = "a long, mark long, row_key long, n long, sketch binary"
 
 
-def _grouped(nodes_of: DataFrame, bands: Bands, size: int, parts: int) -> DataFrame:
-    """Buckets of the texts' groups: kind 1 rows (a, b) compare b with its bucket's smallest set; kind 2 rows (key, a)
-    are the members of buckets with more than two sets. Texts are read whole."""
+def _filled(columns: dict[str, pa.Array], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    """A batch with these fields in order; those without a column are NULL."""
+    n = len(next(iter(columns.values())))
+    arrays = [columns[name].cast(kind) if name in columns else pa.nulls(n, kind) for name, kind in fields]
+    return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
+
+
+def _grouped(texts: DataFrame, bands: Bands, size: int, parts: int) -> DataFrame:
+    """One pass over ``texts`` (text, row_key, mark, doc_id) and one shuffle, which give rows of three kinds:
+
+    kind 1 (a, b): b is to be compared with a, its bucket's smallest set; kind 2 (key in b, set in a): the members of a
+    bucket of more than two sets; kind 3: a text with its set's name (a), size and sketch. Texts are read whole.
+    """
+    id_type = to_arrow_type(texts.schema["doc_id"].dataType)
+    sent_fields, out_fields = [*_SENT, *_TOLD, ("doc_id", id_type)], [("kind", pa.int32()), ("b", pa.int64()), *_TOLD, ("doc_id", id_type)]
+    id_sql = f"doc_id {dict(texts.dtypes)['doc_id']}"
+
+    def told(piece: pa.RecordBatch, sets: Sets) -> pa.RecordBatch:
+        n = len(sets.sizes)
+        sketches = pa.array([sets.sketch(k) if sets.sizes[k] else None for k in range(n)], pa.binary())
+        columns = {
+            "part": pa.array((np.arange(n) + int(sets.names[0])) % parts), "kind": pa.array(np.full(n, _TEXTS)), "a": pa.array(sets.names),
+            "mark": piece.column(2), "row_key": piece.column(1), "n": pa.array(sets.sizes), "sketch": sketches, "doc_id": piece.column(3),
+        }
+        return _filled(columns, sent_fields)
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (piece for whole in batches for piece in parts_of(whole, 0)):
-            sets = Sets(texts_of(batch.column(0)), size)
+        for piece in (piece for whole in batches for piece in parts_of(whole, 0, PIECE_BYTES)):
+            sets = Sets(texts_of(piece.column(0)), size)
+            yield told(piece, sets)
             keys, names, run, begins = _runs(*group_keys(sets, bands))
             if not len(keys):
                 continue
@@ -197,39 +226,39 @@ def _grouped(nodes_of: DataFrame, bands: Bands, size: int, parts: int) -> DataFr
             a, b = _pairs(names[begins][run[shared]], names[shared])
             part = (keys[begins] % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            heads = begins[order]
-            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            heads, crowded = begins[order], (lengths[order] > 1).astype(np.uint8)
+            cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
             rows = [
-                (p, _SEND, keys[h].tobytes(), names[h].tobytes(), (lengths[order][s:e] > 1).astype(np.uint8).tobytes())
-                for p, (s, e) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if e > s for h in (heads[s:e],)
+                (p, _SEND, keys[heads[s:e]].tobytes(), names[heads[s:e]].tobytes(), crowded[s:e].tobytes())
+                for p, (s, e) in enumerate(zip(cuts, cuts[1:])) if e > s
             ]
             # What is settled within the batch passes through the same shuffle, spread over its tasks.
             own = int(names[0]) % parts
             if len(a):
                 rows.append((own, _PAIRS, a.tobytes(), b.tobytes(), b""))
-                rows.append((own, _MEMBERS, keys[shared].tobytes(), names[shared].tobytes(), b""))
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(("part", "kind", "keys", "names", "more"), r)) for r in rows],
-                pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("names", pa.binary()), ("more", pa.binary())]),
-            )
+                rows.append((own, _MEMBERS, names[shared].tobytes(), keys[shared].tobytes(), b""))
+            yield _filled({name: pa.array(c, kind) for (name, kind), c in zip(_SENT, zip(*rows))}, sent_fields)
 
     def met(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent_keys, sent_names, sent_more = [], [], []
 
         def out(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(a), kind), pa.int32()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["kind", "a", "b"]
-            )
+            columns = {"kind": pa.array(np.full(len(a), kind)), "a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))}
+            return _filled(columns, out_fields)
 
         for batch in batches:
-            for kind, keys, names, more in zip(*(batch.column(c) for c in ("kind", "keys", "names", "more"))):
-                keys, names = np.frombuffer(keys.as_buffer(), np.uint64), np.frombuffer(names.as_buffer(), np.int64)
-                if kind.as_py() == _SEND:
-                    sent_keys.append(keys)
-                    sent_names.append(names)
-                    sent_more.append(np.frombuffer(more.as_buffer(), np.uint8))
+            kinds = batch.column("kind").to_numpy()
+            texts = batch.filter(pa.array(kinds == _TEXTS))
+            if texts.num_rows:
+                yield _filled({name: texts.column(name) for name, _ in out_fields if name in texts.schema.names}, out_fields)
+            for at in np.flatnonzero(kinds != _TEXTS).tolist():
+                x, y = (np.frombuffer(batch.column(c)[at].as_py(), np.int64) for c in ("keys", "names"))
+                if kinds[at] == _SEND:
+                    sent_keys.append(x.view(np.uint64))
+                    sent_names.append(y)
+                    sent_more.append(np.frombuffer(batch.column("more")[at].as_py(), np.uint8))
                 else:
-                    yield out(kind.as_py(), keys, names)
+                    yield out(int(kinds[at]), x, y)
         if not sent_keys:
             return
         keys, names, more = (np.concatenate(x) for x in (sent_keys, sent_names, sent_more))
@@ -246,9 +275,12 @@ def _grouped(nodes_of: DataFrame, bands: Bands, size: int, parts: int) -> DataFr
         lengths = np.diff(np.append(begins, len(keys)))
         yield out(_PAIRS, *_pairs(names[begins][run], names))
         large = (lengths > 2) | (lengths > 1) & np.isin(keys[begins], with_more)
-        yield out(_MEMBERS, keys[large[run]], names[large[run]])
+        yield out(_MEMBERS, names[large[run]], keys[large[run]])
 
-    return nodes_of.mapInArrow(sent, _BLOBS).groupBy("part").applyInArrow(met, "kind int, a long, b long")
+    blobs = texts.select("text", "row_key", "mark", "doc_id").mapInArrow(
+        sent, f"part int, kind int, keys binary, names binary, more binary, {_TOLD_SQL}, {id_sql}"
+    )
+    return blobs.groupBy("part").applyInArrow(met, f"kind int, b long, {_TOLD_SQL}, {id_sql}")
 
 
 def fold_to(sketch: bytes, words: int) -> np.ndarray:
@@ -284,44 +316,99 @@ def _possible(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
     return sized.mapInArrow(run, "a long, b long, apart long")
 
 
-def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
+def _close_pairs(rows: dict[str, np.ndarray], sketches: list[bytes], bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, apart) of all rows of one bucket and different components that sizes and bit sketches allow to link.
+
+    ``rows`` are in order of their buckets. Row i meets row i + 1, then i + 2 and so on, for all
+    buckets at once; two blocks of a large bucket meet only each other.
+    """
+    bucket, label, n, block, mixed = (rows[c] for c in ("bucket", "label", "n", "block", "mixed"))
+    words = np.array([len(s) // 8 for s in sketches], np.int64)
+    begins = np.cumsum(words) - words
+    flat = np.frombuffer(b"".join(sketches), np.uint64)
+
+    def matrix(of: np.ndarray, to: int) -> np.ndarray:
+        """Sketches of these rows, all as long, folded to ``to`` words."""
+        data = flat[begins[of][:, None] + np.arange(words[of[0]])]
+        while data.shape[1] > to:
+            half = data.shape[1] // 2
+            data = data[:, :half] ^ data[:, half:]
+        return data
+
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    left = np.arange(len(bucket))
+    step = 0
+    while len(left):
+        step += 1
+        left = left[left + step < len(bucket)]
+        left = left[bucket[left] == bucket[left + step]]
+        i, j = left, left + step
+        small, big = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        meet = (label[i] != label[j]) & (small * bands.share_of >= big * bands.share) & (~mixed[i] | (block[i] != block[j]))
+        i, j = i[meet], j[meet]
+        for sizes in np.unique(np.stack([words[i], words[j]], axis=1), axis=0) if len(i) else ():
+            own = np.flatnonzero((words[i] == sizes[0]) & (words[j] == sizes[1]))
+            to = int(sizes.min())
+            most = max(1, (1 << 22) // to)
+            for at in range(0, len(own), most):
+                x, y = i[own[at : at + most]], j[own[at : at + most]]
+                apart = np.bitwise_count(matrix(x, to) ^ matrix(y, to)).sum(axis=1).astype(np.int64)
+                hit = apart <= bands.most_apart(n[x], n[y])
+                found.append((x[hit], y[hit], apart[hit]))
+    if not found:
+        return (np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, bands: Bands, nearest: bool) -> DataFrame:
     """Pairs of one bucket but different components that sizes and bit sketches allow to link.
 
-    A bucket of more than ``BLOCK`` sets is cut into blocks, and each pair of blocks is a group of
-    its own, so that a task holds two blocks at most.
+    ``nearest``: for each set the nearest of these alone. A bucket of more than ``BLOCK`` sets is cut into
+    blocks, and each pair of blocks is a bucket of its own, so that no task needs all of it.
     """
-    named = members.select("key", F.col("a").alias("name")).distinct().join(labels, F.col("name") == F.col("node"), "left").select(
-        "key", "name", F.coalesce("label", "name").alias("label")
-    )
+    parts = 4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = members.join(labels, F.col("name") == F.col("node"), "left").select("key", "name", F.coalesce("label", "name").alias("label"))
     several = named.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     blocks = F.ceil(F.col("n_rows") / BLOCK)
-    block = F.pmod(F.xxhash64("name"), blocks)
     held = (
         named.join(several.select("key", "n_rows"), "key").join(nodes, "name")
-        .withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "label", "n", "sketch")
+        .withColumn("block", F.pmod(F.xxhash64("name"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .select(
+            "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "label", "n", "sketch"
+        )
+        .withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)))
     )
 
     def compared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        low, high = key[1].as_py(), key[2].as_py()
-        name, label, n, own = (table.column(c).to_numpy() for c in ("name", "label", "n", "block"))
-        sketches = table.column("sketch").to_pylist()
-        words = min(map(len, sketches)) // 8
-        matrix = np.stack([fold_to(s, words) for s in sketches])
-        found = []
-        for i in range(len(name)):
-            others = np.flatnonzero((label != label[i]) & ((own == high) if low != high else (np.arange(len(name)) > i)))
-            if low != high and own[i] != low or not len(others):
-                continue
-            small, big = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
-            others = others[small * bands.share_of >= big * bands.share]
-            apart = np.bitwise_count(matrix[others] ^ matrix[i]).sum(axis=1)
-            hits = others[apart <= bands.most_apart(n[others], n[i])]
-            found.append(np.stack([np.minimum(name[hits], name[i]), np.maximum(name[hits], name[i])], axis=1))
-        both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])})
-
-    return held.groupBy("key", "low", "high").applyInArrow(compared, "a long, b long")
+        rows = {c: table.column(c).to_numpy() for c in ("key", "low", "high", "block", "name", "label", "n")}
+        order = np.lexsort((rows["name"], rows["high"], rows["low"], rows["key"]))
+        rows = {c: x[order] for c, x in rows.items()}
+        new = np.zeros(len(order), bool)
+        for c in ("key", "low", "high"):
+            new[1:] |= rows[c][1:] != rows[c][:-1]
+        rows |= {"bucket": np.cumsum(new), "mixed": rows["low"] != rows["high"]}
+        sketches = table.column("sketch").take(pa.array(order)).to_pylist()
+        i, j, apart = _close_pairs(rows, sketches, bands)
+        a, b = np.minimum(rows["name"][i], rows["name"][j]), np.maximum(rows["name"][i], rows["name"][j])
+        if nearest and len(a):
+            kept = np.zeros(len(a), bool)
+            for side in (a, b):
+                ranked = np.lexsort((b, a, apart, side))
+                first = np.ones(len(ranked), bool)
+                first[1:] = side[ranked][1:] != side[ranked][:-1]
+                kept[ranked[first]] = True
+            a, b = a[kept], b[kept]
+        a, b = _pairs(a, b)
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    return held.groupBy("part").applyInArrow(compared, "a long, b long")
+
+
+def _of_two(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose sets are in different components."""
+    label_of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+    both = pairs.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left")
+    return both.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, bands: Bands, size: int) -> DataFrame:
@@ -334,7 +421,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, bands: Bands,
         for batch in batches:
             if batch.num_rows:
                 batch = batch.filter(pa.array(shared.value.test(batch.column(1).to_numpy())))
-            for piece in parts_of(batch, 0):
+            for piece in parts_of(batch, 0, PIECE_BYTES):
                 made = Sets(texts_of(piece.column(0)), size)
                 name, kept = np.unique(made.names, return_index=True)
                 blobs = pa.array([made.of(k).tobytes() for k in kept.tolist()], pa.binary())
@@ -369,49 +456,35 @@ def near_groups(
 
 
 def _component_rows(df: DataFrame, id_col: str, text: str, size: int, share: int, share_of: int) -> DataFrame:
+    """doc_id, mark (a hash of the text), n, component_id and first_mark (of the row that stays) of each document."""
     spark, bands = df.sparkSession, Bands(share, share_of)
     # A number for each document by which the texts of chosen ones are found again; equal ones only mean more texts.
     key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text)))
     texts = df.select(
         F.coalesce(F.col(text), F.lit("")).alias("text"), key.alias("row_key"), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text)).alias("mark")
     )
-
-    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in (piece for whole in batches for piece in parts_of(whole, 0)):
-            sets = Sets(texts_of(piece.column(0)), size)
-            sketches = pa.array([sets.sketch(k) if sets.sizes[k] else None for k in range(len(sets.sizes))], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(2), piece.column(3), piece.column(1), pa.array(sets.sizes), pa.array(sets.names), sketches],
-                names=["doc_id", "mark", "row_key", "n", "name", "sketch"],
-            )
-
-    kind = dict(texts.dtypes)["doc_id"]
-    rows = settle(texts.mapInArrow(described, f"doc_id {kind}, mark long, row_key long, n long, name long, sketch binary"), "described")
+    size_of_all = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size_of_all // (GROUP_BYTES * TASK_ROWS))
+    told = settle(_grouped(texts, bands, size, parts), "buckets")
+    rows = told.where(F.col("kind") == _TEXTS).select("doc_id", "mark", "row_key", "n", F.col("a").alias("name"), "sketch")
     filled = rows.where("n > 0")
     nodes = settle(filled.groupBy("name").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
-
-    total = filled.agg(F.sum("n")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (2 * TASK_ROWS))
-    buckets = settle(_grouped(texts.select("text"), bands, size, parts), "buckets")
-    starred = buckets.where(F.col("kind") == _PAIRS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    starred = told.where(F.col("kind") == _PAIRS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    members = settle(told.where(F.col("kind") == _MEMBERS).select(F.col("b").alias("key"), F.col("a").alias("name")).distinct(), "members")
     possible = settle(_possible(starred, nodes, bands), "possible")
-    # Round one: each set with the one that seems nearest of those it may link with.
-    nearest = settle(possible.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b"), "nearest")
     plain = texts.select("text", "row_key")
-    links = settle(_verified(nearest, filled, plain, bands, size), "linked")
+    # Round one: each set with the one that seems nearest of those it was compared with.
+    tested = settle(possible.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b"), "tested")
+    links = settle(_verified(tested, filled, plain, bands, size), "linked")
     labels = settle(components(links), "labels")
-    # Round two: whatever may still join two components.
-    label_of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
-    members = buckets.where(F.col("kind") == _MEMBERS).select(F.col("a").alias("key"), F.col("b").alias("a"))
-    across = _across(members, labels, nodes, bands).unionByName(possible.select("a", "b")).distinct()
-    open_pairs = (
-        across.join(nearest, ["a", "b"], "left_anti").join(label_of("a"), "a", "left").join(label_of("b"), "b", "left")
-        .where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-    )
-    open_pairs = settle(open_pairs, "open")
-    more = _verified(open_pairs, filled, plain, bands, size)
-    labels = settle(components(settle(links.unionByName(more), "linked")), "labels")
-
+    # Round two: each set's nearest of another component. Round three: whatever may still join two components.
+    for nearest in (True, False):
+        new = _across(members, labels, nodes, bands, nearest).unionByName(possible.select("a", "b")).distinct()
+        new = settle(_of_two(new, labels).join(tested, ["a", "b"], "left_anti"), "tested")
+        more = settle(_verified(new, filled, plain, bands, size), "linked")
+        tested, links = tested.unionByName(new), links.unionByName(more)
+        if not more.isEmpty():
+            labels = settle(components(links), "labels")
     named = rows.join(labels, (F.col("name") == F.col("node")) & (F.col("n") > 0), "left").select(
         "doc_id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("label", "name")).alias("label")
     )

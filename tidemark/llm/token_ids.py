@@ -176,10 +176,10 @@ def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray
     return flat, np.concatenate(([0], ends)).astype(np.int64)
 
 
-def parts_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts take about ``PART_BYTES``; a longer text is a run of its own."""
+def parts_of(batch: pa.RecordBatch, column: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts take about ``most`` bytes (``PART_BYTES``); a longer text is a run of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(sizes) // PART_BYTES
+    group = np.cumsum(sizes) // (most or PART_BYTES)
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for begin, end in zip(cuts, cuts[1:]):
         if end > begin:
