@@ -19,12 +19,13 @@ HASHES = 3
 def components(links: DataFrame) -> DataFrame:
     """One row per linked node: node, label (the smallest node it reaches). ``links`` has long columns a and b.
 
-    Large-star and small-star steps by turns: every node hands its smallest neighbour to its other
-    neighbours, first to the larger ones, then to the smaller ones, until the links are stars around
-    the smallest node. Each round is written to the shared folder; the number of rounds grows with
-    the logarithm of the longest chain. Minima are combined before the shuffle.
+    Each task first turns its own links into stars. Then large-star and small-star steps by turns:
+    every node hands its smallest neighbour to its other neighbours, first to the larger ones,
+    then to the smaller ones, until the links are stars around the smallest node. Each round is
+    written to the shared folder; the number of rounds grows with the logarithm of the longest
+    chain. Minima are combined before the shuffle.
     """
-    pairs = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    pairs = links.where("a <> b").select("a", "b").mapInArrow(_stars, "u long, v long")
     pairs, before = settle(pairs, "links"), None
     while True:
         now = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
@@ -43,6 +44,24 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's links (a, b) as links (u, v) of each node with the smallest one it reaches by them."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+    both = np.array([(x, root(x)) for x in parent], np.int64).reshape(-1, 2)
+    both = both[both[:, 0] != both[:, 1]]
+    yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["u", "v"])
+
+
 def _cells(values: np.ndarray, bits: int) -> np.ndarray:
     a = mix64(values.astype(np.int64).view(np.uint64))
     b = (a >> np.uint64(32)) | np.uint64(1)
@@ -95,6 +114,6 @@ def bloom_of(df: DataFrame, column: str, bits_per_row: int = 12, max_bits: int =
         .groupBy("slice").applyInArrow(merged, "slice long, bitmap binary")
     )
     whole = bytearray(bits // 8)
-    for row in slices.toLocalIterator():
+    for row in slices.collect():  # at most max_bits / 8 bytes
         whole[row.slice * (SLICE_BITS // 8) : (row.slice + 1) * (SLICE_BITS // 8)] = row.bitmap
     return Bloom(bytes(whole), bits)

@@ -47,6 +47,8 @@ SHARE, SHARE_OF = 85, 100
 BLOCK = 1024
 #: Group rows that one task sorts, and bytes of text that make one; they set the number of shuffle partitions for large inputs.
 TASK_ROWS, GROUP_BYTES = 1 << 21, 16
+#: Rows that are compared at once, and with how many of those behind them.
+AT_ONCE, STEPS = 1 << 14, 32
 #: Bytes of text whose sets are made at a time.
 PIECE_BYTES = 8 << 20
 SEPARATOR = np.uint64(0xA0761D6478BD642F)
@@ -319,8 +321,8 @@ def _possible(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
 def _close_pairs(rows: dict[str, np.ndarray], sketches: list[bytes], bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, apart) of all rows of one bucket and different components that sizes and bit sketches allow to link.
 
-    ``rows`` are in order of their buckets. Row i meets row i + 1, then i + 2 and so on, for all
-    buckets at once; two blocks of a large bucket meet only each other.
+    ``rows`` are in order of their buckets. Row i meets rows i + 1 to i + ``STEPS``, then the next so
+    many, for all buckets at once; two blocks of a large bucket meet only each other.
     """
     bucket, label, n, block, mixed = (rows[c] for c in ("bucket", "label", "n", "block", "mixed"))
     words = np.array([len(s) // 8 for s in sketches], np.int64)
@@ -336,25 +338,29 @@ def _close_pairs(rows: dict[str, np.ndarray], sketches: list[bytes], bands: Band
         return data
 
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    left = np.arange(len(bucket))
-    step = 0
+    ends = np.searchsorted(bucket, bucket, side="right")
+    first = 1
+    left = np.flatnonzero(ends - np.arange(len(bucket)) > first)
     while len(left):
-        step += 1
-        left = left[left + step < len(bucket)]
-        left = left[bucket[left] == bucket[left + step]]
-        i, j = left, left + step
-        small, big = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        meet = (label[i] != label[j]) & (small * bands.share_of >= big * bands.share) & (~mixed[i] | (block[i] != block[j]))
-        i, j = i[meet], j[meet]
-        for sizes in np.unique(np.stack([words[i], words[j]], axis=1), axis=0) if len(i) else ():
-            own = np.flatnonzero((words[i] == sizes[0]) & (words[j] == sizes[1]))
-            to = int(sizes.min())
-            most = max(1, (1 << 22) // to)
-            for at in range(0, len(own), most):
-                x, y = i[own[at : at + most]], j[own[at : at + most]]
-                apart = np.bitwise_count(matrix(x, to) ^ matrix(y, to)).sum(axis=1).astype(np.int64)
-                hit = apart <= bands.most_apart(n[x], n[y])
-                found.append((x[hit], y[hit], apart[hit]))
+        for at in range(0, len(left), AT_ONCE):
+            own = left[at : at + AT_ONCE]
+            i, j = np.repeat(own, STEPS), (own[:, None] + np.arange(first, first + STEPS)).ravel()
+            inside = j < ends[i]
+            i, j = i[inside], j[inside]
+            small, big = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            meet = (label[i] != label[j]) & (small * bands.share_of >= big * bands.share) & (~mixed[i] | (block[i] != block[j]))
+            i, j = i[meet], j[meet]
+            for sizes in np.unique(np.stack([words[i], words[j]], axis=1), axis=0) if len(i) else ():
+                alike = np.flatnonzero((words[i] == sizes[0]) & (words[j] == sizes[1]))
+                to = int(sizes.min())
+                most = max(1, (1 << 21) // int(sizes.max()))
+                for part in range(0, len(alike), most):
+                    x, y = i[alike[part : part + most]], j[alike[part : part + most]]
+                    apart = np.bitwise_count(matrix(x, to) ^ matrix(y, to)).sum(axis=1).astype(np.int64)
+                    hit = apart <= bands.most_apart(n[x], n[y])
+                    found.append((x[hit], y[hit], apart[hit]))
+        first += STEPS
+        left = left[ends[left] - left > first]
     if not found:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(c) for c in zip(*found))
@@ -366,12 +372,12 @@ def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, bands: Band
     ``nearest``: for each set the nearest of these alone. A bucket of more than ``BLOCK`` sets is cut into
     blocks, and each pair of blocks is a bucket of its own, so that no task needs all of it.
     """
-    parts = 4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = members.join(labels, F.col("name") == F.col("node"), "left").select("key", "name", F.coalesce("label", "name").alias("label"))
     several = named.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     blocks = F.ceil(F.col("n_rows") / BLOCK)
     held = (
-        named.join(several.select("key", "n_rows"), "key").join(nodes, "name")
+        named.join(several.select("key", "n_rows"), "key").join(nodes.select("name", "n", "sketch"), "name")
         .withColumn("block", F.pmod(F.xxhash64("name"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         .select(
             "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "label", "n", "sketch"
@@ -411,11 +417,11 @@ def _of_two(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, bands: Bands, size: int) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, bands: Bands, size: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link. Sets are made again from the texts of one document each."""
     wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
-    chosen = settle(rows.join(wanted, "name", "left_semi").groupBy("name").agg(F.min("row_key").alias("row_key")).select("row_key"), "chosen")
-    shared = rows.sparkSession.sparkContext.broadcast(bloom_of(chosen, "row_key"))
+    chosen = settle(nodes.join(wanted, "name", "left_semi").select("row_key"), "chosen")
+    shared = nodes.sparkSession.sparkContext.broadcast(bloom_of(chosen, "row_key"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -468,22 +474,26 @@ def _component_rows(df: DataFrame, id_col: str, text: str, size: int, share: int
     told = settle(_grouped(texts, bands, size, parts), "buckets")
     rows = told.where(F.col("kind") == _TEXTS).select("doc_id", "mark", "row_key", "n", F.col("a").alias("name"), "sketch")
     filled = rows.where("n > 0")
-    nodes = settle(filled.groupBy("name").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+    one = [F.first(c).alias(c) for c in ("n", "sketch")]
+    nodes = settle(filled.groupBy("name").agg(*one, F.min("row_key").alias("row_key")), "nodes")
     starred = told.where(F.col("kind") == _PAIRS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    members = settle(told.where(F.col("kind") == _MEMBERS).select(F.col("b").alias("key"), F.col("a").alias("name")).distinct(), "members")
+    members = told.where(F.col("kind") == _MEMBERS).select(F.col("b").alias("key"), F.col("a").alias("name"))
     possible = settle(_possible(starred, nodes, bands), "possible")
     plain = texts.select("text", "row_key")
     # Round one: each set with the one that seems nearest of those it was compared with.
     tested = settle(possible.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b"), "tested")
-    links = settle(_verified(tested, filled, plain, bands, size), "linked")
-    labels = settle(components(links), "labels")
+    links = settle(_verified(tested, nodes, plain, bands, size), "linked")
+    # These links are trees; two steps towards the roots are enough to tell most of them apart in round two.
+    up = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
+    further = up.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    labels = settle(up.join(further, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
     # Round two: each set's nearest of another component. Round three: whatever may still join two components.
     for nearest in (True, False):
         new = _across(members, labels, nodes, bands, nearest).unionByName(possible.select("a", "b")).distinct()
         new = settle(_of_two(new, labels).join(tested, ["a", "b"], "left_anti"), "tested")
-        more = settle(_verified(new, filled, plain, bands, size), "linked")
+        more = settle(_verified(new, nodes, plain, bands, size), "linked")
         tested, links = tested.unionByName(new), links.unionByName(more)
-        if not more.isEmpty():
+        if nearest or not more.isEmpty():
             labels = settle(components(links), "labels")
     named = rows.join(labels, (F.col("name") == F.col("node")) & (F.col("n") > 0), "left").select(
         "doc_id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("label", "name")).alias("label")
