@@ -41,7 +41,7 @@ FREQUENT, ENDINGS = 192, 62
 CLASSES = FREQUENT + ENDINGS + 1
 END = FREQUENT + ENDINGS
 START = CLASSES  # what stands before a text
-ORDER, WIDTH, NOISE, BLOCK, ROUNDS, STEP, CALM = 3, 24, 64, 1024, 4, 0.1, 1e-6
+ORDER, WIDTH, NOISE, BLOCK, ROUNDS, STEP, CALM = 3, 16, 48, 1024, 4, 0.1, 1e-6
 #: Words whose counts are broadcast, and the longest of them: at most 2^18 * (64 + 8) bytes or 19 MB.
 KNOWN, KNOWN_BYTES = 1 << 18, 64
 #: Tokens scored by one matrix product.
