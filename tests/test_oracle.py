@@ -9,9 +9,10 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import TESTDATA
 from tests.oracle import compare, connect
+from tidemark.plans import catalog
 
 UNWANTED = r"PythonEval|BatchEval|ArrowEval|MapInPandas|FlatMapGroups|CartesianProduct|NestedLoopJoin"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def duck():
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
