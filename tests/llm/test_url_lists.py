@@ -8,8 +8,10 @@ import re
 
 import pytest
 
+from tests.oracle import compare, connect
 from tidemark.llm import url_lists
 
+SF = "/root/testdata/sf0.01"
 DAY = dt.datetime(2024, 3, 1)
 LOG = "kind string, pattern string, category string, action string, listed_at timestamp_ntz"
 CAPTURES = "page_id long, url string, fetched_at timestamp_ntz, kind int"
@@ -75,6 +77,13 @@ def test_against_a_replay(spark, seed):
     assert sum(w[4] > 0 for w in want) > 30
 
 
+def test_query_equals_sql(spark):
+    ok, note = compare(url_lists.op3_url_lists(spark, SF), connect(SF), url_lists.ORACLE_SQL["op3_url_lists"])
+    assert ok, note
+    matched = url_lists.op3_url_lists(spark, SF).where("n_matches > 0").count()
+    assert matched > 10
+
+
 def test_intervals_begin_and_end(spark):
     log = [("host", "h", "spam", a, hours(t)) for a, t in [("remove", 0), ("add", 1), ("add", 30), ("remove", 60), ("add", 60), ("add", 100), ("remove", 101)]]
     rows = url_lists.intervals(spark.createDataFrame(log, LOG)).orderBy("valid_from").collect()

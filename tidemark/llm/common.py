@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,6 +31,7 @@ def fold(key: str | Column, parts: int) -> Column:
 def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``work`` on one Arrow batch after another: memory is bounded by a batch."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -37,6 +40,29 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return to the system what finished batches have left: Spark keeps Python workers, and their memory, for later tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def tidied(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's generator, after which its memory is given back."""
+
+    @functools.wraps(work)
+    def run(*given: object) -> Iterator:
+        try:
+            yield from work(*given)
+        finally:
+            give_back()
+
+    return run
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """Texts of a batch; NULL becomes the empty text.
 

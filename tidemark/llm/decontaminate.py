@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import read_table, shingle_hashes, split_words, texts_of, word_codes, word_hashes
+from tidemark.llm.common import read_table, shingle_hashes, split_words, texts_of, tidied, word_codes, word_hashes
 from tidemark.llm.token_ids import parts_of
 
 SEED = 5
@@ -217,6 +217,7 @@ def find_items(
     for block in blocks(benchmark, item_id, item_text, block_bytes, seed, least):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
+        @tidied
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
             for batch in (piece for whole in batches for piece in parts_of(whole, 1)):
@@ -243,6 +244,7 @@ def drop_contaminated(
     for block in blocks(benchmark, item_id, item_text, block_bytes, seed, least):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
+        @tidied
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in (piece for whole in batches for piece in parts_of(whole, place)):
                 clean = np.ones(batch.num_rows, bool)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from tidemark.llm.common import read_table, texts_of
+from tidemark.llm.common import read_table, texts_of, tidied
 from tidemark.session import settle
 
 HASHES = 3
@@ -54,6 +54,7 @@ def repeat_filter(df: DataFrame, text: str, bits_per_row: int = 16, max_bits: in
     """(bitmap of the cells set at least twice, number of cells)."""
     bits = _filter_bits(df.select(F.lit(1)).count(), bits_per_row, max_bits)
 
+    @tidied
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells, counts = np.unique(_cells(_folded(texts_of(batch.column(0))), bits).ravel(), return_counts=True)
@@ -91,6 +92,7 @@ def with_repeat_flag(df: DataFrame, text: str, sha: str, flag: str, **size) -> D
     bitmap, bits = repeat_filter(df, text, **size)
     shared = df.sparkSession.sparkContext.broadcast(bitmap)
 
+    @tidied
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = np.frombuffer(shared.value, np.uint8)
         for batch in batches:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import mix64, read_table, shingle_hashes, split_words, texts_of, word_codes, word_hashes
+from tidemark.llm.common import mix64, read_table, shingle_hashes, split_words, texts_of, tidied, word_codes, word_hashes
 from tidemark.llm.components import bloom_of, components
 from tidemark.llm.token_ids import parts_of
 from tidemark.session import settle
@@ -216,6 +216,7 @@ def _grouped(texts: DataFrame, bands: Bands, size: int, parts: int) -> DataFrame
         }
         return _filled(columns, sent_fields)
 
+    @tidied
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in (piece for whole in batches for piece in parts_of(whole, 0, PIECE_BYTES)):
             sets = Sets(texts_of(piece.column(0)), size)
@@ -307,6 +308,7 @@ def _possible(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
         (F.col("n_a") * bands.share_of >= F.col("n_b") * bands.share) & (F.col("n_b") * bands.share_of >= F.col("n_a") * bands.share)
     )
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -423,6 +425,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, bands: Bands
     chosen = settle(nodes.join(wanted, "name", "left_semi").select("row_key"), "chosen")
     shared = nodes.sparkSession.sparkContext.broadcast(bloom_of(chosen, "row_key"))
 
+    @tidied
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -433,6 +436,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, bands: Bands
                 blobs = pa.array([made.of(k).tobytes() for k in kept.tolist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(name), blobs], names=["name", "members"])
 
+    @tidied
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []

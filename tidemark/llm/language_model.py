@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, read_table, split_words, texts_of, word_codes, word_hashes
+from tidemark.llm.common import fold, read_table, split_words, texts_of, tidied, word_codes, word_hashes
 from tidemark.llm.token_ids import parts_of
 from tidemark.session import settle
 
@@ -59,6 +59,7 @@ def ending_class(words: pa.Array) -> np.ndarray:
 def counted(docs: DataFrame, text: str) -> DataFrame:
     """(word, c) over all texts; each batch is counted before the shuffle."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in parts_of(whole, 0)):
             words, _ = split_words(pc.ascii_lower(texts_of(batch.column(0))))
@@ -112,6 +113,7 @@ def build_vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     vocabulary = Vocabulary(words, c, min(FREQUENT, len(words)), tokens, types, ends)
     shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
 
+    @tidied
     def of_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((CLASSES, 2))
         for batch in batches:
@@ -239,6 +241,7 @@ def train(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     for number in range(rounds):
         shared = rows.sparkSession.sparkContext.broadcast(model)
 
+        @tidied
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             trainer, seen = Trainer(shared.value, 7919 * number + TaskContext.get().partitionId()), 0
             for batch in batches:
@@ -273,6 +276,7 @@ def read_texts(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text: str)
     """One row per text: row, doc_id, held_out, n_tokens, what the broadcast counts tell, its classes, its rarer words."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         row = TaskContext.get().partitionId() << 33
@@ -318,6 +322,7 @@ def score_classes(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Data
     within = np.where(alone, -np.log10(vocabulary.class_tokens + 1), constant) + vocabulary.log_total
     shared = rows.sparkSession.sparkContext.broadcast((model, within))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, within = shared.value
         for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import read_table, texts_of, word_codes
+from tidemark.llm.common import read_table, texts_of, tidied, word_codes
 from tidemark.llm.token_ids import parts_of
 
 #: Other sentences that may lie between two members of a rule.
@@ -192,6 +192,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame
     NULL and empty texts have none. Rows with the same or a NULL id are taken one by one.
     """
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in parts_of(whole, 1)):
             found = list(licences_of(texts_of(batch.column(1))))

@@ -34,10 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read_table, texts_of
+from tidemark.llm.common import read_table, texts_of, tidied
 from tidemark.llm.token_ids import VOCABULARY_SIZE, encode, parts_of, vocabulary_path
 from tidemark.session import scratch_path
 
+#: Bytes of text whose distinct words are encoded together.
+PIECE_BYTES = 24 << 20
+
 MAGIC = b"TMPACK01"
 HEAD = struct.Struct("<8sII5Q")
 
@@ -132,6 +135,7 @@ def write_ids(
     """
     path, bits = vocabulary or vocabulary_path(), id_bits(vocabulary_size)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, before = TaskContext.get().partitionId(), 0, 0
         chunks: list[np.ndarray] = []
@@ -145,7 +149,7 @@ def write_ids(
             number, before = number + 1, before + len(ids)
             chunks.clear(), docs.clear(), sizes.clear()
 
-        for batch in (piece for whole in batches for piece in parts_of(whole, 1)):
+        for batch in (piece for whole in batches for piece in parts_of(whole, 1, PIECE_BYTES)):
             ids, offsets = encode(texts_of(batch.column(1)), path)
             keys, lengths = batch.column(0).to_pylist(), np.diff(offsets)
             at, held = 0, sum(sizes)
@@ -179,6 +183,7 @@ def write_ids(
 def read_ids(spark: SparkSession, folder: str, parts: DataFrame) -> DataFrame:
     """One row per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):

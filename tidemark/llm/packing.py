@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read_table, texts_of
+from tidemark.llm.common import read_table, texts_of, tidied
 from tidemark.llm.token_ids import encode, parts_of, vocabulary_path
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -135,6 +135,7 @@ def pack(
     if size < 1 or size & (size - 1):
         raise ValueError("size must be a power of two")
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(size, linear, quadratic, block_docs, TaskContext.get().partitionId())
         for batch in (piece for whole in batches for piece in parts_of(whole, 1)):

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, read_table, split_words, texts_of, word_codes
+from tidemark.llm.common import fold, read_table, split_words, texts_of, tidied, word_codes
 from tidemark.llm.token_ids import parts_of
 from tidemark.session import settle
 
@@ -33,12 +33,15 @@ MEASURES = (
 )
 #: Standardised measures are cut at so many standard deviations.
 REACH = 6.0
+#: Bytes of text that are measured at a time; a measure takes some fifty times as much for a moment.
+PIECE_BYTES = 4 << 20
 STEPS = (1.0, 0.5, 0.25, 0.1, 0.03)
 
 
 def _sums(mask: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sum of ``mask`` in each text."""
-    total = np.concatenate(([0], np.cumsum(mask, dtype=np.int64)))
+    total = np.zeros(len(mask) + 1, np.int64)
+    np.cumsum(mask, out=total[1:])
     return (total[starts[1:]] - total[starts[:-1]]).astype(np.float64)
 
 
@@ -115,9 +118,10 @@ def measures(texts: pa.Array) -> np.ndarray:
 def features(df: DataFrame, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the ``keep`` columns, and ``x``: the measures of each text. NULL counts as empty."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = len(keep) + 1
-        for batch in (piece for whole in batches for piece in parts_of(whole, place)):
+        for batch in (piece for whole in batches for piece in parts_of(whole, place, PIECE_BYTES)):
             table = measures(texts_of(batch.column(place)))
             flat = pa.array(table.astype(np.float32).ravel())
             x = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, len(MEASURES)), pa.int32()), flat)
@@ -138,6 +142,7 @@ def summed(rows: DataFrame, work, size: int) -> np.ndarray:
     Spark adds the tasks' arrays entry by entry; the driver gets ``size`` numbers.
     """
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
@@ -232,6 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 def scores(rows: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), drop_x: bool = True) -> DataFrame:
     """The ``keep`` columns of ``rows`` and the score of each."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -261,9 +267,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
     model, _ = train(docs, labels, id_col, text)
     names = docs.columns
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = names.index(text)
-        for batch in (piece for whole in batches for piece in parts_of(whole, place)):
+        for batch in (piece for whole in batches for piece in parts_of(whole, place, PIECE_BYTES)):
             good = model.score(measures(texts_of(batch.column(place)))) >= 0.5
             yield batch.filter(pa.array(good))
 

@@ -32,8 +32,8 @@ CALL = 512
 #: Plain words whose ids a worker keeps.
 KEPT = 1 << 19
 
-#: Bytes of text whose distinct words are held at a time.
-PART_BYTES = 24 << 20
+#: Bytes of text that are worked on at a time.
+PART_BYTES = 8 << 20
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
