@@ -1,8 +1,9 @@
 """Licences in texts by their sentences.
 
-A text is cut into sentences; each is normalised and looked up among the known licence sentences,
-which gives it an identifier. What is left of a text is the sequence of identifiers, with a mark
-for every other sentence. A rule names a licence by the identifiers that make it up, in order;
+A text is cut into pieces at line ends and sentence ends; each is normalised, which also strips
+comment marks. A known licence sentence is found where one piece or several in a row give its
+words, whatever the lines or marks it is broken at, and gets an identifier. What is left of a text
+is the sequence of identifiers, with a mark for every other piece. A rule names a licence by the identifiers that make it up, in order;
 its members may be apart by a few other sentences. Rules are applied in the order of ``RULES``, from the
 longest to the shortest, and a sentence that belongs to one match is not used for another.
 """
@@ -78,6 +79,45 @@ SENTENCES = {
         "merchantability or fitness for a particular purpose"
     ),
     "gpl-details": "see the gnu general public license for more details",
+    "gpl-title": "gnu general public license version <n> 29 june 2007",
+    "lgpl-free": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+        "published by the free software foundation either version <n> of the license or at your option any later version"
+    ),
+    "lgpl-hope": (
+        "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+        "merchantability or fitness for a particular purpose"
+    ),
+    "lgpl-details": "see the gnu lesser general public license for more details",
+    "lgpl-title": "gnu lesser general public license version <n> 29 june 2007",
+    "agpl-free": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as "
+        "published by the free software foundation either version <n> of the license or at your option any later version"
+    ),
+    "agpl-details": "see the gnu affero general public license for more details",
+    "agpl-title": "gnu affero general public license version <n> 19 november 2007",
+    "apache-title": "apache license version <n> january 2004",
+    "mpl-notice": "this source code form is subject to the terms of the mozilla public license v <n>",
+    "mpl-title": "mozilla public license version <n> 1 definitions",
+    "bsd-advert": "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "0bsd-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "zlib-grant": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and "
+        "redistribute it freely subject to the following restrictions"
+    ),
+    "zlib-origin": "the origin of this software must not be misrepresented you must not claim that you wrote the original software",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "bsl-grant": (
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying "
+        "documentation covered by this license the software to use reproduce display distribute execute and transmit the software and "
+        "to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject "
+        "to the following"
+    ),
+    "epl-notice": (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license v<n> which "
+        "accompanies this distribution and is available at"
+    ),
+    "cc0-title": "creative commons legal code cc0 <n> universal",
     "cc-by-notice": "licensed under cc by <n>",
     "cc-by-sa-notice": "licensed under cc by sa <n>",
     "cc-by-nc-notice": "licensed under cc by nc <n>",
@@ -87,20 +127,92 @@ SENTENCES = {
     "cc-by-work": "this work is licensed under a creative commons attribution <n> international license",
     "reserved": "all rights reserved",
 }
+
+# Other wordings of some of them. <x> stands for 1 to ``WILD`` words, such as an owner's name.
+WORDINGS = {
+    "apache-notice": (
+        "licensed under the apache license version <n> the license",
+        "the asf licenses this file to you under the apache license version <n> the license",
+        "<x> licenses this file to you under the apache license version <n> the license",
+    ),
+    "apache-copy": ("you may obtain a copy of the license at https www apache org licenses license 2 0",),
+    "apache-title": ("apache license version <n> january 2004 http www apache org licenses", "apache license version <n> january 2004 https www apache org licenses"),
+    "mit-keep": (
+        "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or "
+        "substantial portions of the software",
+    ),
+    "bsd-source": ("redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer in this position and unchanged",),
+    "bsd-names": (
+        "neither the name of <x> nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission",
+        "neither the name of <x> nor the names of <x> contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission",
+        "neither the names of <x> nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission",
+        "the name of <x> may not be used to endorse or promote products derived from this software without specific prior written permission",
+    ),
+    "isc-grant": (
+        "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "gpl-free": (
+        "<x> is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
+        "published by the free software foundation either version <n> of the license or at your option any later version",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
+        "version <n> as published by the free software foundation",
+    ),
+    "gpl-hope": (
+        "<x> is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+        "merchantability or fitness for a particular purpose",
+    ),
+    "lgpl-free": (
+        "<x> is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+        "published by the free software foundation either version <n> of the license or at your option any later version",
+    ),
+    "gpl-title": ("gnu general public license version <n> june 1991",),
+    "lgpl-title": ("gnu lesser general public license version <n> february 1999",),
+    "epl-notice": (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license v<n> which "
+        "accompanies this distribution and is available at http www eclipse org legal epl v10 html",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license <n> which is available at",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license <n> which is available at "
+        "https www eclipse org legal epl 2 0",
+    ),
+}
+WILD = 12
 VERSIONS = ("1 0", "1 1", "2 0", "2 1", "2 5", "3 0", "4 0", "1", "2", "3")
 
 # Licences by the sentences that make them up; the first member's version is the licence's.
 RULES = (
     ("Apache", ("apache-notice", "apache-may-not", "apache-copy", "apache-as-is", "apache-limits")),
     ("MIT", ("mit-grant", "mit-keep", "mit-as-is", "mit-liability")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advert")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("GPL", ("gpl-free", "gpl-hope", "gpl-details")),
+    ("LGPL", ("lgpl-free", "lgpl-hope", "lgpl-details")),
+    ("LGPL", ("lgpl-free", "gpl-hope", "lgpl-details")),
+    ("AGPL", ("agpl-free", "gpl-hope", "agpl-details")),
+    ("Zlib", ("zlib-grant", "zlib-origin")),
     ("Apache", ("apache-notice",)),
+    ("Apache", ("apache-title",)),
     ("MIT", ("mit-notice",)),
     ("MIT", ("mit-licensed",)),
     ("ISC", ("isc-grant",)),
+    ("0BSD", ("0bsd-grant",)),
     ("GPL", ("gpl-notice",)),
+    ("GPL", ("gpl-free",)),
+    ("GPL", ("gpl-title",)),
+    ("LGPL", ("lgpl-free",)),
+    ("LGPL", ("lgpl-title",)),
+    ("AGPL", ("agpl-free",)),
+    ("AGPL", ("agpl-title",)),
+    ("MPL", ("mpl-notice",)),
+    ("MPL", ("mpl-title",)),
+    ("EPL", ("epl-notice",)),
+    ("BSL-1.0", ("bsl-grant",)),
+    ("Unlicense", ("unlicense",)),
+    ("CC0", ("cc0-title",)),
     ("CC-BY", ("cc-by-notice",)),
     ("CC-BY", ("cc-by-work",)),
     ("CC-BY-SA", ("cc-by-sa-notice",)),
@@ -114,17 +226,71 @@ RULES = (
 #: Where a text is cut: line ends, and marks that end a sentence before a blank.
 SENTENCE_END = r"\s*\n\s*|[.!?;:]+\s+"
 OTHER = " "
+#: What may stand before a sentence in its line: comment words and marks of a list.
+LEAD = r"(?i)^[^\p{L}\p{N}]*(?:(?:(?:dnl|rem)\b|\(?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})\))(?:\s+|$)[^\p{L}\p{N}]*)+"
 
 
 def known_sentences() -> tuple[list[str], list[str], list[str]]:
     """(normalised sentences, their names, their versions or "")."""
     rows = []
     for name, text in SENTENCES.items():
-        for version in VERSIONS if "<n>" in text else ("",):
-            rows.append((text.replace("<n>", version), name, version.replace(" ", ".")))
+        for wording in (text, *WORDINGS.get(name, ())):
+            for version in VERSIONS if "<n>" in wording else ("",):
+                rows.append((wording.replace("<n>", version), name, version.replace(" ", ".")))
     return tuple(map(list, zip(*rows)))
 
 
+def _tree() -> dict:
+    """Words to what may follow them; under "" the number of the known sentence that ends there."""
+    root: dict = {}
+    for number, sentence in enumerate(known_sentences()[0]):
+        node = root
+        for word in sentence.split():
+            node = node.setdefault(word, {})
+        node.setdefault("", number)
+    return root
+
+
+def _first_pieces() -> str:
+    """A pattern of the pieces that a known sentence may begin with: its first three words, or fewer alone."""
+    long, short, named = set(), set(), set()
+    for sentence in known_sentences()[0]:
+        words = sentence.split()
+        if words[0] == "<x>":
+            named.add(" ".join(words[1:3]))
+            continue
+        words = words[: words.index("<x>")] if "<x>" in words else words
+        long.add(" ".join(words[:3]))
+        short |= {" ".join(words[:k]) for k in (1, 2)}
+    either = lambda words: "|".join(sorted(words))
+    return rf"^(?:(?:{either(long)})(?: .*)?|(?:{either(short)})|(?:[^ ]+ ){{1,{WILD}}}(?:{either(named)})(?: .*)?)$"
+
+
+def _after(states: list[tuple[dict, int]], word: str) -> list[tuple[dict, int]]:
+    """States (place in the tree, words that a name there may still have) behind one more word."""
+    out = []
+    for node, left in states:
+        if left:
+            out.append((node, left - 1))
+        if word in node:
+            out.append((node[word], 0))
+        if "<x>" in node:
+            out.append((node["<x>"], WILD - 1))
+    return out
+
+
+def _sentence_at(pieces: _Pieces, at: int) -> tuple[int, int] | None:
+    """(number, piece behind it) of the longest known sentence that begins with the piece ``at`` and ends with a piece."""
+    states, found = [(_TREE, 0)], None
+    while at < len(pieces):
+        for word in pieces[at]:
+            if not (states := _after(states, word)):
+                return found
+        at += 1
+        found = next(((node[""], at) for node, _ in states if "" in node and pieces[at - 1]), found)
+    return found
+
+
 def normalised(sentences: pa.Array) -> pa.Array:
     """Lower case, letters and digits only, one blank between words."""
     return pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(sentences), r"[^\p{L}\p{N}]+", " "), " ")
@@ -157,31 +323,58 @@ def match_rules(signs: str, versions: list[str]) -> list[tuple[int, str, int]]:
     return sorted(found)
 
 
-_RULES = _rules()
+_RULES, _TREE, _FIRST = _rules(), _tree(), _first_pieces()
 
 
 def licences_of(texts: pa.Array) -> Iterator[tuple[int, list[tuple[int, str, int]], int]]:
     """(text, its matches, its known sentences) of each text with a known licence sentence."""
-    sentences, names, versions = known_sentences()
+    _, names, versions = known_sentences()
     order = list(SENTENCES)
-    signs = np.array([chr(0x4E00 + order.index(n)) for n in names])
+    signs = [chr(0x4E00 + order.index(n)) for n in names]
     cut = pc.split_pattern_regex(texts, SENTENCE_END)
     starts = cut.offsets.to_numpy()
     values = cut.values.slice(starts[0], starts[-1] - starts[0])
     starts = starts - starts[0]
     codes, distinct = word_codes(values)
-    place = pc.index_in(normalised(distinct), value_set=pa.array(sentences, pa.large_string()))
-    known = pc.fill_null(place, -1).to_numpy().astype(np.int64)[codes] if len(codes) else codes
-    hits = np.flatnonzero(known >= 0)
+    if not len(codes):
+        return
+    plain = normalised(pc.replace_substring_regex(distinct, LEAD, ""))
+    hits = np.flatnonzero(pc.match_substring_regex(plain, _FIRST).to_numpy(zero_copy_only=False)[codes])
     owner = np.searchsorted(starts, hits, side="right") - 1
     for text in np.unique(owner).tolist():
-        own = hits[owner == text] if len(hits) < 64 else hits[np.searchsorted(owner, text) : np.searchsorted(owner, text, side="right")]
         begin, end = int(starts[text]), int(starts[text + 1])
-        line, version = np.full(end - begin, OTHER), [""] * (end - begin)
+        own = hits[np.searchsorted(owner, text) : np.searchsorted(owner, text, side="right")]
+        found, free = [], begin
         for at in own.tolist():
-            line[at - begin] = signs[known[at]]
-            version[at - begin] = versions[known[at]]
-        yield text, match_rules("".join(line), version), len(own)
+            if at >= free and (hit := _sentence_at(_Pieces(plain, codes, end), at)):
+                found.append((at, *hit))
+                free = hit[1]
+        if not found:
+            continue
+        empty = pc.equal(plain.take(pa.array(codes[begin:end])), "").to_numpy(zero_copy_only=False)
+        line, version, at = [], [], begin
+        for first, number, behind in [*found, (end, -1, end)]:
+            others = int(first - at - empty[at - begin : first - begin].sum())
+            line += [OTHER] * others
+            version += [""] * others
+            if number >= 0:
+                line.append(signs[number])
+                version.append(versions[number])
+            at = behind
+        yield text, match_rules("".join(line), version), len(found)
+
+
+class _Pieces:
+    """The words of each piece of a text, read where they are asked for."""
+
+    def __init__(self, plain: pa.Array, codes: np.ndarray, end: int):
+        self.plain, self.codes, self.end = plain, codes, end
+
+    def __len__(self) -> int:
+        return self.end
+
+    def __getitem__(self, at: int) -> list[str]:
+        return self.plain[int(self.codes[at])].as_py().split()
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
