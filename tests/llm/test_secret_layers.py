@@ -1,0 +1,74 @@
+"""Secrets under encodings that are not plain text from end to end."""
+
+from __future__ import annotations
+
+import base64
+import bz2
+import gzip
+import lzma
+import zlib
+
+import numpy as np
+import pytest
+import zstandard
+
+from tidemark.llm import secrets
+
+SECRET = 'password = "s3cr3tS3cr3tXY"'
+PACKERS = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstandard.compress}
+
+
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+def hidden(text, **bounds):
+    """The kinds and spans found below the text itself, and the streams left folded."""
+    base, spans, _, folded = secrets.find_secrets(text, **bounds)
+    return set(spans) - set(base), folded
+
+
+@pytest.mark.parametrize("mark", [" ", "　", "​", "﻿", "\f", "\x1b[0m", "\0"])
+@pytest.mark.parametrize("pack", [lambda x: x, gzip.compress], ids=["plain", "gzip"])
+def test_one_odd_character_does_not_hide_a_layer(mark, pack):
+    stretch = b64(pack(f"a {mark} b {SECRET} end".encode()))
+    found, _ = hidden(f"see {stretch} end")
+    assert [k for _, k, _ in found] == [0]
+
+
+@pytest.mark.parametrize("code", ["latin-1", "utf-16", "utf-16-le", "utf-16-be"])
+def test_other_encodings(code):
+    for skip in ("", "x"):
+        data = skip.encode() + f"é {SECRET}".encode(code)
+        (found,), _ = hidden(f"see {b64(data)}")
+        begin, _, end = found
+        at = len(data) - len(SECRET) * (1 if code == "latin-1" else 2)
+        # One byte of the zeros between letters may be taken to the letter before or behind it.
+        assert abs(begin - 4 - at * 8 // 6) <= 2 and 4 + len(b64(data)) - 8 <= end <= 4 + len(b64(data))
+
+
+@pytest.mark.parametrize("code", ["utf-16-le", "utf-16-be"])
+@pytest.mark.parametrize("skip", [b"", b"x"])
+def test_shortest_secrets_in_wide_letters(code, skip):
+    assert hidden("see " + b64(skip + "token=ABCDEFGHIJKL".encode(code)))[0]
+
+
+def test_url_runs_with_other_bytes():
+    run = "".join(f"%{b:02X}" for b in f"é {SECRET}".encode("latin-1"))
+    ((begin, kind, end),), _ = hidden(f"see {run} end")
+    assert (begin, kind, end) == (4 + 6, 0, 4 + len(run) - 3)
+    run = "".join(f"\\u{ord(c):04x}" for c in f"\ud800 {SECRET}")
+    assert hidden(f"see {run} end")[0]
+
+
+@pytest.mark.parametrize("name", PACKERS)
+def test_all_members_of_a_stream(name):
+    members = PACKERS[name](b"first ") + PACKERS[name](b"second ") + PACKERS[name](SECRET.encode())
+    stretch = b64(members)
+    found, folded = hidden(f"see {stretch} end")
+    assert [k for _, k, _ in found] == [0] and not folded
+
+
+def test_places_of_bytes_that_are_no_text():
+    begins, ends = secrets._utf8_places(b"\xe9a\xc3\xa9\xf0\x9f\x98\x80".decode(errors="surrogateescape"))
+    assert begins.tolist() == [0, 1, 2, 4] and ends.tolist() == [1, 2, 4, 8] and begins.dtype == np.int64

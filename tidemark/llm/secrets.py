@@ -5,8 +5,8 @@ unwrapped into new layers, which join the worklist until none is new:
 
 * URL escapes (%41) and Unicode escapes (\\u0041, \\x41, \\U00000041, &#65;, &#x41;): the layer
   with all of them replaced, so that a secret split by escapes is seen in its surroundings;
-* base64, plain or URL-safe: the decoded stretch, if it is text or a compressed stream;
-* gzip, zlib, bzip2, xz and zstandard streams inside base64: the expanded text.
+* base64, plain or URL-safe: the decoded stretch, if it holds a readable run (also in UTF-16) or a compressed stream;
+* gzip, zlib, bzip2, xz and zstandard streams inside base64: the expanded text of all members.
 
 A layer whose content was seen before in this document is not unwrapped again, which ends
 cycles. Each layer maps its characters to spans of the layer it came from, hence in the end to
@@ -110,17 +110,23 @@ def _replaced(layer: Layer, matches: Iterator[re.Match], decode) -> Layer | None
 
 
 def _utf8_places(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and the byte behind the last of each character in UTF-8."""
-    sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text)) if not text.isascii() else np.ones(len(text), np.int64)
+    """First byte and the byte behind the last of each character in UTF-8; a byte that is none has a character of its own."""
+    if text.isascii():
+        sizes = np.ones(len(text), np.int64)
+    else:
+        points = _points(text)
+        sizes = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        sizes[(points >= 0xDC80) & (points <= 0xDCFF)] = 1
     ends = np.cumsum(sizes)
     return ends - sizes, ends
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def _url_run(m: re.Match):
-    try:
-        text = unquote_to_bytes(m.group()).decode()
-    except UnicodeDecodeError:
-        return None
+    text = unquote_to_bytes(m.group()).decode(errors="surrogateescape")
     begins, ends = _utf8_places(text)
     return text, 3 * begins, 3 * ends
 
@@ -128,11 +134,8 @@ def _url_run(m: re.Match):
 def _unicode_run(m: re.Match):
     if m.group(1):
         units = bytes.fromhex(m.group(1).replace("\\u", ""))
-        try:
-            text = units.decode("utf-16-be")
-        except UnicodeDecodeError:
-            return None
-        sizes = np.array([6 if ord(c) < 0x10000 else 12 for c in text], np.int64)
+        text = units.decode("utf-16-be", "surrogatepass")
+        sizes = np.where(_points(text) < 0x10000, 6, 12).astype(np.int64)
         ends = np.cumsum(sizes)
         return text, ends - sizes, ends
     point = int(m.group(5)) if m.group(5) else int(next(g for g in m.groups()[1:] if g), 16)
@@ -141,39 +144,84 @@ def _unicode_run(m: re.Match):
     return chr(point), [0], [m.end() - m.start()]
 
 
-def _readable(data: bytes) -> str | None:
-    """The text, if all of it is printable or white space."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and text.translate(_SPACES).isprintable() else None
+def _readings(data: bytes) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Texts that ``data`` may be, with the first byte and the byte behind the last of each character.
+
+    No secret is shorter than ``SHORTEST`` characters, all of them printable ASCII, and neither is
+    any encoded form of one. So data without such a run can be left alone, whatever its other
+    bytes are; data with one is taken whole, bytes that are not UTF-8 as characters of their own.
+    """
+    text = data.decode(errors="surrogateescape")
+    if RUN.search(data) or text and text.translate(_SPACES).isprintable():
+        yield text, *_utf8_places(text)
+    longest = {}
+    for order, wide in WIDE.items():
+        for m in wide.finditer(data):
+            longest[order, m.start() % 2] = max(longest.get((order, m.start() % 2), 0), m.end() - m.start())
+    # Text of the one order looks like that of the other a byte earlier or later.
+    for pair in ((("utf-16-le", 0), ("utf-16-be", 1)), (("utf-16-be", 0), ("utf-16-le", 1))):
+        order, skip = max(pair, key=lambda p: longest.get(p, 0))
+        if (order, skip) not in longest:
+            continue
+        odd = (len(data) - skip) % 2
+        whole = data[skip:] + b"\0" if odd and order == "utf-16-le" else data[skip : len(data) - odd]
+        text = whole.decode(order, "surrogatepass")
+        ends = skip + np.cumsum(np.where(_points(text) < 0x10000, 2, 4))
+        yield text, np.concatenate(([skip], ends[:-1])), np.minimum(ends, len(data))
 
 
 _SPACES = {9: " ", 10: " ", 13: " "}
+SHORTEST = 16
+RUN = re.compile(rb"[\x20-\x7e\t\r\n]{%d}" % SHORTEST)
+WIDE = {
+    "utf-16-le": re.compile(rb"(?:[\x20-\x7e\t\r\n]\x00){%d,}" % SHORTEST),
+    "utf-16-be": re.compile(rb"(?:\x00[\x20-\x7e\t\r\n]){%d,}" % SHORTEST),
+}
 
 
-def _expand(data: bytes, most: int) -> tuple[bytes | None, bool]:
-    """(what a compressed stream holds, or None; whether it holds more than ``most`` bytes)."""
+def _opened(data: bytes):
+    """A decompressor of the stream that ``data`` begins with, or None."""
     if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-        stream = zlib.decompressobj(47)
-    elif data[:3] == b"BZh":
-        stream = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        stream = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if data[:4] == b"\x28\xb5\x2f\xfd" or data[1:4] == b"\x2a\x4d\x18" and data[0] >> 4 == 5:  # a frame, or one to be skipped
+        return zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data, read_across_frames=True)
+    return None
+
+
+def _pieces(data: bytes, size: int = 1 << 18) -> Iterator[bytes]:
+    """What the compressed streams hold that ``data`` begins with, one member after another, up to a damaged place."""
+    while (stream := _opened(data)) is not None:
         try:
-            out = zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data).read(most + 1)
-        except zstandard.ZstdError:
-            return None, False
-        return (None, True) if len(out) > most else (out, False)
-    else:
-        return None, False
-    try:
-        out = stream.decompress(data, most + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None, False
-    return (None, True) if len(out) > most else (out, False)
+            if hasattr(stream, "read"):
+                while piece := stream.read(size):
+                    yield piece
+                return
+            rest = data
+            while not stream.eof:
+                piece = stream.decompress(rest, size)
+                rest = getattr(stream, "unconsumed_tail", b"")
+                if piece:
+                    yield piece
+                elif not rest and getattr(stream, "needs_input", True):
+                    return  # cut off
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, zstandard.ZstdError):
+            return
+        data = stream.unused_data.lstrip(b"\0")  # padding between members
+
+
+def _expand(data: bytes, most: int) -> tuple[bytes | None, bool]:
+    """(what the compressed streams in ``data`` hold, or None; whether they hold more than ``most`` bytes)."""
+    held, size = [], 0
+    for piece in _pieces(data):
+        held.append(piece)
+        size += len(piece)
+        if size > most:
+            return None, True
+    return (b"".join(held) if held else None), False
 
 
 def _base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
@@ -194,14 +242,12 @@ def _base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
             if inner is None or inner == expanded:
                 break
             expanded, packed = inner, True
-        if (text := _readable(data if expanded is None else expanded)) is None:
-            continue
-        if packed:  # any character may depend on the whole stream
-            begins, ends = np.full(len(text), m.start()), np.full(len(text), m.start() + len(run))
-        else:
-            first, behind = _utf8_places(text)
-            begins, ends = m.start() + first * 8 // 6, m.start() - (-behind * 8 // 6)
-        yield layer.child(text, begins, ends)
+        for text, first, behind in _readings(data if expanded is None else expanded):
+            if packed:  # any character may depend on the whole stream
+                begins, ends = np.full(len(text), m.start()), np.full(len(text), m.start() + len(run))
+            else:
+                begins, ends = m.start() + first * 8 // 6, m.start() - (-behind * 8 // 6)
+            yield layer.child(text, begins, ends)
 
 
 def unwrap(layer: Layer, most: int = MOST_CHARS) -> Iterator[Layer | None]:
