@@ -72,3 +72,47 @@ def test_all_members_of_a_stream(name):
 def test_places_of_bytes_that_are_no_text():
     begins, ends = secrets._utf8_places(b"\xe9a\xc3\xa9\xf0\x9f\x98\x80".decode(errors="surrogateescape"))
     assert begins.tolist() == [0, 1, 2, 4] and ends.tolist() == [1, 2, 4, 8] and begins.dtype == np.int64
+
+
+LINES = {
+    "mime": lambda t: "\r\n".join(t[k : k + 76] for k in range(0, len(t), 76)),
+    "pem": lambda t: "\n".join(t[k : k + 64] for k in range(0, len(t), 64)),
+    "indented": lambda t: "\n    ".join(t[k : k + 20] for k in range(0, len(t), 20)),
+    "json": lambda t: "\\n".join(t[k : k + 64] for k in range(0, len(t), 64)),
+}
+
+
+@pytest.mark.parametrize("lines", LINES)
+@pytest.mark.parametrize("pack", [lambda x: x, gzip.compress, zlib.compress], ids=["plain", "gzip", "zlib"])
+@pytest.mark.parametrize("before", [40, 45, 200])
+def test_wrapped_base64_is_one_stretch(lines, pack, before):
+    noise = np.random.default_rng(before).integers(97, 123, before).astype(np.uint8).tobytes()
+    stretch = LINES[lines](b64(pack(noise + f" {SECRET} end".encode())))
+    text = f"some words\n{stretch}\nsome words behind it"
+    found, _ = hidden(text)
+    at = text.index(stretch)
+    assert any(k == 0 and at <= b < e <= at + len(stretch) for b, k, e in found)
+    if pack(b"") == b"":
+        size = before + 1
+        starts = [k for k in range(at, at + len(stretch)) if text[k].isalnum() or text[k] in "+/="]
+        if lines == "json":
+            starts = None
+        assert starts is None or (starts[size * 8 // 6], 0) in {(b, k) for b, k, _ in found}
+
+
+@pytest.mark.parametrize("before", ["https://h.example/v1/", "key-", "id_", "a", "ab", "abc", "abcd", "x/y-z_", "data:text/plain;base64,"])
+@pytest.mark.parametrize("pack", [lambda x: x, gzip.compress, bz2.compress], ids=["plain", "gzip", "bz2"])
+def test_base64_behind_other_letters(before, pack):
+    stretch = b64(pack(SECRET.encode()))
+    found, _ = hidden(f"see {before}{stretch} end")
+    begin = 4 + len(before)
+    assert any(k == 0 and begin <= b < e <= begin + len(stretch) for b, k, e in found)
+
+
+def test_zlib_behind_a_separator():
+    assert hidden(f"see key-{b64(zlib.compress(SECRET.encode()))}")[0]
+
+
+def test_lines_of_their_own_stay_stretches():
+    text = "\n".join([b64(b"x"), b64(SECRET.encode()), b64(b"token = abcdefghijkl"), "and other words", "and more"])
+    assert len({b for b, k, _ in hidden(text)[0] if k == 0}) >= 2

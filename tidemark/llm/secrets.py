@@ -5,7 +5,7 @@ unwrapped into new layers, which join the worklist until none is new:
 
 * URL escapes (%41) and Unicode escapes (\\u0041, \\x41, \\U00000041, &#65;, &#x41;): the layer
   with all of them replaced, so that a secret split by escapes is seen in its surroundings;
-* base64, plain or URL-safe: the decoded stretch, if it holds a readable run (also in UTF-16) or a compressed stream;
+* base64, plain or URL-safe, in one line or several, also behind other letters of its alphabet: the decoded stretch, if it holds a readable run (also in UTF-16) or a compressed stream;
 * gzip, zlib, bzip2, xz and zstandard streams inside base64: the expanded text of all members.
 
 A layer whose content was seen before in this document is not unwrapped again, which ends
@@ -15,7 +15,6 @@ the original text: a secret is reported at the characters that hold it.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -47,6 +46,13 @@ UNICODE_ESCAPE = re.compile(
     r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});"
 )
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 in lines: ends of lines as such or as in JSON, each line nothing but its stretch.
+LINE_END = r"(?:\r?\n|(?:\\r)?\\n)[\x20\t>]*"
+BASE64_LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{4,}}+(?:{LINE_END}[A-Za-z0-9+/_-]++)++(?![A-Za-z0-9+/_-])={{0,2}}")
+BREAK = re.compile(LINE_END)
+#: Where a compressed stream may begin inside decoded bytes; zlib's two bytes are only tried after a separator.
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+SEPARATOR = re.compile(r"[/_-]")
 
 #: A document's layers hold together at most this many characters and eight times its own; a
 #: stream that would expand beyond it is left folded and counted in ``n_folded``. This bounds the
@@ -224,30 +230,86 @@ def _expand(data: bytes, most: int) -> tuple[bytes | None, bool]:
     return (b"".join(held) if held else None), False
 
 
+def _runs(text: str) -> Iterator[tuple[str, np.ndarray | int, list[int]]]:
+    """Base64 runs of ``text``, each with the place of its characters, or of the first if they follow each other, and where its lines begin in it.
+
+    Lines of one width, and a last one that is not wider, are one run; each of their lines is a run as well.
+    """
+    for m in BASE64.finditer(text):
+        yield m.group().rstrip("="), m.start(), [0]
+    if "\n" not in text and "\\n" not in text:
+        return
+    for m in BASE64_LINES.finditer(text):
+        lines, at = [], m.start()
+        for gap in BREAK.finditer(text, m.start(), m.end()):
+            lines.append((at, gap.start()))
+            at = gap.end()
+        lines.append((at, at + len(text[at : m.end()].rstrip("="))))
+        while len(lines) > 1:
+            # The first line may have a key before it, and the lines behind the last one may be words.
+            width = lines[1][1] - lines[1][0]
+            n = 2
+            while n < len(lines) and lines[n - 1][1] - lines[n - 1][0] == width >= lines[n][1] - lines[n][0]:
+                n += 1
+            if sum(e - b for b, e in lines[:n]) >= SHORTEST:
+                begins = np.cumsum([0, *(e - b for b, e in lines[: n - 1])]).tolist()
+                yield "".join(text[b:e] for b, e in lines[:n]), np.concatenate([np.arange(b, e) for b, e in lines[:n]]), begins
+            lines = lines[n - 1 :] if n < len(lines) else []
+
+
+def _unfolded(data: bytes, most: int) -> tuple[bytes | None, bool]:
+    """(what the stream holds that ``data`` begins with, through all streams in streams, or None; whether one is too large)."""
+    expanded = None
+    while True:
+        inner, over = _expand(data if expanded is None else expanded, most)
+        if inner is None or inner == expanded:
+            return expanded, over
+        expanded = inner
+
+
 def _base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
-    """Layers of the base64 stretches of ``layer``; None for one that expands beyond ``most``."""
-    for m in BASE64.finditer(layer.text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        try:
-            data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except binascii.Error:
-            continue
-        expanded, packed = None, False
-        while True:  # a stream may hold another one
-            inner, over = _expand(data if expanded is None else expanded, most)
-            if over:
-                yield None
-            if inner is None or inner == expanded:
-                break
-            expanded, packed = inner, True
-        for text, first, behind in _readings(data if expanded is None else expanded):
-            if packed:  # any character may depend on the whole stream
-                begins, ends = np.full(len(text), m.start()), np.full(len(text), m.start() + len(run))
-            else:
-                begins, ends = m.start() + first * 8 // 6, m.start() - (-behind * 8 // 6)
-            yield layer.child(text, begins, ends)
+    """Layers of the base64 stretches of ``layer``; None for one that expands beyond ``most``.
+
+    Other letters of the alphabet may stand before a stretch: each run is read from its first four
+    places, one of which is in phase with it. A stream has to be met at its first byte.
+    """
+    for run, place, begins in _runs(layer.text):
+        plain = run.replace("-", "+").replace("_", "/")
+        separators = [*begins, *(m.end() for m in SEPARATOR.finditer(run))]
+        for phase in range(4):
+            size = len(run) - phase
+            size -= size % 4 == 1
+            if size < 2:
+                continue
+            data = binascii.a2b_base64(plain[phase : phase + size] + "=" * (-size % 4))
+
+            def spans(first, behind, phase=phase):
+                first, behind = phase + first * 8 // 6, phase - (-behind * 8 // 6)
+                return (place + first, place + behind) if isinstance(place, int) else (place[first], place[behind - 1] + 1)
+
+            streams = {(at - phase) // 4 * 3 for at in separators if at >= phase and (at - phase) % 4 == 0}
+            streams |= {m.start() for m in MAGIC.finditer(data)}
+            opened, last = False, b""
+            for at in sorted(streams):
+                if at < len(data) and _magic(data, at):
+                    expanded, over = _unfolded(data[at:], most)
+                    if over:
+                        yield None
+                    opened |= at == 0 and expanded is not None
+                    if expanded is None or last.endswith(expanded):  # a later member of the same stream
+                        continue
+                    last = expanded
+                    begin, end = spans(np.array([at]), np.array([len(data)]))
+                    for text, _, _ in _readings(expanded):  # any character may depend on the whole stream
+                        yield layer.child(text, np.full(len(text), begin[0]), np.full(len(text), end[0]))
+            if opened or phase and not RUN.search(data) and not any(wide.search(data) for wide in WIDE.values()):
+                continue
+            for text, first, behind in _readings(data):
+                yield layer.child(text, *spans(first, behind))
+
+
+def _magic(data: bytes, at: int) -> bool:
+    return bool(MAGIC.match(data, at)) or data[at : at + 1] == b"\x78" and len(data) > at + 2 and (data[at] << 8 | data[at + 1]) % 31 == 0
 
 
 def unwrap(layer: Layer, most: int = MOST_CHARS) -> Iterator[Layer | None]:
