@@ -116,3 +116,43 @@ def test_zlib_behind_a_separator():
 def test_lines_of_their_own_stay_stretches():
     text = "\n".join([b64(b"x"), b64(SECRET.encode()), b64(b"token = abcdefghijkl"), "and other words", "and more"])
     assert len({b for b, k, _ in hidden(text)[0] if k == 0}) >= 2
+
+
+@pytest.mark.parametrize("name", PACKERS)
+@pytest.mark.parametrize("at", [0, 99_990, 300_000, 10**9])
+def test_large_streams_are_scanned_to_the_end(name, at):
+    filler = b"some plain words of a log\n" * 24_000
+    data = filler[:at] + f" {SECRET} ".encode() + filler[at:]
+    stretch = b64(PACKERS[name](data))
+    found, folded = hidden(f"x {stretch} y", most=100_000)
+    assert (2, 0, 2 + len(stretch.rstrip("="))) in found and folded == 1
+
+
+def test_windows_cover_every_byte():
+    for size in (0, 1, 999, 1000, 1001, 1499, 1500, 1501, 2000, 5000, 12_345, 700_001):
+        data = np.random.default_rng(size).bytes(size)
+        windows = list(secrets._windows(zlib.compress(data), 1000))
+        assert all(len(w) <= 1000 for w in windows)
+        at = 0
+        for w in windows:
+            assert data[at : at + len(w)] == w
+            end, at = at + len(w), at + 500
+        assert not size or end == size
+
+
+def test_encodings_in_large_streams_and_streams_in_them():
+    filler = b"some plain words of a log\n" * 24_000
+    inner = b64(gzip.compress(filler + SECRET.encode() + filler)).encode()
+    data = gzip.compress(filler + b" " + inner + b" " + filler)
+    assert any(k == 0 for _, k, _ in hidden(f"x {b64(data)} y", most=100_000)[0])
+    assert any(k == 0 for _, k, _ in hidden(f"x {b64(gzip.compress(data))} y", most=100_000)[0])
+
+
+def test_layers_are_not_counted_against_a_total():
+    text = SECRET + " " + "x" * 3000
+    for _ in range(12):
+        text = text.replace("%", "%25").replace("p", "%70", 1) if "%" in text else "".join(f"%{b:02X}" for b in text.encode())
+    found, folded = hidden(text, most=100)
+    assert any(k == 0 for _, k, _ in found) and not folded
+    streams = " ".join(b64(gzip.compress(f"{n} {'word ' * 20_000} token=abcdefghijkl{n:03d}".encode())) for n in range(40))
+    assert len(hidden(streams)[0]) == 40 and len(hidden(streams, most=10_000)[0]) == 40

@@ -54,9 +54,10 @@ BREAK = re.compile(LINE_END)
 MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 SEPARATOR = re.compile(r"[/_-]")
 
-#: A document's layers hold together at most this many characters and eight times its own; a
-#: stream that would expand beyond it is left folded and counted in ``n_folded``. This bounds the
-#: memory that one document takes.
+#: A stream that holds more bytes than this and eight times the document's characters is never held
+#: whole: it is read in windows of that size, each of which repeats the second half of the one
+#: before, and is counted in ``n_folded``. Every byte is scanned; what a window cuts is whole in the
+#: next one if it has up to half a window. This bounds the memory that one document takes.
 MOST_CHARS = 1 << 22
 
 
@@ -77,6 +78,7 @@ class Layer:
 
     def __init__(self, text: str, begins: np.ndarray | None = None, ends: np.ndarray | None = None):
         self.text, self.begins, self.ends = text, begins, ends  # no arrays: the original itself
+        self.packed = False  # from a compressed stream, so its size has no bound by its parent's
 
     def original(self, begin: int, end: int) -> tuple[int, int]:
         """The span of the original that holds the characters ``begin`` to ``end``."""
@@ -219,15 +221,23 @@ def _pieces(data: bytes, size: int = 1 << 18) -> Iterator[bytes]:
         data = stream.unused_data.lstrip(b"\0")  # padding between members
 
 
-def _expand(data: bytes, most: int) -> tuple[bytes | None, bool]:
-    """(what the compressed streams in ``data`` hold, or None; whether they hold more than ``most`` bytes)."""
-    held, size = [], 0
+def _windows(data: bytes, most: int) -> Iterator[bytes]:
+    """What the compressed streams hold that ``data`` begins with: one window if that is at most ``most`` bytes, else overlapping ones."""
+    held, size, fresh = [], 0, 0
     for piece in _pieces(data):
         held.append(piece)
         size += len(piece)
+        fresh += len(piece)
         if size > most:
-            return None, True
-    return (b"".join(held) if held else None), False
+            whole = b"".join(held)
+            yield whole[:most]
+            rest = whole[most // 2 :]
+            while len(rest) > most:
+                yield rest[:most]
+                rest = rest[most // 2 :]
+            held, size, fresh = [rest], len(rest), len(rest) - (most - most // 2)
+    if fresh > 0:
+        yield b"".join(held)
 
 
 def _runs(text: str) -> Iterator[tuple[str, np.ndarray | int, list[int]]]:
@@ -257,18 +267,33 @@ def _runs(text: str) -> Iterator[tuple[str, np.ndarray | int, list[int]]]:
             lines = lines[n - 1 :] if n < len(lines) else []
 
 
-def _unfolded(data: bytes, most: int) -> tuple[bytes | None, bool]:
-    """(what the stream holds that ``data`` begins with, through all streams in streams, or None; whether one is too large)."""
-    expanded = None
-    while True:
-        inner, over = _expand(data if expanded is None else expanded, most)
-        if inner is None or inner == expanded:
-            return expanded, over
-        expanded = inner
+def _unfolded(data: bytes, most: int, depth: int = 0) -> Iterator[tuple[bytes, bool]]:
+    """Windows of the stream that ``data`` begins with, through all streams in streams; whether each is one of several."""
+    windows = _windows(data, most)
+    first = next(windows, None)
+    if first is None:
+        return
+    second = next(windows, None)
+    several = second is not None
+    if not several and first != data and depth < DEEP and _opened(first) is not None:
+        inner = _unfolded(first, most, depth + 1)
+        if (begin := next(inner, None)) is not None:
+            yield begin
+            yield from inner
+            return
+    yield first, several
+    if several:
+        yield second, True
+        for window in windows:
+            yield window, True
+
+
+#: Streams directly in streams beyond this are taken for one that holds itself.
+DEEP = 100
 
 
 def _base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
-    """Layers of the base64 stretches of ``layer``; None for one that expands beyond ``most``.
+    """Layers of the base64 stretches of ``layer``; before those of one that expands beyond ``most``, None.
 
     Other letters of the alphabet may stand before a stretch: each run is read from its first four
     places, one of which is in phase with it. A stream has to be met at its first byte.
@@ -292,16 +317,20 @@ def _base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
             opened, last = False, b""
             for at in sorted(streams):
                 if at < len(data) and _magic(data, at):
-                    expanded, over = _unfolded(data[at:], most)
-                    if over:
-                        yield None
-                    opened |= at == 0 and expanded is not None
-                    if expanded is None or last.endswith(expanded):  # a later member of the same stream
-                        continue
-                    last = expanded
                     begin, end = spans(np.array([at]), np.array([len(data)]))
-                    for text, _, _ in _readings(expanded):  # any character may depend on the whole stream
-                        yield layer.child(text, np.full(len(text), begin[0]), np.full(len(text), end[0]))
+                    large = False
+                    for number, (expanded, several) in enumerate(_unfolded(data[at:], most)):
+                        opened |= at == 0
+                        if not number and last.endswith(expanded) and not several:  # a later member of the same stream
+                            break
+                        if several and not large:
+                            large = True
+                            yield None
+                        for text, _, _ in _readings(expanded):  # any character may depend on the whole stream
+                            child = layer.child(text, np.full(len(text), begin[0], np.int32), np.full(len(text), end[0], np.int32))
+                            child.packed = True
+                            yield child
+                        last = expanded
             if opened or phase and not RUN.search(data) and not any(wide.search(data) for wide in WIDE.values()):
                 continue
             for text, first, behind in _readings(data):
@@ -313,7 +342,7 @@ def _magic(data: bytes, at: int) -> bool:
 
 
 def unwrap(layer: Layer, most: int = MOST_CHARS) -> Iterator[Layer | None]:
-    """The layers directly inside ``layer``; None for each stream that is too large to expand."""
+    """The layers directly inside ``layer``; None for each stream that is too large to be one layer."""
     if "%" in layer.text and (new := _replaced(layer, URL_ESCAPE.finditer(layer.text), _url_run)):
         yield new
     if ("\\" in layer.text or "&#" in layer.text) and (new := _replaced(layer, UNICODE_ESCAPE.finditer(layer.text), _unicode_run)):
@@ -321,25 +350,43 @@ def unwrap(layer: Layer, most: int = MOST_CHARS) -> Iterator[Layer | None]:
     yield from _base64_layers(layer, most)
 
 
+_DONE = object()
+
+
 def find_secrets(text: str, most: int = MOST_CHARS) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
-    """(base spans, all spans, layers scanned, streams left folded); a span is (start, kind's number, end)."""
+    """(base spans, all spans, layers scanned, streams read in windows); a span is (start, kind's number, end)."""
     base = base_spans(text)
-    spans, seen, work = set(base), {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}, deque([Layer(text)])
-    layers, folded, held, most = 1, 0, 0, most + 8 * len(text)
-    while work:
-        for new in unwrap(work.popleft(), most):
-            if new is None or held + len(new.text) > most:
-                folded += 1
-                continue
-            mark = hashlib.sha256(new.text.encode("utf-8", "surrogatepass") + b"|" + str(new.original(0, len(new.text)) if new.text else 0).encode()).digest()
-            if mark in seen:
+    spans, seen = set(base), {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
+    layers, folded, most = 1, 0, most + 8 * len(text)
+    # Layers from streams are finished before the next one is expanded: one generator is open for each
+    # stream inside a stream. The others take no more room than the layer that holds them.
+    stack = [(None, deque([Layer(text)]))]
+    while stack:
+        inside, work = stack[-1]
+        if inside is None:
+            if not work:
+                stack.pop()
                 continue
-            seen.add(mark)
-            held += len(new.text)
-            layers += 1
-            for begin, kind, end in base_spans(new.text):
-                first, behind = new.original(begin, end)
-                spans.add((first, kind, behind))
+            inside = unwrap(work.popleft(), most)
+            stack[-1] = (inside, work)
+        new = next(inside, _DONE)
+        if new is _DONE:
+            stack[-1] = (None, work)
+            continue
+        if new is None:
+            folded += 1
+            continue
+        mark = hashlib.sha256(new.text.encode("utf-8", "surrogatepass") + b"|" + str(new.original(0, len(new.text)) if new.text else 0).encode()).digest()
+        if mark in seen:
+            continue
+        seen.add(mark)
+        layers += 1
+        for begin, kind, end in base_spans(new.text):
+            first, behind = new.original(begin, end)
+            spans.add((first, kind, behind))
+        if new.packed:
+            stack.append((None, deque([new])))
+        else:
             work.append(new)
     return base, sorted(spans), layers, folded
 
