@@ -1,7 +1,6 @@
 """Fits on the feature table.
 
-Tree ensembles are registered with small sizes (``SMALL``), the library's defaults are
-the full ones. The rows are always the whole feature table.
+All are registered at the full sizes of ``fixed.py``, over the whole feature table.
 """
 
 from __future__ import annotations
@@ -19,21 +18,13 @@ from tidemark.plans.catalog.registry import query
 from tidemark.plans.dataset import PRICE
 from tidemark.session import settle
 
-SMALL = {
-    "RandomForest": {"numTrees": 20},
-    "GradientBoosting": {"maxIter": 10, "stepSize": 0.1},
-    "XGBoost": {"maxIter": 10, "stepSize": 0.1},
-    modelling.SERVICE: {"maxIter": 5, "stepSize": 0.2},
-}
-
-
 def _fit_query(name: str, model: str) -> None:
     @query(name)
     def _(spark, sf):
         df = model_table(spark, sf)
         names = features.feature_list(df)
         matrix = settle(modelling.model_matrix(df, names))
-        return evaluate.metrics(modelling.fit_predict(matrix, model, names, params=SMALL.get(model))[0])
+        return evaluate.metrics(modelling.fit_predict(matrix, model, names)[0])
 
 
 _fit_query("fit_ridge", "Ridge")
@@ -46,7 +37,7 @@ _fit_query("fit_gbt_service", modelling.SERVICE)
 @query("ablation")
 def _(spark, sf):
     df = settle(model_table(spark, sf))
-    return modelling.ablation_table(df, modelling.ablation(df, models=("Ridge", "RandomForest"), params=SMALL))
+    return modelling.ablation_table(df, modelling.ablation(df))
 
 
 @query("ablation_short_study")
@@ -58,29 +49,28 @@ def _(spark, sf):
     for exp in fixed.EXPERIMENTS:
         names = features.feature_list(df, exp, catalogue=fixed.FEATURE_GROUPS_SHORT)
         matrix = settle(modelling.model_matrix(df, names, complete="all"))
-        frames.append(modelling.fit_predict(matrix, "Ridge", names, exp)[0])
+        frames += [modelling.fit_predict(matrix, model, names, exp)[0] for model in modelling.MODELS]
     return evaluate.summary(evaluate.overfit_gap(reduce(DataFrame.unionByName, frames), space="log"))
 
 
 @query("horizon_table")
 def _(spark, sf):
     df = settle(model_table(spark, sf))
-    pred = modelling.horizon_predictions(df, params=SMALL["RandomForest"])
+    pred = modelling.horizon_predictions(df)
     return modelling.horizon_table(pred, modelling.persistence(df))
 
 
 @query("walk_forward_model")
 def _(spark, sf):
     df = settle(model_table(spark, sf))
-    return evaluate.walk_forward_summary(modelling.walk_forward(df, params=SMALL["RandomForest"]))
+    return evaluate.walk_forward_summary(modelling.walk_forward(df))
 
 
 @query("grid_search")
 def _(spark, sf):
     base = dataset.model_base(roles.base_table(spark, sf), "model_all")
     df = settle(features.model_features(base, PRICE, variant="search"))
-    grid = {"numTrees": (10, 20), "maxDepth": (3,), "minInstancesPerNode": (30,), "featureSubsetStrategy": ("0.4", "sqrt")}
-    return modelling.grid_search(df, grid=grid, n_splits=3, top=2)
+    return modelling.grid_search(df)
 
 
 @query("feature_importance")
@@ -88,7 +78,7 @@ def _(spark, sf):
     df = model_table(spark, sf)
     names = features.feature_list(df)
     matrix = settle(modelling.model_matrix(df, names))
-    model = modelling.fit(matrix.where(F.col("split") == "train"), "RandomForest", names, SMALL["RandomForest"])
+    model = modelling.fit(matrix.where(F.col("split") == "train"), "RandomForest", names)
     return modelling.feature_importance(model, names, spark)
 
 
@@ -97,7 +87,7 @@ def _(spark, sf):
     df = settle(model_table(spark, sf))
     names = features.feature_list(df)
     matrix = settle(modelling.model_matrix(df, names))
-    pred = modelling.fit_predict(matrix, "RandomForest", names, params=SMALL["RandomForest"])[0]
+    pred = modelling.fit_predict(matrix, "RandomForest", names)[0]
     naive = modelling.persistence(df, horizons=(7,))
     return evaluate.spike_report(pred.unionByName(naive))
 
@@ -110,11 +100,11 @@ def _(spark, sf):
     for exp, without in (("WITH KG", ()), ("WITHOUT KG", ("KG Risk",))):
         names = features.feature_list(df, without=without)
         matrix = settle(modelling.model_matrix(df, names))
-        frames.append(modelling.fit_predict(matrix, "RandomForest", names, exp, SMALL["RandomForest"])[0])
+        frames.append(modelling.fit_predict(matrix, "RandomForest", names, exp)[0])
     return evaluate.subset_metrics(frames[0].unionByName(frames[1]), df)
 
 
 @query("forecast_7d")
 def _(spark, sf):
     df = settle(model_table(spark, sf))
-    return modelling.forecast(df, params=SMALL["RandomForest"])
+    return modelling.forecast(df)
