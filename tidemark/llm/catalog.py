@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, jaccard, language_model, licenses, packed_ids, packing, quality, secrets, url_lists
+from tidemark.llm import decontaminate, exact_dedup, jaccard, language_model, licenses, packed_ids, packing, quality, resampling, secrets, url_lists
 
-MODULES = (secrets, language_model, url_lists, packed_ids, jaccard, decontaminate, licenses, quality, exact_dedup, packing)
+MODULES = (secrets, language_model, url_lists, packed_ids, jaccard, decontaminate, licenses, quality, exact_dedup, packing, resampling)
 
 
 def queries() -> dict:
