@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, jaccard, language_model, licenses, packed_ids, packing, quality, resampling, secrets, url_lists
+from tidemark.llm import (
+    collocations, decontaminate, exact_dedup, jaccard, language_model, licenses, packed_ids, packing, quality, resampling, secrets, url_lists,
+)
 
-MODULES = (secrets, language_model, url_lists, packed_ids, jaccard, decontaminate, licenses, quality, exact_dedup, packing, resampling)
+MODULES = (secrets, language_model, url_lists, packed_ids, jaccard, decontaminate, licenses, quality, exact_dedup, packing, collocations, resampling)
 
 
 def queries() -> dict:
