@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from tidemark.llm import (
-    collocations, decontaminate, exact_dedup, jaccard, language_model, licenses, packed_ids, packing, quality, resampling, secrets, url_lists,
+    collocations, decontaminate, exact_dedup, jaccard, language_model, licenses, packed_ids, packing, quality, resampling, secrets,
+    topk_search, url_lists,
 )
 
-MODULES = (secrets, language_model, url_lists, packed_ids, jaccard, decontaminate, licenses, quality, exact_dedup, packing, collocations, resampling)
+MODULES = (secrets, language_model, url_lists, packed_ids, jaccard, decontaminate, licenses, quality, exact_dedup, packing, topk_search, collocations, resampling)
 
 
 def queries() -> dict:
