@@ -40,9 +40,9 @@ SCALE = 2_000_000
 SHARDS = 4
 UNKNOWN = "und"
 #: Bytes of text whose phrases are worked on at a time.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 #: Keys that one task sorts, and bytes of text that make one; they set the number of groups.
-TASK_KEYS, KEY_BYTES = 1 << 21, 10
+TASK_KEYS, KEY_BYTES = 1 << 20, 10
 #: Groups in which the best phrases of a language are chosen before they meet.
 SALTS = 32
 CUTS = b".,;:!?\x0a\x0b\x0c\x0d"
