@@ -93,6 +93,15 @@ def test_chains_and_crowds(spark, docs, seed, monkeypatch):
     assert rows_of(jaccard.near_groups(docs(rows).repartition(3))) == all_pairs(rows)
 
 
+def test_text_ids_and_other_columns(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [("b", long, 1, 2, 3, "x"), ("a", long + " more", 1, 2, 3, "x"), (None, "else", 1, 2, 3, "x"), ("c", None, 1, 2, 3, None)]
+    df = spark.createDataFrame(rows, "ID string, text string, mark int, id_ int, name int, __mark string")
+    assert rows_of(jaccard.near_groups(df, id_col="ID")) == sorted([("a", 58, "a"), ("b", 57, "a"), ("c", 0, "c"), (None, 1, None)], key=str)
+    kept = jaccard.drop_near_copies(df, id_col="ID")
+    assert kept.columns == df.columns and rows_of(kept.select("ID")) == sorted([("a",), ("c",), (None,)], key=str)
+
+
 def test_odd_rows_and_empty_tables(spark, docs, store):
     rows = [*ODD_ROWS, (9, "Some text"), (None, "some TEXT"), (11, "a b c"), (12, "A\tB  C"), (13, "a b c d"), (14, None)]
     assert rows_of(jaccard.near_groups(docs(rows))) == all_pairs(rows)

@@ -22,6 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def fold(key: str | Column, parts: int) -> Column:
     """crc32 of the key written as text, modulo ``parts``; NULL keys count as the empty text."""
     column = F.col(key) if isinstance(key, str) else key

@@ -14,9 +14,10 @@ D = (share_of - share) * (|a| + |b|) / (share_of + share) members.
   rare, also use their empty groups, and meet in them only one another.
 * Buckets: sets with one group in common form a bucket. Not all its pairs are formed. Round one
   compares each set with the bucket's smallest one; verified links give components. Round two
-  takes, in the buckets that still hold several components, each set's nearest one of another
-  component; round three all that are left of different components. A pair within a component
-  needs no test: it cannot change the result.
+  takes, in the buckets that still hold several components, the nearest pairs that would join all that
+  may belong together. Round three gathers the sets of all pairs that are left, by the chains that
+  these form, and tests them where they meet: only links that join two components leave the task.
+  A pair within a component needs no test: it cannot change the result.
 * Bit sketches (one bit toggled for each member) bound the symmetric difference from below and
   rule out almost all pairs that do not link; the others are verified on their whole sets.
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import mix64, read_table, shingle_hashes, split_words, texts_of, tidied, word_codes, word_hashes
+from tidemark.llm.common import free_name, mix64, read_table, shingle_hashes, split_words, texts_of, tidied, word_codes, word_hashes
 from tidemark.llm.components import bloom_of, components
 from tidemark.llm.token_ids import parts_of
 from tidemark.session import settle
@@ -47,6 +48,10 @@ SHARE, SHARE_OF = 85, 100
 BLOCK = 1024
 #: Group rows that one task sorts, and bytes of text that make one; they set the number of shuffle partitions for large inputs.
 TASK_ROWS, GROUP_BYTES = 1 << 21, 16
+#: Marks the meeting of a bucket's largest component with the others.
+OTHERS = -(1 << 40)
+#: Bytes of sketches or sets that one task compares.
+PART_BYTES = 16 << 20
 #: Rows that are compared at once, and with how many of those behind them.
 AT_ONCE, STEPS = 1 << 14, 32
 #: Bytes of text whose sets are made at a time.
@@ -368,48 +373,128 @@ def _close_pairs(rows: dict[str, np.ndarray], sketches: list[bytes], bands: Band
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, bands: Bands, nearest: bool) -> DataFrame:
-    """Pairs of one bucket but different components that sizes and bit sketches allow to link.
+def _spread(named: DataFrame) -> DataFrame:
+    """Rows (key, name, label) of buckets that hold several labels, as (key, low, high, block, name, label): what is to meet has the same first three.
 
-    ``nearest``: for each set the nearest of these alone. A bucket of more than ``BLOCK`` sets is cut into
-    blocks, and each pair of blocks is a bucket of its own, so that no task needs all of it.
+    Of buckets with the same sets one is kept. A bucket of more than ``BLOCK`` sets is cut: the sets of its largest
+    component need only meet those of others, so each of them goes to one block, and the others to all these blocks;
+    the others are cut into blocks of which any two meet. Two blocks meet only each other.
     """
-    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    named = members.join(labels, F.col("name") == F.col("node"), "left").select("key", "name", F.coalesce("label", "name").alias("label"))
-    several = named.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    blocks = F.ceil(F.col("n_rows") / BLOCK)
-    held = (
-        named.join(several.select("key", "n_rows"), "key").join(nodes.select("name", "n", "sketch"), "name")
-        .withColumn("block", F.pmod(F.xxhash64("name"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        .select(
-            "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "label", "n", "sketch"
-        )
-        .withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)))
+    mark = lambda k: F.sum(F.pmod(F.xxhash64("name", F.lit(k)), F.lit(1 << 31)))
+    several = named.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("label").alias("lo"), F.max("label").alias("hi"), *[mark(k).alias(f"m{k}") for k in range(3)]
+    ).where("lo <> hi")
+    kept = settle(several.groupBy("n_rows", "m0", "m1", "m2").agg(F.min("key").alias("key")).select("key", "n_rows"), "several")
+    rows = settle(named.join(kept, "key"), "held")
+    small = rows.where(F.col("n_rows") <= BLOCK).select(
+        "key", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high"), F.lit(0).cast("long").alias("block"), "name", "label"
+    )
+    large = rows.where(F.col("n_rows") > BLOCK)
+    counts = large.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n_main"))
+    main = counts.groupBy("key").agg(F.max(F.struct("n_main", "label")).alias("main"))
+    blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("long")
+    meeting = lambda low, high, block: F.struct(low.cast("long").alias("low"), high.cast("long").alias("high"), block.cast("long").alias("block"))
+    n_main, n_others = blocks(F.col("main.n_main")), blocks(F.col("n_rows") - F.col("main.n_main"))
+    in_main, in_others = F.pmod(F.xxhash64("name"), n_main), F.pmod(F.xxhash64("name"), n_others)
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    others = F.concat(
+        F.transform(numbers(n_main), lambda b: meeting(-1 - b, F.lit(OTHERS), F.lit(1))),
+        F.transform(numbers(n_others), lambda b: meeting(F.least(b, in_others), F.greatest(b, in_others), in_others)),
     )
+    places = F.when(F.col("label") == F.col("main.label"), F.array(meeting(-1 - in_main, F.lit(OTHERS), F.lit(0)))).otherwise(others)
+    cut = large.join(main, "key").select("key", "name", "label", F.explode(places).alias("at"))
+    return small.unionByName(cut.select("key", "at.low", "at.high", "at.block", "name", "label"))
+
+
+def _candidates(table: pa.Table, bands: Bands) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """(columns of a task's rows, pairs of rows (i, j) that may link and are of different components, the nearest first)."""
+    rows = {c: table.column(c).to_numpy() for c in ("key", "low", "high", "block", "name", "label", "n")}
+    order = np.lexsort((rows["name"], rows["high"], rows["low"], rows["key"]))
+    rows = {c: x[order] for c, x in rows.items()} | {"order": order}
+    new = np.zeros(len(order), bool)
+    for c in ("key", "low", "high"):
+        new[1:] |= rows[c][1:] != rows[c][:-1]
+    rows |= {"bucket": np.cumsum(new), "mixed": rows["low"] != rows["high"]}
+    i, j, apart = _close_pairs(rows, table.column("sketch").take(pa.array(order)).to_pylist(), bands)
+    nearest = np.lexsort((rows["name"][j], rows["name"][i], apart))
+    return rows, i[nearest], j[nearest]
+
+
+class _Union:
+    """Which numbers have been joined."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = x = self.parent.get(up, up)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether they were apart; now they are joined."""
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _table(a: list[int], b: list[int]) -> pa.Table:
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _dealt(spread: DataFrame, bytes_of: F.Column) -> DataFrame:
+    """Written rows with ``part``: what meets is in one part, and parts hold about ``PART_BYTES``."""
+    size = spread.agg(F.sum(bytes_of + 64)).first()[0] or 0
+    parts = max(int(spread.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES)
+    return spread.withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)))
+
+
+def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, bands: Bands, joined: str) -> DataFrame:
+    """Pairs of one bucket but different components that sizes and bit sketches allow to link: as many as it takes to
+    join what they can join, the nearest first. A task sends fewer pairs than it holds sets.
+
+    ``joined`` is what a pair joins: "label", the components, or "name", the sets, so that every set of any such pair is in one.
+    """
+    named = members.join(labels, F.col("name") == F.col("node"), "left").select("key", "name", F.coalesce("label", "name").alias("label"))
+    spread = settle(_spread(named).join(nodes.select("name", "n", "sketch"), "name"), "spread")
 
     def compared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = {c: table.column(c).to_numpy() for c in ("key", "low", "high", "block", "name", "label", "n")}
-        order = np.lexsort((rows["name"], rows["high"], rows["low"], rows["key"]))
-        rows = {c: x[order] for c, x in rows.items()}
-        new = np.zeros(len(order), bool)
-        for c in ("key", "low", "high"):
-            new[1:] |= rows[c][1:] != rows[c][:-1]
-        rows |= {"bucket": np.cumsum(new), "mixed": rows["low"] != rows["high"]}
-        sketches = table.column("sketch").take(pa.array(order)).to_pylist()
-        i, j, apart = _close_pairs(rows, sketches, bands)
-        a, b = np.minimum(rows["name"][i], rows["name"][j]), np.maximum(rows["name"][i], rows["name"][j])
-        if nearest and len(a):
-            kept = np.zeros(len(a), bool)
-            for side in (a, b):
-                ranked = np.lexsort((b, a, apart, side))
-                first = np.ones(len(ranked), bool)
-                first[1:] = side[ranked][1:] != side[ranked][:-1]
-                kept[ranked[first]] = True
-            a, b = a[kept], b[kept]
-        a, b = _pairs(a, b)
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
-
-    return held.groupBy("part").applyInArrow(compared, "a long, b long")
+        rows, i, j = _candidates(table, bands)
+        union, names, ends = _Union(), rows["name"], rows[joined]
+        kept = [k for k, (x, y) in enumerate(zip(ends[i].tolist(), ends[j].tolist())) if union.join(x, y)]
+        a, b = names[i[kept]], names[j[kept]]
+        return _table(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())
+
+    return _dealt(spread, F.octet_length("sketch")).groupBy("part").applyInArrow(compared, "a long, b long")
+
+
+def _links_within(pairs: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, bands: Bands, size: int) -> DataFrame:
+    """The links that join components, among sets that ``pairs`` connect: found on the whole sets, where these meet.
+
+    Sets that chains of pairs connect form a bucket. A task sends a link only if it joins two components it has not joined before.
+    """
+    near = components(pairs).select("node", F.col("label").alias("key"))
+    named = near.withColumnRenamed("node", "name").join(labels.withColumnRenamed("node", "name"), "name", "left")
+    named = named.select("key", "name", F.coalesce("label", "name").alias("label"))
+    sets = _sets_of(named.select("name").distinct(), nodes, texts, size)
+    spread = settle(_spread(named).join(nodes.select("name", "n", "sketch"), "name").join(sets, "name"), "spread")
+
+    def linked(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows, i, j = _candidates(table, bands)
+        sets = table.column("members").take(pa.array(rows["order"]))
+        of = lambda k: np.frombuffer(sets[k].as_buffer(), np.uint64)
+        union, a, b = _Union(), [], []
+        names, label = rows["name"].tolist(), rows["label"].tolist()
+        for x, y in zip(i.tolist(), j.tolist()):
+            if union.root(label[x]) != union.root(label[y]):
+                own, other = of(x), of(y)
+                if bands.links(len(np.intersect1d(own, other, assume_unique=True)), len(own), len(other)):
+                    union.join(label[x], label[y])
+                    a.append(min(names[x], names[y]))
+                    b.append(max(names[x], names[y]))
+        return _table(a, b)
+
+    return _dealt(spread, F.octet_length("members") + F.octet_length("sketch")).groupBy("part").applyInArrow(linked, "a long, b long")
 
 
 def _of_two(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -419,9 +504,8 @@ def _of_two(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, bands: Bands, size: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link. Sets are made again from the texts of one document each."""
-    wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
+def _sets_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(name, members) of the sets in ``wanted`` (name). Sets are made again from the texts of one document each."""
     chosen = settle(nodes.join(wanted, "name", "left_semi").select("row_key"), "chosen")
     shared = nodes.sparkSession.sparkContext.broadcast(bloom_of(chosen, "row_key"))
 
@@ -436,6 +520,14 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, bands: Bands
                 blobs = pa.array([made.of(k).tobytes() for k in kept.tolist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(name), blobs], names=["name", "members"])
 
+    return settle(texts.mapInArrow(sets, "name long, members binary").join(wanted, "name", "left_semi"), "sets")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, bands: Bands, size: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link. Sets are made again from the texts of one document each."""
+    wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
+    members = _sets_of(wanted, nodes, texts, size)
+
     @tidied
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -445,8 +537,6 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, bands: Bands
                 kept.append(bands.links(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    members = texts.mapInArrow(sets, "name long, members binary").join(wanted, "name", "left_semi")
-    members = settle(members, "sets")
     right = members.select(F.col("name").alias("b"), F.col("members").alias("m_b"))
     left = members.select(F.col("name").alias("a"), F.col("members").alias("m_a"))
     return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(tested, "a long, b long")
@@ -469,7 +559,7 @@ def _component_rows(df: DataFrame, id_col: str, text: str, size: int, share: int
     """doc_id, mark (a hash of the text), n, component_id and first_mark (of the row that stays) of each document."""
     spark, bands = df.sparkSession, Bands(share, share_of)
     # A number for each document by which the texts of chosen ones are found again; equal ones only mean more texts.
-    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text)))
+    key = F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text))).otherwise(F.xxhash64(F.col(id_col)))
     texts = df.select(
         F.coalesce(F.col(text), F.lit("")).alias("text"), key.alias("row_key"), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text)).alias("mark")
     )
@@ -491,14 +581,16 @@ def _component_rows(df: DataFrame, id_col: str, text: str, size: int, share: int
     up = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
     further = up.select(F.col("node").alias("label"), F.col("label").alias("next"))
     labels = settle(up.join(further, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
-    # Round two: each set's nearest of another component. Round three: whatever may still join two components.
-    for nearest in (True, False):
-        new = _across(members, labels, nodes, bands, nearest).unionByName(possible.select("a", "b")).distinct()
-        new = settle(_of_two(new, labels).join(tested, ["a", "b"], "left_anti"), "tested")
-        more = settle(_verified(new, nodes, plain, bands, size), "linked")
-        tested, links = tested.unionByName(new), links.unionByName(more)
-        if nearest or not more.isEmpty():
-            labels = settle(components(links), "labels")
+    # Round two: the nearest pairs that would join all components that may belong together.
+    new = _across(members, labels, nodes, bands, "label").unionByName(possible.select("a", "b")).distinct()
+    new = settle(_of_two(new, labels).join(tested, ["a", "b"], "left_anti"), "tested")
+    links = links.unionByName(settle(_verified(new, nodes, plain, bands, size), "linked"))
+    labels = settle(components(links), "labels")
+    # Round three: what may still join two components meets with its whole sets.
+    left = settle(_across(members, labels, nodes, bands, "name").distinct(), "left")
+    more = settle(_links_within(left, labels, nodes, plain, bands, size), "linked")
+    if not more.isEmpty():
+        labels = settle(components(links.unionByName(more)), "labels")
     named = rows.join(labels, (F.col("name") == F.col("node")) & (F.col("n") > 0), "left").select(
         "doc_id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("label", "name")).alias("label")
     )
@@ -521,10 +613,11 @@ def drop_near_copies(
     """
     rows = settle(_component_rows(df, id_col, text, size, share, share_of).where("n > 0"), "components")
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("first_mark"))
-    gone = rows.where(~first).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__mark"))
+    own, mark = free_name(df, "id"), free_name(df, "mark")
+    gone = rows.where(~first).select(F.col("doc_id").alias(own), F.col("mark").alias(mark)).distinct()
+    same = F.col(id_col).eqNullSafe(F.col(own)) & (F.xxhash64(F.col(text)) == F.col(mark))
     left = df.join(gone, same, "left_anti")
-    again = rows.where(first).groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).count().where("count > 1").drop("count")
+    again = rows.where(first).groupBy(F.col("doc_id").alias(own), F.col("mark").alias(mark)).count().where("count > 1").drop("count")
     if again.isEmpty():
         return left
     return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col, text]))
