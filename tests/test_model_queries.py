@@ -27,23 +27,28 @@ FITS = {
     "spike_report_model": "RandomForest", "risk_feature_study": "RandomForest", "forecast_7d": "RandomForest",
 }
 FULL = {"RandomForest": fixed.FOREST, "GradientBoosting": fixed.BOOSTING, "XGBoost": fixed.BOOSTING_SPARSE, modelling.SERVICE: fixed.BOOSTING_SERVICE}
+COUNT = {"horizon_table": 7, "walk_forward_model": 5, "forecast_7d": 7}
 
 
 @pytest.mark.parametrize("query", FITS)
 def test_fits_have_their_full_sizes(spark, monkeypatch, query):
     made = []
 
-    def recorded(name, params=None, train=None, label="target", build=modelling.estimator):
-        made.append((name, {p.name: v for p, v in build(name, params, train, label)[-1].extractParamMap().items()}))
+    def recorded(df, fits, *rest):
+        made.extend(fits)
         raise Stop
 
     monkeypatch.setattr(models, "settle", lambda df, *_: df)
     monkeypatch.setattr(modelling, "settle", lambda df, *_: df)
-    monkeypatch.setattr(modelling, "estimator", recorded)
+    monkeypatch.setattr(modelling.trees, "fit_trees", recorded)
     with pytest.raises(Stop):
         _QUERIES[query](spark, TESTDATA)
-    for name, sizes in made:
-        assert name == FITS[query] and {k: sizes[k] for k in FULL[name]} == FULL[name]
+    sizes, forest = FULL[FITS[query]], FITS[query] == "RandomForest"
+    assert len(made) == COUNT.get(query, 1)
+    for fit in made:
+        assert (fit.trees, fit.depth) == (sizes["numTrees" if forest else "maxIter"], sizes["maxDepth"])
+        assert (fit.step, fit.rows) == ((None, None) if forest else (sizes["stepSize"], sizes["subsamplingRate"]))
+        assert fit.min_rows == sizes.get("minInstancesPerNode", 1)
 
 
 @pytest.mark.parametrize(("query", "function"), [("ablation", "ablation"), ("grid_search", "grid_search")])
@@ -58,11 +63,10 @@ def test_studies_are_whole(spark, monkeypatch, query, function):
 
 
 def test_short_study_has_all_models(spark, monkeypatch):
-    made = []
     monkeypatch.setattr(models, "settle", lambda df, *_: df)
-    monkeypatch.setattr(modelling, "fit_predict", lambda matrix, name, names, exp: made.append((exp, name)) or (matrix, None))
-    monkeypatch.setattr(models.evaluate, "overfit_gap", stop)
-    monkeypatch.setattr(models, "reduce", lambda f, frames: frames)
-    with pytest.raises(Stop):
+    whole = inspect.signature(modelling.ablation)
+    monkeypatch.setattr(modelling, "ablation", stop)
+    with pytest.raises(Stop) as stopped:
         _QUERIES["ablation_short_study"](spark, TESTDATA)
-    assert made == [(exp, name) for exp in fixed.EXPERIMENTS for name in modelling.MODELS]
+    bound = whole.bind(*stopped.value.args[0], **stopped.value.args[1])
+    assert set(bound.arguments) == {"df", "catalogue", "complete"}, "all experiments and models"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate
 from tidemark.operators.features import feature_list, model_features
+from tidemark.operators.series import ts_folds
 from tidemark.plans import modelling
 from tidemark.plans.dataset import PRICE
 
@@ -47,7 +48,7 @@ def test_experiments_grow(table):
 
 def test_ridge_equals_the_closed_form(matrix, table):
     names = feature_list(table)
-    pred, _ = modelling.fit_predict(matrix, "Ridge", names)
+    pred = modelling.fit_predict(matrix, "Ridge", names)
     rows = matrix.join(pred.select("series_id", "d", "y_pred"), ["series_id", "d"]).toPandas()
     train = rows[rows["split"] == "train"]
     x, y = train[names].to_numpy(float), train["target"].to_numpy()
@@ -60,24 +61,42 @@ def test_ridge_equals_the_closed_form(matrix, table):
 
 @pytest.mark.parametrize(("name", "params"), [("RandomForest", TREES), ("GradientBoosting", {"maxIter": 15, "stepSize": 0.3}), ("XGBoost", {"maxIter": 15, "stepSize": 0.3})])
 def test_trees_beat_the_mean(matrix, table, name, params):
-    pred, _ = modelling.fit_predict(matrix, name, feature_list(table), params=params)
+    pred = modelling.fit_predict(matrix, name, feature_list(table), params=params)
     r2 = {r["split"]: r["r2"] for r in evaluate.metrics(pred).collect()}
     assert r2["train"] > 0.8 and r2["test"] > 0.7
 
 
 def test_seeded_fit_repeats(matrix, table):
-    runs = [modelling.fit_predict(matrix, "RandomForest", feature_list(table), params=TREES)[0].agg(F.sum("y_pred")).first()[0] for _ in range(2)]
+    runs = [modelling.fit_predict(matrix, "RandomForest", feature_list(table), params=TREES).agg(F.sum("y_pred")).first()[0] for _ in range(2)]
     assert runs[0] == runs[1]
 
 
-def test_importances(spark, matrix, table):
+def test_importances(matrix, table):
     names = feature_list(table)
-    model = modelling.fit(matrix, "RandomForest", names, TREES)
-    rows = modelling.feature_importance(model, names, spark).collect()
+    rows = modelling.feature_importance(matrix, names, TREES).collect()
     assert {r["feature"] for r in rows} == set(names) and sum(r["importance"] for r in rows) == pytest.approx(1)
     assert [r["importance"] for r in rows] == sorted((r["importance"] for r in rows), reverse=True)
 
 
+def test_one_table_has_the_roles_of_each_matrix(table):
+    sets = {"few": ["lag1"], "all": feature_list(table)}
+    stacked, roles = modelling.stacked(table, sets, (1, 7))
+    for (name, h), role in roles.items():
+        own = modelling.model_matrix(table, sets[name], h).select("series_id", "d", "split", "target")
+        here = stacked.where(F.col(role).isNotNull()).select("series_id", "d", F.col(role).alias("split"), F.col(f"target_h{h}").alias("target"))
+        assert sorted(map(tuple, own.collect())) == sorted(map(tuple, here.collect()))
+    whole, all_roles = modelling.stacked(table, {"few": ["lag1"]}, complete="all")
+    assert whole.where(F.col(all_roles["few", 7]).isNotNull()).count() == modelling.model_matrix(table, ["lag1"], complete="all").count()
+
+
+def test_sizes_of_the_learners():
+    fits = {m: modelling.tree_fit("f", m, [f"x{i}" for i in range(45)]) for m in ("RandomForest", "GradientBoosting", "XGBoost", modelling.SERVICE)}
+    assert fits["XGBoost"].l1 == 5 and fits["XGBoost"].l2 == 10 and fits["XGBoost"].drawn == 27 and not fits["XGBoost"].by_node
+    assert fits["GradientBoosting"].l2 == 0 and fits["GradientBoosting"].drawn == 45 and fits["RandomForest"].drawn == 18
+    assert modelling.tree_fit("f", "RandomForest", ["x"] * 42, {"featureSubsetStrategy": "sqrt"}).drawn == 6
+    assert [f.trees for f in fits.values()] == [400, 500, 500, 500] and fits[modelling.SERVICE].depth == 6
+
+
 def test_short_catalogue_leaves_out_the_long_lag(table):
     from tidemark import fixed
 
@@ -115,8 +134,38 @@ def test_grid_search(table):
     assert out[0]["gap"] == pytest.approx(out[0]["train_r2"] - out[0]["test_r2"]) and out[1]["test_r2"] is None
 
 
-def test_forecast_from_the_last_row(table):
-    out = modelling.forecast(table, (1, 3), params=TREES).collect()
+def test_points_of_the_grid_equal_their_own_fits(table):
+    """Forests inside the largest one score as they do when fitted alone, fold by fold."""
+    names = [f for f in feature_list(table)][:20]
+    grid = {"numTrees": (6, 12), "maxDepth": (2, 4), "minInstancesPerNode": (5,), "featureSubsetStrategy": ("0.5", "sqrt")}
+    out = modelling.grid_search(table, names, grid, n_splits=2, top=3).collect()
+    assert len(out) == 8 and sum(r["test_r2"] is not None for r in out) == 3
+    matrix = modelling.model_matrix(table, names)
+    folds = ts_folds(matrix.where("split = 'train'").drop("split"), 2)
+    for r in [out[0], out[2], out[5], out[7]]:
+        point = {"numTrees": int(r["numTrees"]), "maxDepth": int(r["maxDepth"]), "minInstancesPerNode": 5, "featureSubsetStrategy": r["featureSubsetStrategy"]}
+        scores = []
+        for fold in (1, 2):
+            rows = folds.where(F.col("fold") == fold).withColumnRenamed("role", "split")
+            pred = modelling.fit_predict(rows, "RandomForest", names, params=point).where("split = 'test'").toPandas()
+            scores.append(1 - ((pred.y_true - pred.y_pred) ** 2).sum() / ((pred.y_true - pred.y_true.mean()) ** 2).sum())
+        assert r["cv_r2"] == pytest.approx(np.mean(scores), abs=0.02)
+
+
+def test_forecast_from_the_last_row(spark, table, tmp_path):
+    modelling.fit_forecasters(table, str(tmp_path), (1, 3), params=TREES)
+    out = modelling.forecast(table, str(tmp_path)).collect()
     assert len(out) == 4 and {(r["target_date"] - r["as_of"]).days for r in out} == {1, 3}
     assert {r["as_of"] for r in out} == {dt.date(2023, 1, 1) + dt.timedelta(259)}
     assert all((20 < r["price"] < 60) == (r["series_id"] == "a") for r in out)
+    again = modelling.forecast(table.repartition(3), str(tmp_path)).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, out))
+
+
+def test_forecast_days_follow_the_rows(table, tmp_path):
+    """Where rows go on behind the last complete one the target is a row's day, and beyond the end each day is a row."""
+    modelling.fit_forecasters(table, str(tmp_path), (1, 3), params=TREES)
+    last = dt.date(2023, 1, 1) + dt.timedelta(259)
+    gap = table.where(F.col("d") != F.lit(last - dt.timedelta(1))).withColumn("lag1", F.when(F.col("d") != F.lit(last), F.col("lag1")))
+    out = {(r["horizon"], r["as_of"], r["target_date"]) for r in modelling.forecast(gap, str(tmp_path)).collect()}
+    assert out == {(1, last - dt.timedelta(2), last), (3, last - dt.timedelta(2), last + dt.timedelta(2))}

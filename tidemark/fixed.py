@@ -178,6 +178,8 @@ BOOSTING_SPARSE = {
     "maxIter": 500, "stepSize": 0.01, "maxDepth": 2, "minInstancesPerNode": 20,
     "subsamplingRate": 0.6, "featureSubsetStrategy": "0.6",
 }
+BOOSTING_SPARSE_PENALTIES = {"l1": 5.0, "l2": 10.0}
+BOOSTING_SERVICE_PENALTIES = {"l1": 0.0, "l2": 1.0}
 BOOSTING_SERVICE = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8}
 SEARCH_GRID = {
     "numTrees": (200, 300, 400, 500),

@@ -201,6 +201,20 @@ def chrono_split(
     return placed.withColumn("split", split).drop("row_no", "n_rows")
 
 
+def fold_roles(
+    df: DataFrame, n_splits: int = 5, gap: int = 0, keys: Sequence[str] = KEYS, d: str = D
+) -> tuple[DataFrame, list[Column]]:
+    """``df`` with positions, and for each fold the role of a row: "train", "test" or NULL."""
+    placed = chrono_position(df, keys, d)
+    pos = F.col("row_no") - 1
+    size = F.floor(F.col("n_rows") / (n_splits + 1))
+    roles = []
+    for fold in range(1, n_splits + 1):
+        start = F.col("n_rows") - (n_splits + 1 - fold) * size
+        roles.append(F.when((pos >= start) & (pos < start + size), "test").when(pos < start - gap, "train"))
+    return placed, roles
+
+
 def ts_folds(
     df: DataFrame, n_splits: int = 5, gap: int = 0, keys: Sequence[str] = KEYS, d: str = D
 ) -> DataFrame:
@@ -209,13 +223,7 @@ def ts_folds(
     Test blocks hold ``floor(n / (n_splits + 1))`` rows and end at the last row; the
     training rows of a fold end ``gap`` rows before its test block.
     """
-    placed = chrono_position(df, keys, d)
-    pos = F.col("row_no") - 1
-    size = F.floor(F.col("n_rows") / (n_splits + 1))
-    roles = []
-    for fold in range(1, n_splits + 1):
-        start = F.col("n_rows") - (n_splits + 1 - fold) * size
-        role = F.when((pos >= start) & (pos < start + size), "test").when(pos < start - gap, "train")
-        roles.append(F.struct(F.lit(fold).alias("fold"), role.alias("role")))
-    rows = placed.withColumn("_f", F.explode(F.array(*roles))).drop("n_rows")
+    placed, roles = fold_roles(df, n_splits, gap, keys, d)
+    each = [F.struct(F.lit(fold).alias("fold"), role.alias("role")) for fold, role in enumerate(roles, 1)]
+    rows = placed.withColumn("_f", F.explode(F.array(*each))).drop("n_rows")
     return rows.select("*", "_f.fold", "_f.role").drop("_f").where(F.col("role").isNotNull())

@@ -5,18 +5,13 @@ All are registered at the full sizes of ``fixed.py``, over the whole feature tab
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from tidemark import fixed
 from tidemark.operators import evaluate, features
 from tidemark.plans import dataset, modelling, roles
 from tidemark.plans.catalog.daily import model_table
 from tidemark.plans.catalog.registry import query
 from tidemark.plans.dataset import PRICE
-from tidemark.session import settle
+from tidemark.session import scratch_path, settle
 
 def _fit_query(name: str, model: str) -> None:
     @query(name)
@@ -24,7 +19,7 @@ def _fit_query(name: str, model: str) -> None:
         df = model_table(spark, sf)
         names = features.feature_list(df)
         matrix = settle(modelling.model_matrix(df, names))
-        return evaluate.metrics(modelling.fit_predict(matrix, model, names)[0])
+        return evaluate.metrics(modelling.fit_predict(matrix, model, names))
 
 
 _fit_query("fit_ridge", "Ridge")
@@ -45,12 +40,8 @@ def _(spark, sf):
     """The shorter study: fewer columns, one set of rows for all experiments, scores of logarithms."""
     base = dataset.model_base(roles.base_table(spark, sf), "model_all")
     df = settle(features.model_features(base, PRICE, shares=roles.RISK_WEIGHTS).drop("roll_std21"))
-    frames = []
-    for exp in fixed.EXPERIMENTS:
-        names = features.feature_list(df, exp, catalogue=fixed.FEATURE_GROUPS_SHORT)
-        matrix = settle(modelling.model_matrix(df, names, complete="all"))
-        frames += [modelling.fit_predict(matrix, model, names, exp)[0] for model in modelling.MODELS]
-    return evaluate.summary(evaluate.overfit_gap(reduce(DataFrame.unionByName, frames), space="log"))
+    pred = modelling.ablation(df, catalogue=fixed.FEATURE_GROUPS_SHORT, complete="all")
+    return evaluate.summary(evaluate.overfit_gap(pred, space="log"))
 
 
 @query("horizon_table")
@@ -78,8 +69,7 @@ def _(spark, sf):
     df = model_table(spark, sf)
     names = features.feature_list(df)
     matrix = settle(modelling.model_matrix(df, names))
-    model = modelling.fit(matrix.where(F.col("split") == "train"), "RandomForest", names)
-    return modelling.feature_importance(model, names, spark)
+    return modelling.feature_importance(matrix, names)
 
 
 @query("spike_report_model")
@@ -87,7 +77,7 @@ def _(spark, sf):
     df = settle(model_table(spark, sf))
     names = features.feature_list(df)
     matrix = settle(modelling.model_matrix(df, names))
-    pred = modelling.fit_predict(matrix, "RandomForest", names)[0]
+    pred = modelling.fit_predict(matrix, "RandomForest", names)
     naive = modelling.persistence(df, horizons=(7,))
     return evaluate.spike_report(pred.unionByName(naive))
 
@@ -100,11 +90,13 @@ def _(spark, sf):
     for exp, without in (("WITH KG", ()), ("WITHOUT KG", ("KG Risk",))):
         names = features.feature_list(df, without=without)
         matrix = settle(modelling.model_matrix(df, names))
-        frames.append(modelling.fit_predict(matrix, "RandomForest", names, exp)[0])
+        frames.append(modelling.fit_predict(matrix, "RandomForest", names, exp))
     return evaluate.subset_metrics(frames[0].unionByName(frames[1]), df)
 
 
 @query("forecast_7d")
 def _(spark, sf):
-    df = settle(model_table(spark, sf))
-    return modelling.forecast(df)
+    """Models are fitted and stored once; the forecast reads them."""
+    df, path = settle(model_table(spark, sf)), scratch_path(spark, "forecasters")
+    modelling.fit_forecasters(df, path)
+    return modelling.forecast(df, path)

@@ -10,27 +10,26 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import product
-from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions.rows import ln_or_null
 from tidemark.operators import evaluate
 from tidemark.operators.features import feature_list
-from tidemark.operators.series import D, KEYS, by_day, chrono_split, leads_log, ts_folds
+from tidemark.operators.series import D, KEYS, by_day, chrono_split, fold_roles, leads_log
+from tidemark.plans import trees
 from tidemark.plans.dataset import PRICE
+from tidemark.plans.trees import Fit
 from tidemark.session import settle
 from tidemark.sources.increments import dedupe_by
 
 MODELS = ("Ridge", "RandomForest", "GradientBoosting", "XGBoost")
 SERVICE = "ServiceBoosting"
-PARALLEL_FITS = 4
 
 
 def model_matrix(
@@ -100,56 +99,96 @@ def prediction_rows(
     )
 
 
-def estimator(name: str, params: Mapping | None = None, train: DataFrame | None = None, label: str = "target"):
-    """Pipeline stages after the assembler for one of :data:`MODELS` or :data:`SERVICE`.
+def ridge(train: DataFrame, features: Sequence[str], params: Mapping | None = None, label: str = "target") -> PipelineModel:
+    """Ridge regression on features scaled by their population deviation.
 
-    Ridge penalises the coefficients of features scaled by their population deviation.
     The library scales by sample deviation and divides the target by its deviation, so
     the penalty is converted; that takes the row count and spread of the target.
-    All boosting variants map to the one gradient-boosted tree learner; leaf penalties
-    have no counterpart in it.
     """
     params = dict(params or {})
-    if name == "Ridge":
-        alpha = params.pop("alpha", fixed.RIDGE_ALPHA)
-        n, spread = train.agg(F.count(label), F.stddev_pop(label)).first()
-        penalty = alpha * (n - 1) / n / n * (spread or 0.0)
-        return [
-            StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-            LinearRegression(
-                featuresCol="scaled", labelCol=label, predictionCol="y_pred", solver="normal",
-                elasticNetParam=0.0, standardization=False, regParam=penalty, **params,
-            ),
-        ]
-    common = {"featuresCol": "features", "labelCol": label, "predictionCol": "y_pred", "seed": fixed.SEED}
-    if name == "RandomForest":
-        return [RandomForestRegressor(**common, **{**fixed.FOREST, **params})]
-    boosting = {"GradientBoosting": fixed.BOOSTING, "XGBoost": fixed.BOOSTING_SPARSE, SERVICE: fixed.BOOSTING_SERVICE}
-    return [GBTRegressor(**common, **{**boosting[name], **params})]
+    alpha = params.pop("alpha", fixed.RIDGE_ALPHA)
+    n, spread = train.agg(F.count(label), F.stddev_pop(label)).first()
+    penalty = alpha * (n - 1) / n / n * (spread or 0.0)
+    stages = [
+        VectorAssembler(inputCols=list(features), outputCol="features"),
+        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        LinearRegression(
+            featuresCol="scaled", labelCol=label, predictionCol="y_pred", solver="normal",
+            elasticNetParam=0.0, standardization=False, regParam=penalty, **params,
+        ),
+    ]
+    return Pipeline(stages=stages).fit(train)
 
 
-def fit(train: DataFrame, name: str, features: Sequence[str], params: Mapping | None = None) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, *estimator(name, params, train)]).fit(train)
+def tree_fit(
+    name: str, model: str, features: Sequence[str], params: Mapping | None = None, target: str = "target", role: str = "split"
+) -> Fit:
+    """The sizes of one of :data:`MODELS` or :data:`SERVICE`, changed by ``params``, as a fit of trees."""
+    sizes = {
+        "RandomForest": fixed.FOREST, "GradientBoosting": fixed.BOOSTING, "XGBoost": fixed.BOOSTING_SPARSE, SERVICE: fixed.BOOSTING_SERVICE,
+    }
+    penalties = {"XGBoost": fixed.BOOSTING_SPARSE_PENALTIES, SERVICE: fixed.BOOSTING_SERVICE_PENALTIES}
+    p = {**sizes[model], **(params or {})}
+    subset = p.get("featureSubsetStrategy", "1.0")
+    share = int(len(features) ** 0.5) / len(features) if subset == "sqrt" else float(subset)
+    forest = model == "RandomForest"
+    return Fit(
+        name, tuple(features), target, role, trees=p["numTrees" if forest else "maxIter"], depth=p["maxDepth"],
+        min_rows=p.get("minInstancesPerNode", 1), share=share, by_node=forest, rows=None if forest else p["subsamplingRate"],
+        step=None if forest else p["stepSize"], seed=fixed.SEED, **penalties.get(model, {}),
+    )
 
 
 def fit_predict(
     matrix: DataFrame, name: str, features: Sequence[str], exp: str = "FULL MODEL", params: Mapping | None = None
-) -> tuple[DataFrame, PipelineModel]:
+) -> DataFrame:
     """Fit on the training rows, predict all rows."""
-    model = fit(matrix.where(F.col("split") == "train"), name, features, params)
-    scored = model.transform(matrix).withColumn("y_true", F.col("target"))
-    return prediction_rows(scored, exp, name), model
+    if name == "Ridge":
+        scored = ridge(matrix.where(F.col("split") == "train"), features, params).transform(matrix).withColumn("y_true", F.col("target"))
+        return prediction_rows(scored, exp, name)
+    fits = [tree_fit(name, name, features, params)]
+    model = trees.fit_trees(matrix, fits, [*KEYS, D])
+    return prediction_rows(trees.predict(matrix, fits, model, [*KEYS, D, "horizon"]), exp, name)
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def stacked(
+    df: DataFrame,
+    sets: Mapping[str, Sequence[str]],
+    horizons: Sequence[int] = (fixed.PRIMARY_HORIZON,),
+    share: float = fixed.TRAIN_SHARE,
+    value: str = PRICE,
+    complete: str = "features",
+) -> tuple[DataFrame, dict[tuple[str, int], str]]:
+    """One table for all fits: every feature and target once, and for each set of features and horizon a column with the
+    role of a row ("train", "test", or NULL where something is missing). Roles are those of ``model_matrix``.
+    """
+    led = leads_log(df, value, horizons, "target_h")
+    w, whole = by_day(KEYS, D), Window.partitionBy(*KEYS)
+    names, shown = {}, {}
+    for at, (name, features) in enumerate(sets.items()):
+        for h in horizons:
+            needed = [*(df.columns if complete == "all" else features), f"target_h{h}"]
+            full = reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in needed])
+            one = F.when(full, 1).otherwise(0)
+            cut = F.floor(F.sum(one).over(whole) * F.lit(float(share)))
+            role = F.when(full, F.when(F.sum(one).over(w.rowsBetween(Window.unboundedPreceding, 0)) <= cut, "train").otherwise("test"))
+            names[name, h] = f"role_{at}_{h}"
+            shown[names[name, h]] = role
+    features = list(dict.fromkeys(f for fs in sets.values() for f in fs))
+    return led.withColumns(shown).select(*KEYS, D, *features, *[f"target_h{h}" for h in horizons], *shown), names
+
+
+def _scored(table: DataFrame, fits: Mapping[tuple, Fit]) -> DataFrame:
+    """Predictions of fits on one stacked table, by (exp, model, horizon, fold)."""
+    model = trees.fit_trees(table, list(fits.values()), [*KEYS, D])
+    names = [(f.name, *key) for key, f in fits.items()]
+    known = table.sparkSession.createDataFrame(names, "fit string, exp string, model string, horizon int, fold int")
+    pred = trees.predict(table, list(fits.values()), model, [*KEYS, D])
+    return pred.join(F.broadcast(known), "fit").select("exp", "model", "horizon", "fold", "split", *KEYS, D, "y_true", "y_pred")
 
 
-def _in_parallel(task, jobs: Sequence, width: int = PARALLEL_FITS) -> list:
-    """Submit a few independent fits at a time; each of them is a distributed job."""
-    with ThreadPool(max(1, min(width, len(jobs)))) as pool:
-        return pool.map(task, jobs)
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def ablation(
@@ -158,18 +197,26 @@ def ablation(
     models: Sequence[str] = MODELS,
     horizon: int = fixed.PRIMARY_HORIZON,
     params: Mapping[str, Mapping] | None = None,
+    catalogue: Mapping = fixed.FEATURE_GROUPS,
+    complete: str = "features",
 ) -> DataFrame:
-    """Predictions of every feature set with every model."""
-    matrices = {
-        exp: (feature_list(df, exp), settle(model_matrix(df, feature_list(df, exp), horizon))) for exp in experiments
+    """Predictions of every feature set with every model, from one table; all trees are grown in one job."""
+    sets = {exp: feature_list(df, exp, catalogue=catalogue) for exp in experiments}
+    table, roles = stacked(df, sets, (horizon,), complete=complete)
+    table, target = settle(table), f"target_h{horizon}"
+    params, frames = params or {}, []
+    if "Ridge" in models:
+        for exp, features in sets.items():
+            role = roles[exp, horizon]
+            rows = table.where(F.col(role).isNotNull()).select(
+                *KEYS, D, *features, F.col(target).alias("target"), F.col(role).alias("split"), F.lit(horizon).alias("horizon")
+            )
+            frames.append(fit_predict(rows, "Ridge", features, exp, params.get("Ridge")))
+    fits = {
+        (exp, m, horizon, 0): tree_fit(f"{m} on {exp}", m, features, params.get(m), target, roles[exp, horizon])
+        for exp, features in sets.items() for m in models if m != "Ridge"
     }
-
-    def run(job: tuple[str, str]) -> DataFrame:
-        exp, name = job
-        features, matrix = matrices[exp]
-        return fit_predict(matrix, name, features, exp, (params or {}).get(name))[0]
-
-    return _union(_in_parallel(run, list(product(experiments, models))))
+    return _union([*frames, *([_scored(table, fits)] if fits else [])])
 
 
 def ablation_table(df: DataFrame, pred: DataFrame, catalogue: Mapping = fixed.FEATURE_GROUPS) -> DataFrame:
@@ -186,13 +233,11 @@ def horizon_predictions(
     params: Mapping | None = None,
     exp: str = "FULL MODEL",
 ) -> DataFrame:
-    """One fit per horizon on the full features."""
+    """One fit per horizon on the full features, all on one table."""
     features = feature_list(df, exp)
-
-    def run(h: int) -> DataFrame:
-        return fit_predict(settle(model_matrix(df, features, h)), name, features, exp, params)[0]
-
-    return _union(_in_parallel(run, list(horizons)))
+    table, roles = stacked(df, {exp: features}, horizons)
+    fits = {(exp, name, h, 0): tree_fit(f"{name} h{h}", name, features, params, f"target_h{h}", roles[exp, h]) for h in horizons}
+    return _scored(settle(table), fits)
 
 
 def horizon_table(pred: DataFrame, naive: DataFrame) -> DataFrame:
@@ -240,14 +285,13 @@ def walk_forward(
 ) -> DataFrame:
     """Test predictions of one fit per fold."""
     features = feature_list(df)
-    matrix = model_matrix(df, features, horizon).drop("split")
-    folds = settle(ts_folds(matrix, n_splits, gap))
-
-    def run(i: int) -> DataFrame:
-        rows = folds.where(F.col("fold") == i).withColumnRenamed("role", "split")
-        return fit_predict(rows, name, features, "FULL MODEL", params)[0].where(F.col("split") == "test")
-
-    return _union(_in_parallel(run, range(1, n_splits + 1)))
+    placed, roles = fold_roles(model_matrix(df, features, horizon).drop("split"), n_splits, gap)
+    table = settle(placed.withColumns({f"role_{i}": role for i, role in enumerate(roles, 1)}))
+    fits = {
+        ("FULL MODEL", name, horizon, i): tree_fit(f"{name} fold {i}", name, features, params, "target", f"role_{i}")
+        for i in range(1, n_splits + 1)
+    }
+    return _scored(table, fits).where(F.col("split") == "test")
 
 
 def grid_search(
@@ -257,74 +301,92 @@ def grid_search(
     n_splits: int = 5,
     horizon: int = fixed.PRIMARY_HORIZON,
     top: int = 10,
-    name: str = "RandomForest",
 ) -> DataFrame:
-    """Mean R² over expanding time folds per parameter set; the best ``top`` are refitted and tested.
+    """Mean R² of forests over expanding time folds per parameter set; the best ``top`` are refitted and tested.
 
-    One result row per parameter set, so the list returned to the driver is as long as
-    the grid. Scores are in log space.
+    Forests nest: for each fold, the one with the most and deepest trees holds all that differ from it in
+    ``numTrees`` and ``maxDepth`` alone, so only the other parameters are fitted anew. One result row per parameter
+    set, so the list returned to the driver is as long as the grid. Scores are in log space.
     """
-    spark = df.sparkSession
+    spark, keys = df.sparkSession, [*KEYS, D]
     present = [f for f in features if f in df.columns]
     matrix = settle(model_matrix(df, present, horizon))
-    train, test = (matrix.where(F.col("split") == s) for s in ("train", "test"))
-    folds = settle(ts_folds(train.drop("split"), n_splits))
-    score = RegressionEvaluator(labelCol="target", predictionCol="y_pred", metricName="r2")
-    points = [dict(zip(grid, values)) for values in product(*grid.values())]
-
-    def cv(point: dict) -> float:
-        scores = []
-        for i in range(1, n_splits + 1):
-            rows = folds.where(F.col("fold") == i)
-            model = fit(rows.where(F.col("role") == "train"), name, present, point)
-            scores.append(score.evaluate(model.transform(rows.where(F.col("role") == "test"))))
-        return sum(scores) / len(scores)
-
-    def retest(point: dict) -> tuple[float, float]:
-        model = fit(train, name, present, point)
-        return score.evaluate(model.transform(train)), score.evaluate(model.transform(test))
-
-    cv_scores = _in_parallel(cv, points)
-    ranked = sorted(zip(cv_scores, points), key=lambda sp: -sp[0])
-    tested = _in_parallel(retest, [p for _, p in ranked[:top]])
+    placed, roles = fold_roles(matrix.where(F.col("split") == "train"), n_splits)
+    names = [f"role_{i}" for i in range(1, n_splits + 1)]
+    folds = settle(placed.drop("split").withColumns(dict(zip(names, roles))))
+    counts, depths = grid.get("numTrees", (fixed.FOREST["numTrees"],)), grid.get("maxDepth", (fixed.FOREST["maxDepth"],))
+    others = {k: v for k, v in grid.items() if k not in ("numTrees", "maxDepth")}
+    outer = [dict(zip(others, values)) for values in product(*others.values())]
+
+    def largest(point: Mapping, role: str) -> Fit:
+        params = {**point, "numTrees": max(counts), "maxDepth": max(depths)}
+        return tree_fit(f"{sorted(point.items())} {role}", "RandomForest", present, params, "target", role)
+
+    fits = [[largest(point, role) for role in names] for point in outer]
+    model = trees.fit_trees(folds, [f for of in fits for f in of], keys)
+    ranked = []
+    for point, of in zip(outer, fits):
+        r2 = trees.staged_r2(folds, of, model, counts, depths, ("test",))
+        for n, depth in product(counts, depths):
+            scores = [r2.get((f.name, "test", n, depth)) for f in of]
+            mean = sum(scores) / n_splits if None not in scores else None
+            ranked.append((mean, {**point, "numTrees": n, "maxDepth": depth}))
+    ranked.sort(key=lambda sp: -sp[0] if sp[0] is not None else float("inf"))
+    best = [{k: p[k] for k in others} for _, p in ranked[:top]]
+    best = [p for i, p in enumerate(best) if p not in best[:i]]
+    again = [largest(point, "split") for point in best]
+    tested = trees.staged_r2(matrix, again, trees.fit_trees(matrix, again, keys), counts, depths) if again else {}
     rows = []
-    for rank, (cv_r2, point) in enumerate(ranked, 1):
-        train_r2, test_r2 = tested[rank - 1] if rank <= len(tested) else (None, None)
-        rows.append((rank, *[str(point[k]) for k in grid], cv_r2, train_r2, test_r2))
+    for rank, (cv_r2, p) in enumerate(ranked, 1):
+        name = largest({k: p[k] for k in others}, "split").name
+        both = [tested.get((name, split, p["numTrees"], p["maxDepth"])) if rank <= top else None for split in ("train", "test")]
+        rows.append((rank, *[str(p[k]) for k in grid], cv_r2, *both))
     columns = ", ".join(f"{k} string" for k in grid)
     out = spark.createDataFrame(rows, f"rank int, {columns}, cv_r2 double, train_r2 double, test_r2 double")
     return out.withColumn("gap", F.col("train_r2") - F.col("test_r2"))
 
 
-def feature_importance(model: PipelineModel, features: Sequence[str], spark: SparkSession) -> DataFrame:
-    """``(feature, importance)`` of a tree model, largest first; one row per feature."""
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(f, float(w)) for f, w in zip(features, weights)]
-    frame = spark.createDataFrame(rows, "feature string, importance double")
+def feature_importance(matrix: DataFrame, features: Sequence[str], params: Mapping | None = None) -> DataFrame:
+    """``(feature, importance)`` of a forest on the training rows, largest first; one row per feature."""
+    fit = tree_fit("forest", "RandomForest", features, params)
+    weights = trees.importances(fit, trees.fit_trees(matrix, [fit], [*KEYS, D]))
+    frame = matrix.sparkSession.createDataFrame(list(weights.items()), "feature string, importance double")
     return frame.orderBy(F.col("importance").desc(), "feature")
 
 
-def forecast(
+def fit_forecasters(
     df: DataFrame,
+    path: str,
     horizons: Sequence[int] = fixed.HORIZONS,
     name: str = "RandomForest",
     params: Mapping | None = None,
     exp: str = "FULL MODEL",
-) -> DataFrame:
-    """Fit per horizon, then score the last complete row of each series.
-
-    One row per series and horizon: ``(series_id, as_of, horizon, target_date, price)``.
-    """
+) -> None:
+    """Fit each horizon on all complete rows and store the models, with their features, at ``path``."""
     features = feature_list(df, exp)
-    complete = df.na.drop(subset=features)
-    last = settle(dedupe_by(complete, KEYS, [D], "last").select(*KEYS, D, *features))
-
-    def run(h: int) -> DataFrame:
-        matrix = settle(model_matrix(df, features, h, share=1.0))
-        scored = fit(matrix, name, features, params).transform(last)
-        return scored.select(
-            *KEYS, F.col(D).alias("as_of"), F.lit(h).alias("horizon"), F.date_add(D, h).alias("target_date"),
-            F.exp("y_pred").alias("price"),
-        )
+    table, roles = stacked(df, {exp: features}, horizons, share=1.0)
+    fits = [tree_fit(str(h), name, features, params, f"target_h{h}", roles[exp, h]) for h in horizons]
+    trees.store(fits, trees.fit_trees(settle(table), fits, [*KEYS, D]), path)
 
-    return _union(_in_parallel(run, list(horizons)))
+
+def forecast(df: DataFrame, path: str) -> DataFrame:
+    """Score the last complete row of each series with stored models; nothing is fitted.
+
+    One row per series and horizon: ``(series_id, as_of, horizon, target_date, price)``. A horizon counts rows: the
+    target is the day of that row where the series goes on behind ``as_of``, and beyond its end every day is a row.
+    """
+    fits, model = trees.load(df.sparkSession, path)
+    features = list(dict.fromkeys(c for f in fits for c in f.features))
+    spans = {f: int(f.name) for f in fits}
+    w, whole = by_day(KEYS, D), Window.partitionBy(*KEYS)
+    left = F.count(F.lit(1)).over(whole) - F.row_number().over(w)
+    days = {
+        f"day_{h}": F.coalesce(F.lead(D, h).over(w), F.date_add(F.max(D).over(whole), (F.lit(h) - left).cast("int"))) for h in spans.values()
+    }
+    rows = dedupe_by(df.withColumns(days).na.drop(subset=features), KEYS, [D], "last")
+    last = settle(rows.select(
+        *KEYS, D, *features, *days, *[F.lit("last").alias(f.role) for f in fits], *[F.lit(None).cast("double").alias(f.target) for f in fits]
+    ))
+    pred = trees.predict(last, fits, model, [*KEYS, D, *days])
+    target = F.coalesce(*[F.when(F.col("fit") == f.name, F.col(f"day_{h}")) for f, h in spans.items()])
+    return pred.select(*KEYS, F.col(D).alias("as_of"), F.col("fit").cast("int").alias("horizon"), target.alias("target_date"), F.exp("y_pred").alias("price"))
