@@ -125,7 +125,7 @@ def _(spark, sf):
     for part in (given.where(F.col("ts") < cut), given.where(F.col("ts") >= cut)):
         part.write.mode("append").parquet(source)
         loads.stream_first(loads.file_stream(spark, source, given.schema), target, ["title", "url"], state, ["event_id"]).awaitTermination()
-    return spark.read.schema(given.schema).parquet(target).select("title", "url", "event_id")
+    return loads.first_rows(spark, target, given.schema).select("title", "url", "event_id")
 
 
 @query("unseen_headers", "SELECT s_suppkey AS sheet_id, CAST(2 AS BIGINT) AS n_rows FROM supplier WHERE s_nationkey % 2 = 1")

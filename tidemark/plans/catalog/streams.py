@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark import fixed
+from tidemark.operators.series import lags
 from tidemark.plans import roles
+from tidemark.plans.catalog import sql as S
 from tidemark.plans.catalog.ingest import _NEW, _OLD, old_new
 from tidemark.plans.catalog.registry import query
-from tidemark.session import scratch_path
+from tidemark.plans.dataset import PRICE
+from tidemark.session import scratch_path, settle
+from tidemark.sources.snapshots import read_snapshot
 from tidemark.streaming import loads
 
 
@@ -35,7 +40,7 @@ def _(spark, sf):
         part.select("*", day).write.mode("append").parquet(source)
         stream = loads.file_stream(spark, source, schema)
         loads.stream_upsert(stream, target, ["event_id"], "day", state, "last", ["ts"]).awaitTermination()
-    return spark.read.schema(schema).parquet(target)
+    return read_snapshot(spark, target, schema)
 
 
 @query("stream_dedupe", "SELECT user_id, event_type, CAST(ts AS DATE) AS day FROM events GROUP BY ALL")
@@ -46,3 +51,23 @@ def _(spark, sf):
     kept = unique.select("user_id", "event_type", "day")
     loads.stream_ingest(kept, target, scratch_path(spark, "dedupe-state")).awaitTermination()
     return spark.read.schema(kept.schema).parquet(target)
+
+
+_LAGS = ", ".join(f"lag(Average_Price, {k}) OVER ({S.W}) AS lag{k}" for k in fixed.MODEL_LAGS)
+
+
+@query("stream_features", f"WITH {S.FILLED} SELECT series_id, d, Average_Price, {_LAGS} FROM filled",
+       "Average_Price " + " ".join(f"lag{k}" for k in fixed.MODEL_LAGS))
+def _(spark, sf):
+    """The days come in three loads: most of the past, with some missing and some wrong; these, late and corrected; the newest."""
+    daily = settle(roles.daily_quotes(spark, sf).select("series_id", "d", PRICE))
+    source, target, state = (scratch_path(spark, f"features-{x}") for x in ("source", "target", "state"))
+    recent = F.col("d") >= F.date_sub(F.lit(daily.agg(F.max("d")).first()[0]), 100)
+    turn = F.pmod(F.xxhash64("series_id", "d"), F.lit(1000))
+    wrong = daily.withColumn(PRICE, F.when(turn >= 995, F.col(PRICE) * 2).otherwise(F.col(PRICE)))
+    for load in (wrong.where(~recent & (turn >= 5)), daily.where(~recent & ((turn < 5) | (turn >= 995))), daily.where(recent)):
+        load.write.mode("append").parquet(source)
+        stream = loads.file_stream(spark, source, daily.schema)
+        made = lambda filled: lags(filled, PRICE, fixed.MODEL_LAGS)
+        loads.stream_features(stream, target, PRICE, made, max(fixed.MODEL_LAGS), state).awaitTermination()
+    return read_snapshot(spark, f"{target}/features", loads.with_months(made(daily)).schema).drop(loads.MONTH)
