@@ -242,3 +242,47 @@ def test_upsert_partitions_touches_only_its_months(spark, frame):
     after = spark.read.parquet(path)
     assert sorted((str(r["d"]), r["x"]) for r in after.collect()) == [("2024-01-01", 1.0), ("2024-01-02", 20.0), ("2024-02-01", 5.0)]
     assert before and february() == before
+
+
+# --- real pages --------------------------------------------------------------
+def test_comments_and_quoted_marks_are_no_rows(frame):
+    page = ('<script>"<table><tr><td>s</td></tr></table>"</script><!-- <table><tr><td>old</td></tr></table> --><table title="a > b" class=\'x>y\'>'
+            '<tr><th data-x="1>0">Date</th><th>Diesel</th></tr><!-- <tr><td>2001-01-01</td><td>1</td></tr> -->'
+            '<tr onclick="a<b"><td title="3 > 2">2024-01-02</td><td>5</td></tr></table>')
+    df = frame("id int, html string", [(1, page), (2, None), (3, ""), (4, "<table><tr><th>date<th>diesel<tr><td>2024-01-03<td>6")])
+    rows = payloads.explode_html_table(df, "html", ["id"]).collect()
+    assert [(r["id"], r["header"], r["cells"]) for r in rows] == [
+        (1, ["date", "diesel"], ["2024-01-02", "5"]), (4, ["date", "diesel"], ["2024-01-03", "6"])]
+
+
+def test_paragraphs_without_an_end(frame):
+    one, two, three = (f"A sentence number {n} that is long enough to stay." for n in ("one", "two", "three"))
+    page = f'<div><p class="a>b">{one}<p>{two}</div><p>{three}<ul><li>no paragraph, however long it may be, really</li></ul><!-- <p>{one}</p> -->'
+    df = frame("html string", [(page,), (f"<p>{one}",), (None,)])
+    assert [r[0] for r in df.select(payloads.page_text(F.col("html"))).collect()] == [f"{one} {two} {three}", one, ""]
+
+
+def test_each_page_names_its_own_columns(frame):
+    table = lambda *rows: "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+    pages = [table(("Item", "Price"), ("a", "1")), table(("Price", "Item", "Unit"), ("2", "b", "kg")), table(("Item", "", "Item"), ("c", "x", "d"))]
+    df = frame("id int, day date, html string", [(i, day("2024-01-02"), p) for i, p in enumerate(pages)])
+    got = payloads.scraped_rows(df, "html", "day", keep=["id"])
+    assert got.columns == ["id", "Date", "row_no", "item", "price", "column_2", "item_2", "unit"]
+    assert sorted(tuple(r)[3:] for r in got.collect()) == sorted([("a", "1", None, None, None), ("b", "2", None, None, "kg"), ("c", None, "x", "d", None)])
+
+
+def test_bare_ampersands_in_feeds(frame):
+    feed = lambda title: f"<rss><channel><item><title>{title}</title><link>http://x/?a=1&b=2</link></item></channel></rss>"
+    df = frame("x string", [(feed("R&D &amp; more &#38; &nbsp; end"),), (feed("<![CDATA[A & B &amp; C]]>"),), ("no feed at all",), (None,)])
+    rows = sorted((r["title"], r["url"]) for r in payloads.explode_rss(df, "x").collect())
+    assert rows == sorted([("R&D & more & &nbsp; end", "http://x/?a=1&b=2"), ("A & B &amp; C", "http://x/?a=1&b=2")])
+    assert tuple(payloads.unread_feeds(df, "x").first()) == (4, 2)
+
+
+def test_common_forms_of_dates(frame):
+    from tidemark.functions.dates import parse_date
+
+    forms = ["1/5/2024 10:20 AM", "Fri, 05 Jan 2024", "2024.01.05", "5-Jan-2024", "Jan 5 2024", "01/05/24", "Friday 5 January 2024", "2024-01-05T10:20:30Z", "January 5 2024 11:00 p.m."]
+    df = frame("t string", [(f,) for f in [*forms, "Fri", "13/13/2024", "", None]])
+    got = [r[0] for r in df.select(parse_date(F.col("t"))).collect()]
+    assert got == [day("2024-01-05")] * len(forms) + [None] * 4

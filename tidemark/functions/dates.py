@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.numbers import ascii_digits
 
-#: Padded or not; month first where slashes end with the year. A time of day, with or without T, parts of a second or a
-#: zone, is left out before.
-DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd")
-_TIME_OF_DAY = r"[T ]+\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
+#: Padded or not; month first where slashes end with the year. A time of day, with or without T, parts of a second, a half
+#: of the day or a zone, and the name of a weekday are left out before.
+DATE_FORMATS = (
+    "yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "yyyy.M.d", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "d-MMMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy",
+    "MMM d yyyy", "MMMM d yyyy", "M/d/yy", "yyyyMMdd",
+)
+_TIME_OF_DAY = r"(?i)[T ]+\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:[AP]\.?M\.?)?\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
+_WEEKDAY = r"(?i)^(?:mon|tue(?:s)?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\.?,?\s+"
 _ANY_DATE = r"(\d{4}[.\-/]\d{1,2}[.\-/]\d{1,2})"
 
 
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """The day of the first format that fits, as it is written, else NULL."""
-    day = F.regexp_replace(F.trim(c), _TIME_OF_DAY, "")
+    day = F.regexp_replace(F.regexp_replace(F.trim(c), _TIME_OF_DAY, ""), _WEEKDAY, "")
     return F.coalesce(*[F.try_to_date(day, f) for f in formats])
 
 

@@ -196,9 +196,16 @@ for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;",
 _TRIM = "trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
 
 
-@query("page_text", f"""WITH b AS (SELECT page_id,
-    regexp_replace(html, '(?is)<(?:script|style)\\b[^>]*>.*?</(?:script|style)>', ' ', 'g') AS body FROM pages),
-  p AS (SELECT page_id, regexp_extract_all(body, '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1) AS ps FROM b),
+# Behind the last end of a paragraph, one begins at each tag and ends where a block begins or ends.
+_BLOCK = "</?(?:article|aside|blockquote|body|dd|div|fieldset|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|pre|section|table|td|th|ul)>"
+
+
+@query("page_text", f"""WITH b AS (SELECT page_id, regexp_replace(regexp_replace(html,
+      '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>', ' ', 'g'), '<p\\s[^>]*>', '<p>', 'g') AS body FROM pages),
+  h AS (SELECT page_id, body, length(body) - coalesce(nullif(strpos(reverse(body), '>p/<'), 0) - 1, length(body)) AS cut FROM b),
+  p AS (SELECT page_id, list_concat(
+      regexp_extract_all(substr(body, 1, cut), '(?is)<p>(.*?)</p>', 1),
+      list_transform(string_split(substr(body, cut + 1), '<p>')[2:], lambda x: regexp_replace(x, '(?is){_BLOCK}.*$', ''))) AS ps FROM h),
   n AS (SELECT page_id, list_transform(ps, lambda f: array_to_string(list_filter(
       list_transform(string_split_regex(f, '<[^>]*>'), lambda x: {_TRIM.format(x='x')}), lambda y: y <> ''), ' ')) AS ts FROM p),
   u AS (SELECT page_id, list_filter(list_transform(ts, lambda t: {_DECODE}), lambda z: length(z) > 30) AS ts FROM n)

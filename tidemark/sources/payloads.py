@@ -56,9 +56,29 @@ def weather_rows(df: DataFrame, col: str, location: str = "location") -> DataFra
     )
 
 
+#: An ``&`` that begins no entity of XML.
+_BARE = r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#[xX][0-9A-Fa-f]+);)"
+
+
+def _whole_entities(xml: Column) -> Column:
+    """``&`` that begins no entity of XML, as ``&amp;``; text in CDATA is left alone."""
+    pieces = F.split(xml, r"(?=<!\[CDATA\[)|(?<=\]\]>)")
+    spelt = F.transform(pieces, lambda x: F.when(x.startswith("<![CDATA["), x).otherwise(F.regexp_replace(x, _BARE, "&amp;")))
+    return F.when(xml.rlike(_BARE), F.array_join(spelt, "")).otherwise(xml)
+
+
+def unread_feeds(df: DataFrame, col: str) -> DataFrame:
+    """``(feeds, unread)``: how many texts there are, and in how many no channel was found."""
+    channel = F.from_xml(_whole_entities(F.col(col)), RSS_SCHEMA).getField("channel")
+    return df.select(channel.isNull().alias("_none")).agg(F.count(F.lit(1)).alias("feeds"), F.count_if("_none").alias("unread"))
+
+
 def explode_rss(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Feed XML to one row per item; absent children are empty strings."""
-    item = F.explode(F.from_xml(F.col(col), RSS_SCHEMA).getField("channel").getField("item"))
+    """Feed XML to one row per item; absent children are empty strings.
+
+    A bare ``&``, which feeds often have, is read as one. A feed that is no XML gives no row; ``unread_feeds`` counts these.
+    """
+    item = F.explode(F.from_xml(_whole_entities(F.col(col)), RSS_SCHEMA).getField("channel").getField("item"))
     rows = df.select(*keep, item.alias("_i"))
 
     def text(path: str) -> Column:
@@ -107,6 +127,17 @@ def decode_entities(text: Column) -> Column:
     return F.when(text.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
 
 
+#: What is no markup to be read: comments, and the bodies of scripts and styles.
+_UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
+#: A whole tag; quoted attributes may hold any character.
+_TAG = r"""(?s)<(/?[A-Za-z][A-Za-z0-9]*)(?:[\s/](?:"[^"]*+"|'[^']*+'|[^"'<>]++)*+)?>"""
+
+
+def plain_markup(page: Column) -> Column:
+    """A page without comments, scripts, styles and attributes, so that ``<`` and ``>`` are only those of tags."""
+    return F.regexp_replace(F.regexp_replace(page, _UNREAD, " "), _TAG, "<$1>")
+
+
 def _strip_tags(fragment: Column, glue: str = "") -> Column:
     """Text of a fragment: its text nodes trimmed and joined, entities decoded.
 
@@ -153,16 +184,16 @@ def explode_html_table(df: DataFrame, col: str, keep: Sequence[str] = ()) -> Dat
     """First table of each page: ``(keep…, header, row_no, cells)``, header in lower case.
 
     Header cells may be ``th`` or ``td``; body rows are read from ``td`` and rows
-    without any are left out. Rows of tables inside the first one follow its own rows;
+    without any are left out. Comments and scripts are no rows. Rows of tables inside the first one follow its own rows;
     in its own rows such a table is text of the cell that holds it.
     """
-    parts = F.col("_parts")
-    flat = F.transform(
-        parts,
-        lambda p: F.when(p["depth"] == 1, p["text"]).otherwise(F.regexp_replace(p["text"], r"(?is)</?(?:tr|t[dh]|thead|tbody|tfoot)\b[^>]*>", " ")),
-    )
-    inner = F.flatten(F.transform(F.filter(parts, lambda p: p["depth"] > 1), lambda p: _elements(p["text"], "tr")))
-    lines = F.concat(_elements(F.array_join(flat, ""), "tr"), inner)
+    page = F.col("_page")
+    found = df.select(*keep, plain_markup(F.col(col)).alias("_page"))
+    # Most pages have one table, or none inside another: there the rows are those up to its end.
+    tags = F.lower(F.array_join(F.regexp_extract_all(page, F.lit(r"(?i)</?table"), F.lit(0)), ""))
+    nested = tags.contains("<table<table")
+    simple = _elements(F.regexp_extract(page, r"(?is)<table>(.*?)(?:</table|\z)", 1), "tr")
+    lines = F.when(nested, _nested_lines(_first_table(page))).otherwise(simple)
     header = F.transform(_cells(F.get(F.col("_lines"), F.lit(0)), "th|td"), F.lower)
     body = F.transform(
         "_lines", lambda line, i: F.struct(i.alias("row_no"), F.when(i > 0, _cells(line, "td")).alias("cells"))
@@ -172,14 +203,37 @@ def explode_html_table(df: DataFrame, col: str, keep: Sequence[str] = ()) -> Dat
     body = F.filter(body, lambda r: F.size(r["cells"]) > 0)
     # The header gets a projection of its own: next to a generator it would be
     # evaluated once per generated row.
-    found = df.select(*keep, _first_table(F.col(col)).alias("_parts")).select(*keep, lines.alias("_lines"))
+    found = found.select(*keep, lines.alias("_lines"))
     return found.select(*keep, "_lines", header.alias("header")).select(*keep, "header", F.inline(body).alias("row_no", "cells"))
 
 
+def _nested_lines(parts: Column) -> Column:
+    """Rows of a table in pieces ``(depth, text)``: its own, then those of the tables inside it."""
+    flat = F.transform(
+        parts,
+        lambda p: F.when(p["depth"] == 1, p["text"]).otherwise(F.regexp_replace(p["text"], r"(?is)</?(?:tr|t[dh]|thead|tbody|tfoot)>", " ")),
+    )
+    inner = F.flatten(F.transform(F.filter(parts, lambda p: p["depth"] > 1), lambda p: _elements(p["text"], "tr")))
+    return F.concat(_elements(F.array_join(flat, ""), "tr"), inner)
+
+
+def _named(header: Column) -> Column:
+    """Names for the columns of a page: a name that comes again gets a number, an empty one its place."""
+
+    def name(h: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(header, F.lit(1), i), lambda x: x == h))
+        return F.when(h == "", F.concat(F.lit("column_"), (i + 1).cast("string"))).when(
+            before > 0, F.concat(h, F.lit("_"), (before + 1).cast("string"))
+        ).otherwise(h)
+
+    return F.transform(header, name)
+
+
 def page_headers(df: DataFrame, col: str) -> list[str]:
-    """Header cells of the first table of some page that has one, in lower case; one row comes to the driver."""
-    row = explode_html_table(df, col).select("header").first()
-    return [] if row is None else list(row["header"])
+    """Header cells of the first tables of all pages, in lower case: by their first place, then by name; a row for each comes to the driver."""
+    pages = explode_html_table(df, col).select(F.posexplode(_named(F.col("header"))).alias("place", "name"))
+    rows = pages.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()
+    return [r["name"] for r in rows]
 
 
 def _positions(header: Column, words: Sequence[str]) -> Column:
@@ -212,24 +266,36 @@ def dated_values(
 def scraped_rows(
     df: DataFrame, col: str, scrape_date: str, names: Sequence[str] | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Market listing pages to a table: the scrape date first, then the cells by position.
+    """Market listing pages to a table: the scrape date first, then the cells.
 
-    Without ``names`` the columns are named after the header of the pages.
+    With ``names`` cells stand by position. Without them the columns are the headers of all pages, and each
+    page's cells stand under its own headers, in whatever order it has them.
     """
-    names = page_headers(df, col) if names is None else names
     rows = explode_html_table(df, col, [*keep, scrape_date])
-    cells = [F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)]
+    if names is not None:
+        cells = [F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)]
+    else:
+        rows = rows.withColumn("header", _named(F.col("header")))
+        place = lambda n: F.array_position("header", n).cast("int")
+        cells = [F.when(place(n) > 0, F.get("cells", place(n) - 1)).alias(n) for n in page_headers(df, col)]
     return rows.select(*keep, F.date_format(scrape_date, "MM/dd/yyyy").alias("Date"), "row_no", *cells)
 
 
+#: Tags that end a paragraph whose own end is missing: blocks that begin, and the ends of what may hold one.
+_ENDS_P = (
+    r"<(?:address|article|aside|blockquote|details|div|dl|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|main|menu|nav|ol|p|pre|section|table|ul)>"
+    r"|</(?:article|aside|blockquote|body|dd|div|fieldset|figure|footer|form|header|html|li|main|nav|section|table|td|th)>"
+)
+
+
 def page_text(html: Column, min_len: int = 30, max_len: int | None = None) -> Column:
     """Paragraph text of a page: paragraphs longer than ``min_len``, blanks collapsed.
 
     The whole page is read and its whole text returned; a caller may ask for a cut at ``max_len``.
-    Script and style bodies do not count as text.
+    Scripts, styles and comments do not count as text. A paragraph ends at the next end tag of one; where none
+    follows, at the next block that begins or the end of the element around it.
     """
-    body = F.regexp_replace(html, r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)>", " ")
-    found = F.regexp_extract_all(body, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"), F.lit(1))
+    found = F.regexp_extract_all(plain_markup(html), F.lit(rf"(?is)<p>(?:.*?</p>|.*?(?={_ENDS_P}|\z))"), F.lit(0))
     texts = F.filter(F.transform(found, lambda p: _strip_tags(p, " ")), lambda t: F.length(t) > min_len)
     joined = F.btrim(F.regexp_replace(F.array_join(texts, " "), r"\s+", " "), F.lit(" "))
     joined = F.coalesce(joined, F.lit(""))
