@@ -146,6 +146,11 @@ def _(spark, sf):
     return payloads.explode_rss(feeds, "xml", ["o_orderkey"]).drop("pub_date_raw")
 
 
+def _dealt(rows):
+    """Short rows of a file that one task reads, for as many tasks as there are cores: parsing a page costs far more than moving its key."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _price_pages(spark, sf):
     """One page per order: a decoy date column, an older product column and rows to be skipped."""
     day = F.to_date("o_orderdate")
@@ -165,7 +170,7 @@ def _price_pages(spark, sf):
         row(F.lit("4"), F.date_format(F.date_add(day, 2), "yyyy/M/d"), F.lit(""), F.lit("4.0"), F.col("o_orderkey").cast("string")),
         F.lit("</TABLE><table><tr><td>date</td><td>hsd</td></tr><tr><td>1999-01-01</td><td>1</td></tr></table></body></html>"),
     )
-    return roles.table(spark, sf, "orders").select("o_orderkey", page.alias("html"))
+    return _dealt(roles.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")).select("o_orderkey", page.alias("html"))
 
 
 @query("html_table_rows", """SELECT o_orderkey, 1 AS row_no, CAST(o_orderdate AS DATE) AS d, o_totalprice AS value FROM orders
