@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -71,20 +72,22 @@ def test_query_against_the_textbook(spark):
     seeds = {}
     for i in items:
         w = words(i.text)
-        for k in range(len(w) - 4):
-            seeds.setdefault(tuple(w[k : k + 5]), set()).add(i.item_id)
+        for k in range(len(w) - 2):
+            seeds.setdefault(tuple(w[k : k + 3]), set()).add(i.item_id)
     of_item, want = {i.item_id: words(i.text) for i in items}, {}
     for d in docs:
         w = words(d.text or "")
-        for item in {i for k in range(len(w) - 4) for i in seeds.get(tuple(w[k : k + 5]), ())}:
+        common = Counter(i for g in {tuple(w[k : k + 3]) for k in range(len(w) - 2)} for i in seeds.get(g, ()))
+        for item in [i for i, n in common.items() if n > 3]:
             here, grams = of_item[item], {tuple(of_item[item][k : k + 3]) for k in range(len(of_item[item]) - 2)}
             near = sorted({k + s for k in range(len(w) - 2) if tuple(w[k : k + 3]) in grams for s in range(3)})
             cut, last = [], None
             for k in near:  # words far from any shared run cannot lie in a tile
                 cut += [None] * (last is not None and k > last + 1) + [w[k]]
                 last = k
-            covered = sum(n for n, _, _ in plain_tiles(here, cut, 3)) / len(here)
-            if covered >= dec.SHARE:
+            tiles = [n for n, _, _ in plain_tiles(here, cut, 3)]
+            covered = sum(tiles) / len(here)
+            if covered >= dec.SHARE or max(tiles, default=0) >= dec.LONG:
                 want[d.doc_id, item] = covered
     assert len(want) > 5
     assert got == pytest.approx(want)
@@ -125,6 +128,31 @@ def test_short_items_match_whole_documents_only(spark, docs):
     assert found(spark, docs, texts, [(9, "too short")]) == [(1, 9), (2, 9)]
 
 
+def test_reordered_runs_of_four_words(spark, docs):
+    """No run of five words is left, the case that tiling is for."""
+    w = words(PASSAGE)
+    runs = [w[k : k + 4] for k in range(0, len(w), 4)]
+    random.Random(3).shuffle(runs)
+    mixed = " ".join(" ".join([*r, f"noise{k}"]) for k, r in enumerate(runs))
+    assert found(spark, docs, [(1, f"{'filler ' * 300}{mixed}"), (2, " ".join(" ".join([*r[:2], "x"]) for r in runs))]) == [(1, 1)]
+
+
+def test_a_long_tile_is_enough(spark, docs):
+    item = " ".join(f"w{k}" for k in range(1000))
+    texts = [(1, " ".join(item.split()[100:800])), (2, " ".join(item.split()[100:149])), (3, " ".join(item.split()[100:150]))]
+    assert found(spark, docs, texts, [(7, item)]) == [(1, 7), (3, 7)]
+
+
+def test_scripts_without_blanks(spark, docs):
+    item = "今天的天气非常好我们一起去公园散步然后回家吃饭看电视"
+    assert found(spark, docs, [(1, f"早上好。{item}。明天再见"), (2, item[13:] + "很远很远" + item[:13]), (3, "今天的天气不好我不想去")], [(4, item)]) == [(1, 4), (2, 4)]
+
+
+def test_twins_among_short_items(spark, docs):
+    items = [(1, "too short"), (2, "Too short!"), (3, "three small words"), (4, "three small words")]
+    assert found(spark, docs, [(1, "too short"), (2, "these are three small words here")], items) == [(1, 1), (1, 2), (2, 3), (2, 4)]
+
+
 def test_odd_rows_and_empty_tables(spark, docs):
     rows = [*ODD_ROWS, (9, PASSAGE), (9, PASSAGE), (None, PASSAGE)]
     bench = spark.createDataFrame([(1, PASSAGE, 3), (None, "word " * 50, 4), (2, None, 5)], "item_id long, text string, doc_id int")
