@@ -196,17 +196,24 @@ def fit(rows: DataFrame, prior: float, rounds: int = 12, ridge: float = 1e-2) ->
     def slopes(x: np.ndarray, trusted: np.ndarray) -> np.ndarray:
         z = model.design(x)
         p = 1 / (1 + np.exp(-np.clip(z @ model.weights, -60, 60)))
-        curve = (z * (p * (1 - p))[:, None]).T @ z
-        return np.concatenate([z[trusted].sum(axis=0), (z * p[:, None]).sum(axis=0), curve.ravel(), _losses(z, trusted, model.weights[:, None])])
+        bend = lambda rows: (z[rows] * (p * (1 - p))[rows, None]).T @ z[rows]
+        first = [z[trusted].sum(axis=0), (z * p[:, None]).sum(axis=0), (z * p[:, None])[trusted].sum(axis=0)]
+        return np.concatenate([*first, bend(slice(None)).ravel(), bend(trusted).ravel(), _losses(z, trusted, model.weights[:, None])])
 
+    w = d + 1
     for _ in range(rounds):
-        out = summed(rows, slopes, 2 * (d + 1) + (d + 1) ** 2 + 3)
-        of_positives, of_all = out[: d + 1] / positives, out[d + 1 : 2 * d + 2] / n
-        curve = out[2 * d + 2 : -3].reshape(d + 1, d + 1) / n
+        out = summed(rows, slopes, 3 * w + 2 * w * w + 3)
+        of_positives, of_all, of_scored = out[:w] / positives, out[w : 2 * w] / n, out[2 * w : 3 * w] / positives
+        curve, curve_positives = out[3 * w : 3 * w + w * w].reshape(w, w) / n, out[3 * w + w * w : -3].reshape(w, w) / positives
+        if out[-1] / n - prior * out[-2] / positives < 0:
+            # The negative part is cut off at 0: only the loss of the positives, l(+g), is left to descend.
+            slope, curve = prior * (of_scored - of_positives), prior * curve_positives
+        else:
+            # l(+g) - l(-g) = -g, so the positives enter the slope by their mean alone.
+            slope = of_all - prior * of_positives
         here = risk(*out[-3:], model.weights)
-        # l(+g) - l(-g) = -g, so the positives enter the slope by their mean alone.
         weight_loss = np.append(np.full(d, 2 * ridge), 1e-8)
-        step = np.linalg.solve(curve + np.diag(weight_loss + 1e-6), of_all - prior * of_positives + weight_loss * model.weights)
+        step = np.linalg.solve(curve + np.diag(weight_loss + 1e-6), slope + weight_loss * model.weights)
         tried = np.stack([model.weights - t * step for t in STEPS], axis=1)
         sums = summed(rows, lambda x, t, w=tried: _losses(model.design(x), t, w), 3 * len(STEPS)).reshape(3, -1)
         risks = [risk(*sums[:, k], tried[:, k]) for k in range(len(STEPS))]
@@ -263,7 +270,11 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with their columns; nothing is shuffled."""
+    """The rows of ``docs`` that the classifier accepts, with their columns; nothing is shuffled.
+
+    NULL and empty texts are judged by their (zero) measures; repeated rows are judged alike, and very long texts whole. Without a
+    trusted positive every score is the prior. No documents give no rows.
+    """
     model, _ = train(docs, labels, id_col, text)
     names = docs.columns
 
