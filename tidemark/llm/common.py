@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 #: The white space that separates words everywhere in this package: blank and U+0009 to U+000D.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -30,6 +31,14 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def id_number(df: DataFrame, id_col: str) -> Column:
+    """Ids as whole numbers: numbers as they are, anything else by a 64-bit hash; NULL stays NULL."""
+    column = F.col(id_col)
+    if isinstance(df.schema[id_col].dataType, (IntegralType, DecimalType)):
+        return column.cast("long")
+    return F.when(column.isNotNull(), F.xxhash64(column))
+
+
 def fold(key: str | Column, parts: int) -> Column:
     """crc32 of the key written as text, modulo ``parts``; NULL keys count as the empty text."""
     column = F.col(key) if isinstance(key, str) else key

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from tidemark.llm.common import read_table, texts_of, tidied
+from tidemark.llm.common import free_name, read_table, texts_of, tidied
 from tidemark.session import settle
 
 HASHES = 3
@@ -139,7 +139,7 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", **siz
     Rows without an equal are never shuffled. Of the others each task passes on one row per
     text, so a text that fills a third of the table reaches its group as one row per task.
     """
-    sha, flag, rank = "__sha", "__maybe", "__rank"
+    sha, flag, rank = (free_name(df, name) for name in ("sha", "maybe", "rank"))
     flagged = with_repeat_flag(df, text, sha, flag, **size)
     order = Window.partitionBy(sha).orderBy(F.col(id_col).desc_nulls_last())
     firsts = flagged.where(flag).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)

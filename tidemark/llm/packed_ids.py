@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read_table, texts_of, tidied
+from tidemark.llm.common import id_number, read_table, texts_of, tidied
 from tidemark.llm.token_ids import VOCABULARY_SIZE, encode, parts_of, vocabulary_path
 from tidemark.session import scratch_path
 
@@ -169,9 +169,9 @@ def write_ids(
         if before:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([before], pa.int64())], names=["part", "part_ids"])
 
-    tie = "__tie"
+    tie = "tie"
     ordered = (
-        df.select(F.col(id_col).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias(tie))
+        df.select(id_number(df, id_col).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias(tie))
         .repartitionByRange("key", tie).sortWithinPartitions("key", tie).select("key", "text")
     )
     # One row per task, which the driver keeps track of anyway.

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read_table, texts_of, tidied
+from tidemark.llm.common import id_number, read_table, texts_of, tidied
 from tidemark.llm.token_ids import encode, parts_of, vocabulary_path
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -148,7 +148,7 @@ def pack(
         if (out := packer.take()) is not None:
             yield out
 
-    return df.select(F.col(id_col).cast("long"), F.col(text)).mapInArrow(run, SCHEMA)
+    return df.select(id_number(df, id_col).alias("doc_id"), F.col(text)).mapInArrow(run, SCHEMA)
 
 
 def op10_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

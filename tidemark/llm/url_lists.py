@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read_table
+from tidemark.llm.common import free_name, read_table
 
 PERIOD_DAYS = 1
 KINDS = ("host", "domain", "prefix")
@@ -97,11 +97,12 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", at: str
     Every capture keeps its row. A NULL or hostless URL and a NULL time match nothing. Other
     columns are kept as they are; the three results may not be among them.
     """
-    asked = captures.select(F.col(url).alias("__url"), F.col(at).alias("__at")).where(
-        F.col("__at").isNotNull() & host_of(F.col("__url")).isNotNull()
+    own_url, own_at = free_name(captures, "asked_url"), free_name(captures, "asked_at")
+    asked = captures.select(F.col(url).alias(own_url), F.col(at).alias(own_at)).where(
+        F.col(own_at).isNotNull() & host_of(F.col(own_url)).isNotNull()
     ).distinct()
-    keys = asked.withColumn("__key", F.explode(url_keys(F.col("__url")))).select(
-        "__url", "__at", F.col("__key.kind").alias("kind"), F.col("__key.pattern").alias("pattern"), _period(F.col("__at"), period_days).alias("__period")
+    keys = asked.withColumn("__key", F.explode(url_keys(F.col(own_url)))).select(
+        own_url, own_at, F.col("__key.kind").alias("kind"), F.col("__key.pattern").alias("pattern"), _period(F.col(own_at), period_days).alias("__period")
     )
     # An open interval lasts to the last capture; nothing is asked after it.
     last = F.lit(captures.agg(F.max(at).cast("string")).first()[0]).cast(captures.schema[at].dataType)
@@ -109,13 +110,13 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", at: str
     pieces = intervals(entries, period_days).where(end >= F.col("valid_from")).withColumn(
         "__period", F.explode(F.sequence(_period(F.col("valid_from"), period_days), _period(end, period_days)))
     )
-    active = (F.col("valid_from") <= F.col("__at")) & (F.col("valid_to").isNull() | (F.col("__at") < F.col("valid_to")))
-    found = keys.join(pieces, ["kind", "pattern", "__period"]).where(active).groupBy("__url", "__at").agg(
+    active = (F.col("valid_from") <= F.col(own_at)) & (F.col("valid_to").isNull() | (F.col(own_at) < F.col("valid_to")))
+    found = keys.join(pieces, ["kind", "pattern", "__period"]).where(active).groupBy(own_url, own_at).agg(
         F.count(F.lit(1)).alias("n_matches"),
         F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"),
         F.min("valid_from").alias("listed_since"),
     )
-    out = captures.join(found, (F.col(url) == F.col("__url")) & (F.col(at) == F.col("__at")), "left").drop("__url", "__at")
+    out = captures.join(found, (F.col(url) == F.col(own_url)) & (F.col(at) == F.col(own_at)), "left").drop(own_url, own_at)
     return out.withColumn("n_matches", F.coalesce("n_matches", F.lit(0).cast("long")))
 
 
