@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import free_name, mix64, read_table, shingle_hashes, split_words, texts_of, tidied, word_codes, word_hashes
+from tidemark.llm.common import free_name, give_back, mix64, read_table, shingle_hashes, split_words, texts_of, tidied, word_codes, word_hashes
 from tidemark.llm.components import bloom_of, components
 from tidemark.llm.token_ids import parts_of
 from tidemark.session import settle
@@ -284,6 +284,7 @@ def _grouped(texts: DataFrame, bands: Bands, size: int, parts: int) -> DataFrame
         yield out(_PAIRS, *_pairs(names[begins][run], names))
         large = (lengths > 2) | (lengths > 1) & np.isin(keys[begins], with_more)
         yield out(_MEMBERS, names[large[run]], keys[large[run]])
+        give_back()
 
     blobs = texts.select("text", "row_key", "mark", "doc_id").mapInArrow(
         sent, f"part int, kind int, keys binary, names binary, more binary, {_TOLD_SQL}, {id_sql}"
@@ -463,6 +464,7 @@ def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, bands: Band
         union, names, ends = _Union(), rows["name"], rows[joined]
         kept = [k for k, (x, y) in enumerate(zip(ends[i].tolist(), ends[j].tolist())) if union.join(x, y)]
         a, b = names[i[kept]], names[j[kept]]
+        give_back()
         return _table(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())
 
     return _dealt(spread, F.octet_length("sketch")).groupBy("part").applyInArrow(compared, "a long, b long")
@@ -492,6 +494,7 @@ def _links_within(pairs: DataFrame, labels: DataFrame, nodes: DataFrame, texts:
                     union.join(label[x], label[y])
                     a.append(min(names[x], names[y]))
                     b.append(max(names[x], names[y]))
+        give_back()
         return _table(a, b)
 
     return _dealt(spread, F.octet_length("members") + F.octet_length("sketch")).groupBy("part").applyInArrow(linked, "a long, b long")
