@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import drift, evaluate
 from tidemark.plans import modelling
 from tidemark.plans.dataset import PRICE
+from tidemark.session import scratch_path
+from tidemark.sources.profiles import append_profiles, read_profiles
 
 SCHEMA = "exp string, model string, horizon int, fold int, split string, series_id string, d date, y_true double, y_pred double"
 
@@ -194,3 +196,25 @@ def test_rolling_mae(spark):
     err = np.abs(np.exp(a["y"]) - np.exp(a["M"]))
     want = [err[max(40, i - 4): i + 1].mean() for i in range(40, 80)]
     assert [r["rolling_mae"] for r in got] == pytest.approx(want) and got[0]["train_mae"] == pytest.approx(err[:40].mean())
+
+
+def test_stored_profiles(spark):
+    cut, rng = dt.date(2024, 3, 10), np.random.default_rng(6)
+    values = [(dt.date(2024, 1, 1) + dt.timedelta(k % 100), float(v), None) for k, v in enumerate(rng.integers(0, 50, 2000))]
+    df = spark.createDataFrame([*values, (None, 3.0, 1.0)], "d date, a double, b double")
+    target = scratch_path(spark, "profiles")
+    wrong = df.where("a = 7").withColumn("a", F.lit(900.0))
+    append_profiles(target, df.where("a <> 7").unionByName(wrong), ["a", "b"])
+    append_profiles(target, df.where("a = 7"), ["a", "b"], old=wrong)  # a correction
+    append_profiles(target, None, ["a", "b"], old=df.limit(0))  # nothing changes
+    first, last = dt.date(2024, 1, 1), dt.date(2024, 4, 9)
+    before, after = read_profiles(spark, target, first, cut - dt.timedelta(1)), read_profiles(spark, target, cut, last)
+    got = drift.psi_against(drift.reference(before), after).collect()
+    want = drift.psi(df.where(F.col("d") < cut), df.where(F.col("d") >= cut), ["a", "b"]).collect()
+    assert [r["feature"] for r in got] == ["a"] == [r["feature"] for r in want] and got[0]["psi"] == pytest.approx(want[0]["psi"])
+    assert read_profiles(spark, target, first, last).agg(F.max("value")).first()[0] < 50
+    one = read_profiles(spark, target, last, last)
+    files = one.inputFiles()
+    assert len({f.split("_place=")[1].split("/")[0] for f in files}) == 1
+    empty = drift.psi_against(drift.reference(before), before.limit(0)).collect()
+    assert [tuple(r) for r in empty] == [("a", None, None)]

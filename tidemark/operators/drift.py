@@ -12,20 +12,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(feature, *by, value, n)``: how often each value of a feature occurs, NULL left out.
+
+    Counts of parts of the rows add up to those of all, so they can be kept by day and summed for any window.
+    """
     lines = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols]
-    return df.select(F.explode(F.array(*lines)).alias("_l")).select("_l.*").where(F.col("value").isNotNull())
+    rows = df.select(*by, F.explode(F.array(*lines)).alias("_l")).select(*by, "_l.*").where(F.col("value").isNotNull())
+    return rows.groupBy("feature", *by, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantiles(rows: DataFrame, quantiles: Sequence[float], by: str = "feature", value: str = "value", partitions: int | None = None) -> DataFrame:
+def exact_quantiles(
+    rows: DataFrame, quantiles: Sequence[float], by: str = "feature", value: str = "value", partitions: int | None = None, n_col: str | None = None
+) -> DataFrame:
     """``(by, _edges)``: for each share the smallest value with at least that share of the group's rows at or below it.
 
-    Rows are first reduced to one per group and value. Those are range-partitioned and ranked
+    ``n_col``: how many rows a row stands for. Rows are first reduced to one per group and value. Those are range-partitioned and ranked
     inside their partitions; one row per partition hands the totals on. A group of any size is spread
     over many tasks, and no value is approximate.
     """
     n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(by, value).agg(F.sum(n_col or F.lit(1)).alias("_n"))
     ranged = counts.repartitionByRange(n, by, value).withColumn("_part", F.spark_partition_id())
     inside = Window.partitionBy(by, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     placed = ranged.withColumn("_upto", F.sum("_n").over(inside))
@@ -40,27 +47,42 @@ def exact_quantiles(rows: DataFrame, quantiles: Sequence[float], by: str = "feat
     return ranked.groupBy(by).agg(F.array(*edges).alias("_edges"))
 
 
-def psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10, threshold: float = 0.2) -> DataFrame:
-    """Population stability index of each feature over quantile bins of the reference window.
+def _binned(counts: DataFrame, edges: DataFrame, bins: int) -> DataFrame:
+    """``(feature, rows)``: the number of rows in each bin. ``edges`` has one short array per feature and is broadcast."""
+    place = F.size(F.filter("edges", lambda e: e < F.col("value")))
+    placed = counts.join(F.broadcast(edges), "feature").select("feature", "n", place.alias("_bin"))
+    held = [F.coalesce(F.sum(F.when(F.col("_bin") == k, F.col("n"))), F.lit(0)) for k in range(bins)]
+    return placed.groupBy("feature").agg(F.array(*held).alias("rows"))
+
 
-    Bin edges are exact at any size; shares are floored at 1e-4. The edges are one short
-    array per feature and therefore broadcast.
+def reference(counts: DataFrame, bins: int = 10) -> DataFrame:
+    """``(feature, edges, rows)``: quantile edges of the reference window and its rows in each bin, exact at any size.
+
+    One row per feature: kept as a table, it spares later checks the reference window itself.
     """
-    quantiles = [i / bins for i in range(1, bins)]
-    both = _long(ref, cols).withColumn("_cur", F.lit(0)).unionByName(_long(cur, cols).withColumn("_cur", F.lit(1)))
-    edges = exact_quantiles(_long(ref, cols), quantiles)
-    placed = both.join(F.broadcast(edges), "feature").withColumn(
-        "_bin", F.size(F.filter("_edges", lambda e: e < F.col("value")))
-    )
-    counts = placed.groupBy("feature", "_bin").agg(
-        F.sum(1 - F.col("_cur")).alias("_r"), F.sum("_cur").alias("_c")
-    )
-    per_feature = Window.partitionBy("feature")
-    r = F.greatest(F.col("_r") / F.sum("_r").over(per_feature), F.lit(1e-4))
-    c = F.greatest(F.col("_c") / F.sum("_c").over(per_feature), F.lit(1e-4))
-    shares = counts.select("feature", r.alias("_r"), c.alias("_c"))
-    score = F.sum((F.col("_c") - F.col("_r")) * F.ln(F.col("_c") / F.col("_r"))).alias("psi")
-    return shares.groupBy("feature").agg(score).withColumn("drift", F.col("psi") > threshold)
+    edges = exact_quantiles(counts, [i / bins for i in range(1, bins)], n_col="n").withColumnRenamed("_edges", "edges")
+    return edges.join(_binned(counts, edges, bins), "feature")
+
+
+def psi_against(ref: DataFrame, counts: DataFrame, threshold: float = 0.2, bins: int = 10) -> DataFrame:
+    """Population stability index of ``counts`` against ``reference``; shares are floored at 1e-4.
+
+    A feature without rows now has a NULL index, one without rows in the reference is left out.
+    """
+    now = _binned(counts, ref.select("feature", "edges"), bins).withColumnRenamed("rows", "_now")
+
+    def shares(held: str):
+        total = F.aggregate(held, F.lit(0).cast("long"), lambda a, n: a + n)
+        return F.transform(held, lambda n: F.greatest(F.try_divide(n, total), F.lit(1e-4)))
+
+    parts = F.zip_with(shares("rows"), shares("_now"), lambda r, c: (c - r) * F.ln(c / r))
+    score = F.when(F.col("_now").isNotNull(), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x))
+    return ref.join(now, "feature", "left").select("feature", score.alias("psi")).withColumn("drift", F.col("psi") > threshold)
+
+
+def psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10, threshold: float = 0.2) -> DataFrame:
+    """Population stability index of each feature over quantile bins of the reference window."""
+    return psi_against(reference(value_counts(ref, cols), bins), value_counts(cur, cols), threshold, bins)
 
 
 def rolling_mae(

@@ -12,6 +12,7 @@ from tidemark.plans import dataset, modelling, roles
 from tidemark.plans.catalog import sql as S
 from tidemark.plans.catalog.registry import query
 from tidemark.plans.dataset import PRICE, SUPPLY
+from tidemark.session import settle
 
 
 def dense(spark, sf):
@@ -225,7 +226,7 @@ _STATION = "SELECT d, Temperature AS {s}_Temperature, Rainfall_MM AS {s}_Rainfal
        f"FULL JOIN ({_STATION.format(s='N')}) USING (d) FULL JOIN ({_STATION.format(s='R')}) USING (d)",
        " ".join(S.STATION_COLUMNS))
 def _(spark, sf):
-    rows = roles.stations_long(spark, sf)
+    rows = settle(roles.stations_long(spark, sf))
     return shaping.outer_merge({s: rows.where(F.col("location") == s).drop("location") for s in roles.STATIONS})
 
 

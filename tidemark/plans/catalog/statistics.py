@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark import fixed
@@ -13,7 +15,8 @@ from tidemark.plans.catalog import sql as S
 from tidemark.plans.catalog.daily import filled, model_table
 from tidemark.plans.catalog.registry import query
 from tidemark.plans.dataset import PRICE, clean_weather
-from tidemark.session import settle
+from tidemark.session import scratch_path, settle
+from tidemark.sources.profiles import append_profiles, read_profiles
 
 _MONTH = "CAST(month(d) AS INTEGER) AS month"
 
@@ -179,7 +182,7 @@ def _(spark, sf):
 _DRIFT = ["Average_Price", "Supply_Volume", "USD_TO_NPR"]
 
 
-@query("data_drift_psi", f"WITH {S.base()}, b AS (SELECT *, d >= DATE '1998-07-01' AS cur FROM base), " + ", ".join(
+_DRIFT_SQL = f"WITH {S.base()}, b AS (SELECT *, d >= DATE '1998-07-01' AS cur FROM base), " + ", ".join(
     f"""e{i} AS (SELECT list_transform([1,2,3,4,5,6,7,8,9], lambda k: k) AS ks, quantile_disc({c}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e
       FROM b WHERE NOT cur),
     c{i} AS (SELECT len(list_filter(e, lambda x: x < {c})) AS bin, count(*) FILTER (NOT cur) AS r, count(*) FILTER (cur) AS c FROM b, e{i} GROUP BY 1),
@@ -187,8 +190,22 @@ _DRIFT = ["Average_Price", "Supply_Volume", "USD_TO_NPR"]
     for i, c in enumerate(_DRIFT)
 ) + " " + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, sum((c - r) * ln(c / r)) AS psi, sum((c - r) * ln(c / r)) > 0.2 AS drift FROM s{i}" for i, c in enumerate(_DRIFT)
-), "psi")
+)
+
+
+@query("data_drift_psi", _DRIFT_SQL, "psi")
 def _(spark, sf):
     table = settle(roles.base_table(spark, sf).select("d", *_DRIFT))
     cut = F.lit("1998-07-01").cast("date")
     return drift.psi(table.where(F.col("d") < cut), table.where(F.col("d") >= cut), _DRIFT)
+
+
+@query("data_drift_profiles", _DRIFT_SQL, "psi")
+def _(spark, sf):
+    """The same from stored profiles, the last half year appended later, against a stored reference."""
+    table, cut, target = settle(roles.base_table(spark, sf).select("d", *_DRIFT)), dt.date(1998, 7, 1), scratch_path(spark, "profiles")
+    first, last = table.agg(F.min("d"), F.max("d")).first()
+    append_profiles(target, table.where(F.col("d") < cut), _DRIFT)
+    ref = settle(drift.reference(read_profiles(spark, target, first, cut - dt.timedelta(1))))
+    append_profiles(target, table.where(F.col("d") >= cut), _DRIFT)
+    return drift.psi_against(ref, read_profiles(spark, target, cut, last))
