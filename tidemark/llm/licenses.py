@@ -4,7 +4,9 @@ A text is cut into pieces at line ends and sentence ends; each is normalised, wh
 comment marks. A known licence sentence is found where one piece or several in a row give its
 words, whatever the lines or marks it is broken at, and gets an identifier. What is left of a text
 is the sequence of identifiers, with a mark for every other piece. A rule names a licence by the identifiers that make it up, in order;
-its members may be apart by a few other sentences. Rules are applied in the order of ``RULES``, from the
+its members may be apart by a few other sentences. Sentences that name a licence in passing ("is released under the
+MIT License, see ..."), tags ("SPDX-License-Identifier: MIT OR Apache-2.0") and titles have identifiers of their own, one for
+each licence they name. Rules are applied in the order of ``RULES``, from the
 longest to the shortest, and a sentence that belongs to one match is not used for another.
 """
 
@@ -223,6 +225,40 @@ RULES = (
     ("All-rights-reserved", ("reserved",)),
 )
 
+# How notices, tags and titles name licences, normalised.
+NAMES = {
+    "MIT": ("mit", "expat", "mit expat"),
+    "Apache": ("apache", "apache software", "asl"),
+    "BSD-2-Clause": ("bsd 2 clause", "2 clause bsd", "two clause bsd", "simplified bsd", "freebsd"),
+    "BSD-3-Clause": ("bsd 3 clause", "3 clause bsd", "three clause bsd", "new bsd", "modified bsd", "revised bsd"),
+    "BSD-4-Clause": ("bsd 4 clause", "4 clause bsd", "original bsd"),
+    "BSD": ("bsd",),
+    "0BSD": ("0bsd", "bsd zero clause", "zero clause bsd"),
+    "GPL": ("gpl", "gnu gpl", "gnu general public", "general public"),
+    "LGPL": ("lgpl", "gnu lgpl", "gnu lesser general public", "lesser general public", "gnu library general public"),
+    "AGPL": ("agpl", "gnu agpl", "gnu affero general public", "affero general public"),
+    "MPL": ("mpl", "mozilla public"),
+    "EPL": ("epl", "eclipse public"),
+    "ISC": ("isc",),
+    "Zlib": ("zlib", "zlib libpng"),
+    "BSL-1.0": ("bsl 1 0", "boost software", "boost"),
+    "Unlicense": ("unlicense",),
+    "CC0": ("cc0", "creative commons zero"),
+    "CC-BY": ("cc by", "creative commons attribution"),
+    "CC-BY-SA": ("cc by sa", "creative commons attribution sharealike", "creative commons attribution share alike"),
+    "CC-BY-NC": ("cc by nc", "creative commons attribution noncommercial", "creative commons attribution non commercial"),
+    "CC-BY-ND": ("cc by nd", "creative commons attribution noderivatives", "creative commons attribution noderivs"),
+    "CC-BY-NC-SA": ("cc by nc sa", "creative commons attribution noncommercial sharealike"),
+    "CC-BY-NC-ND": ("cc by nc nd", "creative commons attribution noncommercial noderivatives", "creative commons attribution noncommercial noderivs"),
+}
+#: Licences whose versions differ.
+VERSIONED = ("Apache", "GPL", "LGPL", "AGPL", "MPL", "EPL", "CC0", "CC-BY", "CC-BY-SA", "CC-BY-NC", "CC-BY-ND", "CC-BY-NC-SA", "CC-BY-NC-ND")
+#: What a notice says before the name, in whole or up to the end of a piece.
+GIVEN = r"(?:licen[sc]ed|released|distributed|published|available|provided|offered|covered|redistributable|is|are|falls)"
+UNDER = r"(?: to you| for use)?(?: under| by)(?: either)?(?: the| an?)?(?: terms(?: and conditions)? of)?(?: either)?(?: the| an?)?"
+#: Pieces that one notice may be spread over.
+SPREAD = 3
+
 #: Where a text is cut: line ends, and marks that end a sentence before a blank.
 SENTENCE_END = r"\s*\n\s*|[.!?;:]+\s+"
 OTHER = " "
@@ -291,6 +327,85 @@ def _sentence_at(pieces: _Pieces, at: int) -> tuple[int, int] | None:
     return found
 
 
+def _named() -> re.Pattern:
+    """A licence's name with its version, as it stands in a notice."""
+    words = sorted((w for of in NAMES.values() for w in of), key=len, reverse=True)
+    version = r"(?: international| generic| unported)?(?:(?: ?version| ?v| universal)? ?(?P<version>[1-4](?: [0-9])?)(?= |$))?"
+    return re.compile(
+        rf"(?P<name>{'|'.join(words)})(?=v?[0-9]|(?: |$))(?: (?:public )?licen[sc]es?)?{version}(?: international| unported| universal)?"
+        r"(?: (?:public )?licen[sc]es?)?(?: or later| or any later version| only)?(?= |$)"
+    )
+
+
+_NAMED = _named()
+_LICENCE = {words: licence for licence, of in NAMES.items() for words in of}
+_NOTICE = re.compile(rf"(?:(?:^| ){GIVEN}{UNDER}|^spdx license identifier) (?=[a-z0-9])")
+_NEXT = re.compile(r"(?: and or| or| and)(?: the| an?)? (?=[a-z0-9])")
+_DENIED = re.compile(r"(?:^| )(?:not|never|no longer|nor)$")
+_TITLE = re.compile(r"(?:the )?(?P<title>.*licen[sc]e.*|unlicense)")
+#: Pieces that a notice may begin in: words for giving with "under" or "by" behind them or at the end, tags and titles.
+_MAY_NAME = rf"(?:^| ){GIVEN}(?: to you| for use)?(?: (?:under|by)(?: |$)|$)|^spdx license identifier|^licen[sc]e$|^(?:[^ ]+ ){{0,7}}(?:un)?licen[sc]e(?: [^ ]+){{0,4}}$"
+
+
+def _names_from(text: str, at: int) -> tuple[list[tuple[str, str]], int]:
+    """((licence, version) of the names that follow each other from ``at``, the place behind them)."""
+    names: list[tuple[str, str]] = []
+    while m := _NAMED.match(text, at):
+        licence = _LICENCE[m["name"]]
+        names.append((licence, (m["version"] or "").replace(" ", ".") if licence in VERSIONED else ""))
+        at = m.end()
+        if not (link := _NEXT.match(text, at)):
+            break
+        at = link.end()
+    return names, at
+
+
+def _notice_at(pieces: _Pieces, at: int, begin: int) -> tuple[list[tuple[str, str]], int] | None:
+    """((licence, version) of the notices, tags or the title that begin in the piece ``at``, the piece behind them).
+
+    A title over a licence's text does not count: the text decides. Neither does what is said not to be so.
+    """
+    words, sizes = list(pieces[at]), [len(pieces[at])]
+    for k in range(at + 1, min(at + SPREAD, len(pieces))):
+        words += pieces[k]
+        sizes.append(len(words))
+    text, own = " ".join(words), " ".join(words[: sizes[0]])
+    names, last = [], 0
+    before = " ".join(pieces[at - 1]) if at > begin else ""
+    for m in _NOTICE.finditer(text):
+        if m.start() > len(own):
+            break
+        if _DENIED.search(text[: m.start()] if m.start() else before):
+            continue
+        new, behind = _names_from(text, m.end())
+        names += new
+        last = behind if new else last
+    if not names and own in ("license", "licence") and len(sizes) > 1:  # a tag of the form "License: MIT"
+        new, last = _names_from(text, len(own) + 1)
+        names = new if last == len(" ".join(words[: sizes[1]])) else []
+    if not names and (m := _TITLE.fullmatch(own)) and not _text_follows(pieces, at):
+        new, last = _names_from(own, m.start("title"))
+        names = new if last >= len(own) or len(new) == 1 and own[last + 1 :] in NAMES[new[0][0]] else []
+    if not names:
+        return None
+    used = text[:last].count(" ") + 1
+    return names, at + 1 + sum(size < used for size in sizes)
+
+
+def _text_follows(pieces: _Pieces, at: int) -> bool:
+    """Whether one of the next few pieces with words begins as a licence's text does."""
+    others = 0
+    for k in range(at + 1, len(pieces)):
+        words = " ".join(pieces[k])
+        if words and not words.startswith(SENTENCES["reserved"]):
+            if _BEGINS.match(words):
+                return True
+            others += 1
+            if others > GAP:
+                return False
+    return False
+
+
 def normalised(sentences: pa.Array) -> pa.Array:
     """Lower case, letters and digits only, one blank between words."""
     return pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(sentences), r"[^\p{L}\p{N}]+", " "), " ")
@@ -298,9 +413,15 @@ def normalised(sentences: pa.Array) -> pa.Array:
 
 def _rules() -> list[tuple[str, re.Pattern, int]]:
     """Rules over one sign per sentence; the signs of ``SENTENCES`` in order, ``OTHER`` for the rest."""
-    sign = {name: chr(0x4E00 + k) for k, name in enumerate(SENTENCES)}
+    sign = _signs()
     gap = "[^\x00]{0,%d}?" % GAP
-    return [(licence, re.compile(gap.join(f"({sign[m]})" for m in members)), len(members)) for licence, members in RULES]
+    rules = (*RULES, *((licence, (f"named {licence}",)) for licence in NAMES))
+    return [(licence, re.compile(gap.join(f"({sign[m]})" for m in members)), len(members)) for licence, members in rules]
+
+
+def _signs() -> dict[str, str]:
+    """One sign for each known sentence and each licence that a notice names."""
+    return {name: chr(0x4E00 + k) for k, name in enumerate((*SENTENCES, *(f"named {licence}" for licence in NAMES)))}
 
 
 def match_rules(signs: str, versions: list[str]) -> list[tuple[int, str, int]]:
@@ -324,13 +445,13 @@ def match_rules(signs: str, versions: list[str]) -> list[tuple[int, str, int]]:
 
 
 _RULES, _TREE, _FIRST = _rules(), _tree(), _first_pieces()
+_BEGINS = re.compile(_FIRST)
 
 
 def licences_of(texts: pa.Array) -> Iterator[tuple[int, list[tuple[int, str, int]], int]]:
     """(text, its matches, its known sentences) of each text with a known licence sentence."""
     _, names, versions = known_sentences()
-    order = list(SENTENCES)
-    signs = [chr(0x4E00 + order.index(n)) for n in names]
+    sign = _signs()
     cut = pc.split_pattern_regex(texts, SENTENCE_END)
     starts = cut.offsets.to_numpy()
     values = cut.values.slice(starts[0], starts[-1] - starts[0])
@@ -339,29 +460,35 @@ def licences_of(texts: pa.Array) -> Iterator[tuple[int, list[tuple[int, str, int
     if not len(codes):
         return
     plain = normalised(pc.replace_substring_regex(distinct, LEAD, ""))
-    hits = np.flatnonzero(pc.match_substring_regex(plain, _FIRST).to_numpy(zero_copy_only=False)[codes])
+    may_begin = pc.or_(pc.match_substring_regex(plain, _FIRST), pc.match_substring_regex(plain, _MAY_NAME))
+    hits = np.flatnonzero(may_begin.to_numpy(zero_copy_only=False)[codes])
     owner = np.searchsorted(starts, hits, side="right") - 1
     for text in np.unique(owner).tolist():
         begin, end = int(starts[text]), int(starts[text + 1])
         own = hits[np.searchsorted(owner, text) : np.searchsorted(owner, text, side="right")]
-        found, free = [], begin
+        found, free, pieces = [], begin, _Pieces(plain, codes, end)
         for at in own.tolist():
-            if at >= free and (hit := _sentence_at(_Pieces(plain, codes, end), at)):
-                found.append((at, *hit))
-                free = hit[1]
+            if at < free:
+                continue
+            if hit := _sentence_at(pieces, at):
+                found.append((at, [(sign[names[hit[0]]], versions[hit[0]])], hit[1]))
+            elif notice := _notice_at(pieces, at, begin):
+                found.append((at, [(sign[f"named {licence}"], version) for licence, version in notice[0]], notice[1]))
+            else:
+                continue
+            free = found[-1][2]
         if not found:
             continue
         empty = pc.equal(plain.take(pa.array(codes[begin:end])), "").to_numpy(zero_copy_only=False)
         line, version, at = [], [], begin
-        for first, number, behind in [*found, (end, -1, end)]:
+        for first, members, behind in [*found, (end, [], end)]:
             others = int(first - at - empty[at - begin : first - begin].sum())
             line += [OTHER] * others
             version += [""] * others
-            if number >= 0:
-                line.append(signs[number])
-                version.append(versions[number])
+            line += [m for m, _ in members]
+            version += [v for _, v in members]
             at = behind
-        yield text, match_rules("".join(line), version), len(found)
+        yield text, match_rules("".join(line), version), sum(len(members) for _, members, _ in found)
 
 
 class _Pieces:
@@ -382,7 +509,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame
 
     ``licences`` are the distinct licences found, sorted and comma-joined (empty if sentences are
     known but no rule is complete); ``n_matches`` counts matches, ``n_sentences`` known sentences.
-    NULL and empty texts have none. Rows with the same or a NULL id are taken one by one.
+    NULL and empty texts have none, and an empty table gives no rows. Texts of any length are read whole. Rows with the same or a NULL id are taken one by one.
     """
 
     @tidied
