@@ -5,8 +5,11 @@ from __future__ import annotations
 import base64
 import bz2
 import gzip
+import json
 import lzma
+import time
 import zlib
+from urllib.parse import quote_from_bytes, quote_plus
 
 import numpy as np
 import pytest
@@ -156,3 +159,55 @@ def test_layers_are_not_counted_against_a_total():
     assert any(k == 0 for _, k, _ in found) and not folded
     streams = " ".join(b64(gzip.compress(f"{n} {'word ' * 20_000} token=abcdefghijkl{n:03d}".encode())) for n in range(40))
     assert len(hidden(streams)[0]) == 40 and len(hidden(streams, most=10_000)[0]) == 40
+
+
+def octal(data):
+    return "".join(chr(b) if 0x20 < b < 0x7F and chr(b) not in "\\\"'" else f"\\{b:03o}" for b in data)
+
+
+@pytest.mark.parametrize("pack", PACKERS.values(), ids=PACKERS)
+@pytest.mark.parametrize("write", [
+    quote_from_bytes, quote_plus, lambda x: "".join(f"%{b:02x}" for b in x), lambda x: "".join(f"\\x{b:02x}" for b in x),
+    lambda x: json.dumps(x.decode("latin-1"))[1:-1], octal,
+], ids=["url", "plus", "all", "hex", "json", "octal"])
+def test_streams_in_escapes(pack, write):
+    text = write(pack(f"a b\n{SECRET}".encode()))
+    for before, behind in (('x="', '" and more'), ("see https://h.example/?d=", "&e=1")):
+        if "https" in before and "%" not in text:
+            continue
+        found, folded = hidden(before + text + behind)
+        assert (len(before), len(before) + len(text)) in {(b, e) for b, k, e in found if k == 0} and not folded
+
+
+@pytest.mark.parametrize("pack", PACKERS.values(), ids=PACKERS)
+def test_streams_as_python_writes_them(pack):
+    for k in range(20):
+        text = repr(pack(f"a b\n{k}\n{SECRET}".encode()))
+        found, _ = hidden(f"x = {text} + y")
+        assert (4 + 2, 4 + len(text) - 1) in {(b, e) for b, k, e in found if k == 0}
+
+
+def test_raw_deflate_and_octal():
+    packer = zlib.compressobj(wbits=-15)
+    stretch = b64(packer.compress(f"a line\n{SECRET} and the rest".encode()) + packer.flush())
+    assert {k for _, k, _ in hidden(f"see {stretch} end")[0]} == {0}
+    assert {k for _, k, _ in hidden(f"https://h.example/v1/{stretch}")[0]} == {0}
+    run = "".join(f"\\{ord(c):03o}" for c in SECRET)
+    assert (4, 0, 4 + len(run) - 4) in hidden(f"see {run}")[0]
+
+
+def test_streams_that_are_broken_or_hold_themselves():
+    text = quote_from_bytes(gzip.compress(SECRET.encode()))
+    assert hidden(f"see {text[: len(text) // 2]}")[0] == set()
+    assert hidden("%1f%8b%08 \\x1f\\x8b\\x08 x%9c \\x78\\x9c BZh9 \\")[0] == set()
+    deep = SECRET.encode()
+    for _ in range(150):
+        deep = zlib.compress(deep)
+    assert {k for _, k, _ in hidden(f"see {b64(deep)}")[0]} == {0}
+
+
+def test_many_separators_cost_little():
+    noise = base64.urlsafe_b64encode(np.random.default_rng(3).bytes(600_000)).decode()
+    begin = time.process_time()
+    hidden(noise)
+    assert time.process_time() - begin < 20

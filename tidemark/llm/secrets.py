@@ -3,10 +3,11 @@
 A worklist starts with the text itself. Every layer is scanned; then its encoded stretches are
 unwrapped into new layers, which join the worklist until none is new:
 
-* URL escapes (%41) and Unicode escapes (\\u0041, \\x41, \\U00000041, &#65;, &#x41;): the layer
+* URL escapes (%41) and Unicode escapes (\\u0041, \\x41, \\101, \\U00000041, &#65;, &#x41;): the layer
   with all of them replaced, so that a secret split by escapes is seen in its surroundings;
 * base64, plain or URL-safe, in one line or several, also behind other letters of its alphabet: the decoded stretch, if it holds a readable run (also in UTF-16) or a compressed stream;
-* gzip, zlib, bzip2, xz and zstandard streams inside base64: the expanded text of all members.
+* gzip, zlib, bzip2, xz and zstandard streams inside base64 or written in URL or backslash escapes: the expanded text of
+  all members; raw deflate, which has no mark of its own, where it fills the rest of its base64.
 
 A layer whose content was seen before in this document is not unwrapped again, which ends
 cycles. Each layer maps its characters to spans of the layer it came from, hence in the end to
@@ -43,7 +44,7 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 
 URL_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPE = re.compile(
-    r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});"
+    r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});|\\([0-3][0-7]{2})"
 )
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Base64 in lines: ends of lines as such or as in JSON, each line nothing but its stretch.
@@ -53,6 +54,11 @@ BREAK = re.compile(LINE_END)
 #: Where a compressed stream may begin inside decoded bytes; zlib's two bytes are only tried after a separator.
 MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 SEPARATOR = re.compile(r"[/_-]")
+#: The first bytes of a stream; for zlib those of the usual levels.
+FIRST_BYTES = (b"\x1f\x8b\x08", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+#: Bytes behind a backslash that stand for others.
+NAMED = {"a": 7, "b": 8, "t": 9, "n": 10, "v": 11, "f": 12, "r": 13}
+BACKSLASH = re.compile(r"\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([0-3][0-7]{2}|[0-7]{1,2})|([abtnvfr])|(.))", re.DOTALL)
 
 #: A stream that holds more bytes than this and eight times the document's characters is never held
 #: whole: it is read in windows of that size, each of which repeats the second half of the one
@@ -146,7 +152,7 @@ def _unicode_run(m: re.Match):
         sizes = np.where(_points(text) < 0x10000, 6, 12).astype(np.int64)
         ends = np.cumsum(sizes)
         return text, ends - sizes, ends
-    point = int(m.group(5)) if m.group(5) else int(next(g for g in m.groups()[1:] if g), 16)
+    point = int(m.group(5)) if m.group(5) else int(m.group(7), 8) if m.group(7) else int(next(g for g in m.groups()[1:] if g), 16)
     if point > 0x10FFFF or 0xD800 <= point < 0xE000:
         return None
     return chr(point), [0], [m.end() - m.start()]
@@ -200,9 +206,13 @@ def _opened(data: bytes):
     return None
 
 
-def _pieces(data: bytes, size: int = 1 << 18) -> Iterator[bytes]:
-    """What the compressed streams hold that ``data`` begins with, one member after another, up to a damaged place."""
-    while (stream := _opened(data)) is not None:
+def _pieces(data: bytes, raw: bool = False, size: int = 1 << 18) -> Iterator[bytes]:
+    """What the compressed streams hold that ``data`` begins with, one member after another, up to a damaged place.
+
+    ``raw``: the first one is deflate without a header.
+    """
+    while (stream := zlib.decompressobj(-15) if raw else _opened(data)) is not None:
+        raw = False
         try:
             if hasattr(stream, "read"):
                 while piece := stream.read(size):
@@ -221,10 +231,10 @@ def _pieces(data: bytes, size: int = 1 << 18) -> Iterator[bytes]:
         data = stream.unused_data.lstrip(b"\0")  # padding between members
 
 
-def _windows(data: bytes, most: int) -> Iterator[bytes]:
+def _windows(data: bytes, most: int, raw: bool = False) -> Iterator[bytes]:
     """What the compressed streams hold that ``data`` begins with: one window if that is at most ``most`` bytes, else overlapping ones."""
     held, size, fresh = [], 0, 0
-    for piece in _pieces(data):
+    for piece in _pieces(data, raw):
         held.append(piece)
         size += len(piece)
         fresh += len(piece)
@@ -267,29 +277,117 @@ def _runs(text: str) -> Iterator[tuple[str, np.ndarray | int, list[int]]]:
             lines = lines[n - 1 :] if n < len(lines) else []
 
 
-def _unfolded(data: bytes, most: int, depth: int = 0) -> Iterator[tuple[bytes, bool]]:
-    """Windows of the stream that ``data`` begins with, through all streams in streams; whether each is one of several."""
-    windows = _windows(data, most)
-    first = next(windows, None)
-    if first is None:
-        return
-    second = next(windows, None)
-    several = second is not None
-    if not several and first != data and depth < DEEP and _opened(first) is not None:
-        inner = _unfolded(first, most, depth + 1)
-        if (begin := next(inner, None)) is not None:
-            yield begin
-            yield from inner
+def _unfolded(data: bytes, most: int, raw: bool = False) -> Iterator[tuple[bytes, bool]]:
+    """Windows of the stream that ``data`` begins with, through all streams in streams; whether each is one of several.
+
+    A stream that holds itself, directly or through others, is left where it repeats.
+    """
+    held, seen = None, set()
+    while True:
+        windows = _windows(data, most, raw)
+        first = next(windows, None)
+        if first is None:
+            if held is not None:
+                yield held, False
             return
-    yield first, several
-    if several:
+        second = next(windows, None)
+        mark = hashlib.sha256(first).digest()
+        if second is not None or _opened(first) is None or mark in seen:
+            break
+        seen.add(mark)
+        held, data, raw = first, first, False
+    yield first, second is not None
+    if second is not None:
         yield second, True
         for window in windows:
             yield window, True
 
 
-#: Streams directly in streams beyond this are taken for one that holds itself.
-DEEP = 100
+def _fills(data: memoryview, size: int = 1 << 14) -> bool:
+    """Whether ``data`` is raw deflate from its first byte to its last."""
+    stream = zlib.decompressobj(-15)
+    try:
+        for at in range(0, len(data), size):
+            rest = data[at : at + size]
+            while not stream.eof and len(rest):
+                stream.decompress(rest, 1 << 18)
+                rest = stream.unconsumed_tail
+            if stream.eof:
+                return not stream.unused_data and at + size >= len(data)
+    except zlib.error:
+        pass
+    return False
+
+
+def _forms(escape: str) -> re.Pattern:
+    """How ``FIRST_BYTES`` look where bytes may be written by ``escape``: "%", or a backslash."""
+
+    def one(byte: int) -> str:
+        ways = [f"%(?i:{byte:02x})"] if escape == "%" else [rf"\\(?:x|u00)(?i:{byte:02x})", rf"\\{byte:03o}"]
+        if escape != "%" and byte < 0o100:
+            ways.append(rf"\\{byte:o}(?![0-7])")
+        if escape != "%" and byte in NAMED.values():
+            ways += [rf"\\{letter}" for letter, value in NAMED.items() if value == byte]
+        if 0x21 <= byte < 0x7F:
+            ways.append(re.escape(chr(byte)))
+        return f"(?:{'|'.join(ways)})"
+
+    return re.compile("|".join("".join(map(one, first)) for first in FIRST_BYTES))
+
+
+_BY_PERCENT, _BY_BACKSLASH = _forms("%"), _forms("\\")
+_URL_STRETCH = re.compile(r"""[^\x00-\x20"'<>&=?#\x7f-\U0010ffff]*""")
+_BARE = re.compile(r"(?:\\[^\r\n]|[^\\\s\"'])*")
+_QUOTED = {q: re.compile(rf"(?:\\[^\r\n]|[^\\\r\n{q}])*") for q in "\"'"}
+
+
+def _backslashed(text: str) -> bytes:
+    """The bytes that ``text`` writes; other characters beyond one byte end it."""
+    out, at = [], 0
+    for m in BACKSLASH.finditer(text):
+        digits = m.group(1) or m.group(2)
+        byte = int(digits, 16) if digits else int(m.group(3), 8) if m.group(3) else NAMED[m.group(4)] if m.group(4) else None
+        out.append(text[at : m.start()].encode("latin-1", "replace"))
+        out.append(m.group(5).encode("latin-1", "replace") if byte is None else bytes([byte]))
+        at = m.end()
+    return b"".join([*out, text[at:].encode("latin-1", "replace")])
+
+
+def _escaped_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
+    """Layers of the streams that are written in escapes; before those of one that expands beyond ``most``, None.
+
+    In a URL a stream ends with its part of the URL; behind a quote it ends with the next one, elsewhere with the word.
+    """
+    text = layer.text
+    for mark, pattern in (("%", _BY_PERCENT), ("\\", _BY_BACKSLASH)):
+        if mark not in text:
+            continue
+        behind = 0
+        for m in pattern.finditer(text):
+            if m.start() < behind:
+                continue
+            if mark == "%":
+                stretch = _URL_STRETCH.match(text, m.start())
+                data = unquote_to_bytes(stretch.group().replace("+", " "))
+            else:
+                quote = text[m.start() - 1 : m.start()]
+                stretch = _QUOTED.get(quote, _BARE).match(text, m.start())
+                data = _backslashed(stretch.group())
+            if mark not in stretch.group() or not _magic(data, 0):
+                continue
+            for number, (expanded, several) in enumerate(_unfolded(data, most)):
+                behind = stretch.end()
+                if several and not number:
+                    yield None
+                for inner, _, _ in _readings(expanded):
+                    yield _packed(layer, inner, m.start(), behind)
+
+
+def _packed(layer: Layer, text: str, begin: int, end: int) -> Layer:
+    """What a stream holds: any of its characters may depend on the whole of ``begin`` to ``end``."""
+    child = layer.child(text, np.full(len(text), begin, np.int32), np.full(len(text), end, np.int32))
+    child.packed = True
+    return child
 
 
 def _base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
@@ -326,11 +424,17 @@ def _base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
                         if several and not large:
                             large = True
                             yield None
-                        for text, _, _ in _readings(expanded):  # any character may depend on the whole stream
-                            child = layer.child(text, np.full(len(text), begin[0], np.int32), np.full(len(text), end[0], np.int32))
-                            child.packed = True
-                            yield child
+                        for text, _, _ in _readings(expanded):
+                            yield _packed(layer, text, begin[0], end[0])
                         last = expanded
+            for at in () if streams and opened else sorted((at - phase) // 4 * 3 for at in separators if at >= phase and (at - phase) % 4 == 0):
+                if len(data) - at >= SHORTEST and _fills(memoryview(data)[at:]):
+                    begin, end = spans(np.array([at]), np.array([len(data)]))
+                    for number, (expanded, several) in enumerate(_unfolded(data[at:], most, raw=True)):
+                        if several and not number:
+                            yield None
+                        for text, _, _ in _readings(expanded):
+                            yield _packed(layer, text, begin[0], end[0])
             if opened or phase and not RUN.search(data) and not any(wide.search(data) for wide in WIDE.values()):
                 continue
             for text, first, behind in _readings(data):
@@ -347,6 +451,7 @@ def unwrap(layer: Layer, most: int = MOST_CHARS) -> Iterator[Layer | None]:
         yield new
     if ("\\" in layer.text or "&#" in layer.text) and (new := _replaced(layer, UNICODE_ESCAPE.finditer(layer.text), _unicode_run)):
         yield new
+    yield from _escaped_layers(layer, most)
     yield from _base64_layers(layer, most)
 
 
@@ -400,7 +505,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text: str = "text", most: int =
 
     Columns: doc_id, n_assign, n_access, n_hex (open secrets), base_sha256 and spans (kind:start:end
     in code points, by start and kind, comma-joined), n_layers, n_folded. NULL and empty texts have
-    no spans; every row gives one row, whatever its id; no rows give none. Nothing is shuffled.
+    no spans; texts of any length are read whole; every row gives one row, whatever its id; no rows give none. Nothing is shuffled.
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
