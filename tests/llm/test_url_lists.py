@@ -95,3 +95,17 @@ def test_empty_tables(spark):
     assert url_lists.evaluate(captures, log).count() == 0
     one = url_lists.evaluate(spark.createDataFrame([(1, "http://a/", DAY, 0)], CAPTURES), log).collect()
     assert [(r.n_matches, r.categories) for r in one] == [(0, None)]
+
+
+def test_open_intervals_cost_only_the_periods_that_are_asked(spark):
+    log = [("host", f"h{k}.org", c, "add", hours(-24 * 3650 + k)) for k in range(50) for c in ("spam", "adult")]
+    log += [("host", "h1.org", "spam", "remove", hours(-24 * 1000)), ("host", "h1.org", "spam", "add", hours(24 * 9))]
+    spans = url_lists.intervals(spark.createDataFrame(log, LOG))
+    asked = [("host", "h1.org", url_days(t)) for t in (-3649, -500, 0, 9)] + [("host", "h2.org", url_days(0)), ("host", "other.org", url_days(0))]
+    pieces = url_lists._pieces(spans, spark.createDataFrame(asked, "kind string, pattern string, __period long"), 1)
+    # 101 beginnings; h1 is open 4 times as adult and once as spam before its second start, h2 twice.
+    assert pieces.count() == 101 + 4 + 1 + 2
+
+
+def url_days(n):
+    return (DAY + dt.timedelta(days=n) - dt.datetime(1970, 1, 1)).days

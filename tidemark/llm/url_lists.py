@@ -5,10 +5,12 @@ is added to or removed from a category at some time. The log becomes validity in
 every capture is tested against the entries that were active when it was fetched.
 
 The as-of join is an equality join. Each URL yields the keys that could list it (its host, each
-parent domain, each prefix of its path), each interval is cut into periods of ``PERIOD_DAYS``, and
-the two meet on (key, period); which interval holds the fetch time is settled there. A host
-with a third of all captures is spread over its periods, and adaptive execution splits what is
-still too large. Only distinct (url, fetch time) pairs are evaluated.
+parent domain, each prefix of its path), and keys meet intervals on (key, period) of ``PERIOD_DAYS``. An interval
+has a row in the period it begins in, and one more in each later period in which a capture asks for its key: the state
+is handed on from period to period, so nothing is written for days on which nothing happens. Which interval
+holds the fetch time is settled inside the period. A host with a third of all captures is spread over its periods, and
+adaptive execution splits what is still too large. Entries of keys that no capture has are dropped before the intervals are
+made, and only distinct (url, fetch time) pairs are evaluated.
 """
 
 from __future__ import annotations
@@ -90,12 +92,35 @@ def intervals(entries: DataFrame, period_days: int = PERIOD_DAYS) -> DataFrame:
     )
 
 
+def _pieces(spans: DataFrame, wanted: DataFrame, period_days: int) -> DataFrame:
+    """Intervals by ``__period``: where they begin, and where they are open and the period is wanted.
+
+    Intervals of one (kind, pattern, category) do not overlap, so only the last one before a period can reach into it.
+    One row for each of these and period goes into the window, however many entries or captures it has.
+    """
+    key, period = ["kind", "pattern", "category"], F.col("__period")
+    begun = spans.withColumn("__period", _period(F.col("valid_from"), period_days))
+    span = F.struct("valid_from", "valid_to")
+    last = begun.groupBy(*key, "__period").agg(F.max_by(span, "valid_from").alias("__last"), F.lit(False).alias("__asked"))
+    asked = begun.select(*key).distinct().join(wanted, key[:2]).select(
+        *key, "__period", F.lit(None).cast(last.schema["__last"].dataType).alias("__last"), F.lit(True).alias("__asked")
+    )
+    before = Window.partitionBy(*key).orderBy("__period").rangeBetween(Window.unboundedPreceding, -1)
+    states = last.unionByName(asked).groupBy(*key, "__period").agg(
+        F.max("__last").alias("__last"), F.max("__asked").alias("__asked")
+    ).withColumn("__open", F.last("__last", ignorenulls=True).over(before))
+    until = F.col("__open.valid_to")
+    carried = states.where(F.col("__asked") & F.col("__open").isNotNull() & (until.isNull() | (_period(until, period_days) >= period)))
+    return begun.unionByName(carried.select(*key, F.col("__open.valid_from").alias("valid_from"), until.alias("valid_to"), "__period"))
+
+
 def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", at: str = "fetched_at", period_days: int = PERIOD_DAYS) -> DataFrame:
     """``captures`` with n_matches, categories (sorted, comma-joined) and listed_since of the entries active at the fetch.
 
     ``listed_since`` is the earliest start among the active intervals; both are NULL without one.
     Every capture keeps its row. A NULL or hostless URL and a NULL time match nothing. Other
-    columns are kept as they are; the three results may not be among them.
+    columns are kept as they are; the three results may not be among them. No captures give no rows, an empty log no matches;
+    repeated captures and entries count once for each other. URLs of any length are read whole.
     """
     own_url, own_at = free_name(captures, "asked_url"), free_name(captures, "asked_at")
     asked = captures.select(F.col(url).alias(own_url), F.col(at).alias(own_at)).where(
@@ -104,12 +129,9 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", at: str
     keys = asked.withColumn("__key", F.explode(url_keys(F.col(own_url)))).select(
         own_url, own_at, F.col("__key.kind").alias("kind"), F.col("__key.pattern").alias("pattern"), _period(F.col(own_at), period_days).alias("__period")
     )
-    # An open interval lasts to the last capture; nothing is asked after it.
-    last = F.lit(captures.agg(F.max(at).cast("string")).first()[0]).cast(captures.schema[at].dataType)
-    end = F.least(F.coalesce(F.col("valid_to"), last), last)
-    pieces = intervals(entries, period_days).where(end >= F.col("valid_from")).withColumn(
-        "__period", F.explode(F.sequence(_period(F.col("valid_from"), period_days), _period(end, period_days)))
-    )
+    key = ["kind", "pattern"]
+    wanted = keys.select(*key, "__period").distinct()
+    pieces = _pieces(intervals(entries.join(wanted, key, "left_semi"), period_days), wanted, period_days)
     active = (F.col("valid_from") <= F.col(own_at)) & (F.col("valid_to").isNull() | (F.col(own_at) < F.col("valid_to")))
     found = keys.join(pieces, ["kind", "pattern", "__period"]).where(active).groupBy(own_url, own_at).agg(
         F.count(F.lit(1)).alias("n_matches"),
@@ -120,32 +142,34 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", at: str
     return out.withColumn("n_matches", F.coalesce("n_matches", F.lit(0).cast("long")))
 
 
-def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as captures: page ``p`` was fetched at the time of event ``p`` modulo the number of events."""
-    events = read_table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("fetched_at"))
+def _page_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the page that it falls on: page ids go round with the events' ids."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    return pages.withColumn("event_id", F.col("page_id") % F.lit(max(events.count(), 1))).join(events, "event_id", "left").select("page_id", "url", "fetched_at")
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id")
+    return events.withColumn("page_id", F.col("event_id") % F.lit(max(pages.count(), 1))).join(pages, "page_id")
+
+
+def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of type ``view`` and ``click`` as captures of their pages."""
+    seen = _page_events(spark, sf_dir).where(F.col("event_type").isin("view", "click"))
+    return seen.select("event_id", "page_id", "url", F.col("ts").alias("fetched_at"))
 
 
 def page_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log made of the pages' own hosts: listed and removed at the times of the events with the host's pages' ids.
+    """All other events as a log of the pages' own hosts.
 
-    Events of type ``error`` and ``purchase`` of a page's id add to a list, all others remove. The kind of
-    pattern follows the id: host, parent domain, or host with its first path step.
+    Events of type ``error`` and ``purchase`` add to a list, others remove. The kind of
+    pattern follows the page's id: host, parent domain, or host with its first path step.
     """
-    events = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("page_id"), F.col("ts").alias("listed_at"), "event_type", "user_id")
     host, url = host_of(F.col("url")), F.col("url")
-    return (
-        read_table(spark, sf_dir, "pages").select("page_id", "url").where(host.isNotNull()).join(events, "page_id")
-        .select(
-            F.when(F.col("page_id") % 3 == 0, "host").when(F.col("page_id") % 3 == 1, "domain").otherwise("prefix").alias("kind"),
-            F.when(F.col("page_id") % 3 == 0, host)
-            .when(F.col("page_id") % 3 == 1, F.regexp_replace(host, r"^[^.]*\.", ""))
-            .otherwise(F.concat(host, F.regexp_extract(path_of(url), r"^(/[^/]*/?)", 1))).alias("pattern"),
-            F.when(F.col("user_id") % 2 == 0, "spam").otherwise("adult").alias("category"),
-            F.when(F.col("event_type").isin("error", "purchase"), "add").otherwise("remove").alias("action"),
-            "listed_at",
-        )
+    return _page_events(spark, sf_dir).where(host.isNotNull() & ~F.col("event_type").isin("view", "click")).select(
+        F.when(F.col("page_id") % 3 == 0, "host").when(F.col("page_id") % 3 == 1, "domain").otherwise("prefix").alias("kind"),
+        F.when(F.col("page_id") % 3 == 0, host)
+        .when(F.col("page_id") % 3 == 1, F.regexp_replace(host, r"^[^.]*\.", ""))
+        .otherwise(F.concat(host, F.regexp_extract(path_of(url), r"^(/[^/]*/?)", 1))).alias("pattern"),
+        F.when(F.col("user_id") % 2 == 0, "spam").otherwise("adult").alias("category"),
+        F.when(F.col("event_type").isin("error", "purchase"), "add").otherwise("remove").alias("action"),
+        F.col("ts").alias("listed_at"),
     )
 
 
@@ -169,10 +193,11 @@ ORACLE_SQL = {
                ELSE host || regexp_extract(path, '^(/[^/]*/?)', 1) END AS pattern,
              CASE WHEN user_id % 2 = 0 THEN 'spam' ELSE 'adult' END AS category,
              event_type IN ('error', 'purchase') AS adds, ts AS listed_at
-      FROM parts p JOIN events e ON e.event_id = p.page_id WHERE host IS NOT NULL),
+      FROM parts p JOIN events e ON e.event_id % (SELECT count(*) FROM pages) = p.page_id
+      WHERE host IS NOT NULL AND event_type NOT IN ('view', 'click')),
     captures AS (
-      SELECT page_id, url, ts AS fetched_at, host, path
-      FROM parts LEFT JOIN events ON event_id = page_id % (SELECT count(*) FROM events)),
+      SELECT event_id, page_id, url, ts AS fetched_at, host, path
+      FROM parts JOIN events ON event_id % (SELECT count(*) FROM pages) = page_id WHERE event_type IN ('view', 'click')),
     -- The latest moment of each listed pattern before the fetch says whether it is listed; a removal of the same moment wins.
     moments AS (SELECT kind, pattern, category, listed_at, bool_and(adds) AS adds FROM log GROUP BY ALL),
     runs AS (
@@ -191,6 +216,6 @@ ORACLE_SQL = {
       SELECT url, fetched_at, count(*) AS n_matches, string_agg(DISTINCT category, ',' ORDER BY category) AS categories,
              min(listed_at) AS listed_since
       FROM hits GROUP BY url, fetched_at)
-    SELECT c.page_id, c.url, c.fetched_at, coalesce(n_matches, 0) AS n_matches, categories, listed_since
+    SELECT c.event_id, c.page_id, c.url, c.fetched_at, coalesce(n_matches, 0) AS n_matches, categories, listed_since
     FROM captures c LEFT JOIN found f ON f.url = c.url AND f.fetched_at = c.fetched_at""",
 }
