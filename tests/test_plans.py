@@ -95,3 +95,10 @@ def test_a_persisted_batch_reads_only_the_partitions_it_touches(spark):
 def test_joins_of_daily_tables_carry_no_hint(spark):
     df = catalog.queries()["merge_sources"](spark, TESTDATA)
     assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_base_table_reads_orders_twice(spark):
+    text = plan(roles.base_table(spark, TESTDATA))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert sum("o_orderdate" in s for s in schemas) == 2  # market, and events with the customers' regions
+    assert sum("l_shipdate" in s for s in schemas) == 2  # quotes by brand, and stations

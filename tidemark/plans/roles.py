@@ -71,16 +71,6 @@ def step_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_agg(orders, {"Diesel": ("o_totalprice", "max")}, keys=())
 
 
-def market_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily rate and step changes from one scan, one row per day with orders."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.to_date("o_orderdate").alias("d"),
-        "o_totalprice",
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).alias("urgent"),
-    )
-    return daily_agg(orders, {"USD_TO_NPR": ("o_totalprice", "mean"), "Diesel": ("urgent", "max")}, keys=())
-
-
 def monthly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per month, dated the first."""
     orders = table(spark, sf_dir, "orders")
@@ -88,6 +78,32 @@ def monthly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_agg(orders, {"Inflation": ("o_totalprice", "mean")}, keys=())
 
 
+def market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rate, step changes and monthly rate from one scan, one row per day with any of them.
+
+    Each day's sums count once for the day and once for the first of its month; only these are grouped again.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("d"),
+        "o_totalprice",
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).alias("urgent"),
+    )
+    daily = orders.where(F.col("d").isNotNull()).groupBy("d").agg(
+        F.sum("o_totalprice").alias("sum"), F.count("o_totalprice").alias("n"), F.max("urgent").alias("urgent")
+    )
+    of_month = F.struct(
+        F.trunc("d", "month").alias("d"), F.lit(None).cast("double").alias("sum"), F.lit(None).cast("long").alias("n"),
+        F.lit(None).cast("double").alias("urgent"), F.col("sum").alias("month_sum"), F.col("n").alias("month_n"),
+    )
+    of_day = F.struct("d", "sum", "n", "urgent", F.lit(None).cast("double").alias("month_sum"), F.lit(None).cast("long").alias("month_n"))
+    rows = daily.select(F.explode(F.array(of_day, of_month)).alias("_l")).select("_l.*")
+    return rows.groupBy("d").agg(
+        F.try_divide(F.sum("sum"), F.sum("n")).alias("USD_TO_NPR"),
+        F.max("urgent").alias("Diesel"),
+        F.try_divide(F.sum("month_sum"), F.sum("month_n")).alias("Inflation"),
+    )
+
+
 def stations_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(location, d, Temperature, Rainfall_MM)``."""
     items = table(spark, sf_dir, "lineitem").select(
@@ -128,8 +144,7 @@ def event_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def base_table(spark: SparkSession, sf_dir: str, variant: str = "cloud") -> DataFrame:
     others = [
-        market_daily(spark, sf_dir),
-        monthly_rate(spark, sf_dir),
+        market(spark, sf_dir),
         clean_weather(stations_wide(spark, sf_dir), variant=variant),
         event_risk(spark, sf_dir),
     ]
