@@ -8,11 +8,14 @@ from __future__ import annotations
 from tidemark import fixed
 from tidemark.operators import evaluate, features
 from tidemark.plans import dataset, modelling, roles
+from tidemark.plans.catalog import sql as S
 from tidemark.plans.catalog.daily import model_table
+from tidemark.plans.catalog.evaluation import metric_sql
 from tidemark.plans.catalog.registry import query
 from tidemark.plans.dataset import PRICE
 from tidemark.session import scratch_path, settle
 
+
 def _fit_query(name: str, model: str) -> None:
     @query(name)
     def _(spark, sf):
@@ -29,6 +32,27 @@ _fit_query("fit_gbt_sparse", "XGBoost")
 _fit_query("fit_gbt_service", modelling.SERVICE)
 
 
+_PAIR = ("lag1", "roll_std7")
+_A, _B = _PAIR
+
+
+@query("fit_ridge_pair", f"""WITH {S.features()}, t AS (SELECT *, ln(lead(Average_Price, 7) OVER ({S.W})) AS y FROM mf),
+  c AS (SELECT *, row_number() OVER ({S.W}) AS rn, count(*) OVER (PARTITION BY series_id) AS n FROM t
+        WHERE {_A} IS NOT NULL AND {_B} IS NOT NULL AND y IS NOT NULL),
+  m AS (SELECT *, CASE WHEN rn <= floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM c),
+  s AS (SELECT avg({_A}) AS ma, stddev_pop({_A}) AS sa, avg({_B}) AS mb, stddev_pop({_B}) AS sb, avg(y) AS my FROM m WHERE split = 'train'),
+  z AS (SELECT m.split, y, my, ({_A} - ma) / sa AS a, ({_B} - mb) / sb AS b FROM m, s),
+  u AS (SELECT sum(a * a) + {fixed.RIDGE_ALPHA} AS aa, sum(b * b) + {fixed.RIDGE_ALPHA} AS bb, sum(a * b) AS ab,
+        sum(a * (y - my)) AS ay, sum(b * (y - my)) AS by_ FROM z WHERE split = 'train'),
+  w AS (SELECT (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS wa, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM u),
+  p AS (SELECT 'PAIR' AS exp, 'Ridge' AS model, 7 AS horizon, split, y AS y_true, my + wa * a + wb * b AS y_pred FROM z, w)
+  {metric_sql('p', 'exp, model, horizon, split')}""", "r2 rmse mae mape")
+def _(spark, sf):
+    """Ridge on two features over all rows, which SQL can solve too."""
+    matrix = settle(modelling.model_matrix(model_table(spark, sf), _PAIR))
+    return evaluate.metrics(modelling.fit_predict(matrix, "Ridge", _PAIR, "PAIR"))
+
+
 @query("ablation")
 def _(spark, sf):
     df = settle(model_table(spark, sf))
@@ -100,3 +124,17 @@ def _(spark, sf):
     df, path = settle(model_table(spark, sf)), scratch_path(spark, "forecasters")
     modelling.fit_forecasters(df, path)
     return modelling.forecast(df, path)
+
+
+@query("forecast_days", f"""WITH {S.features()}, t AS (SELECT *, row_number() OVER ({S.W}) AS rn,
+    count(*) OVER (PARTITION BY series_id) AS n, max(d) OVER (PARTITION BY series_id) AS last_day,
+    {', '.join(f'lead(d, {h}) OVER ({S.W}) AS day_{h}' for h in fixed.HORIZONS)} FROM mf),
+  c AS (SELECT * FROM t WHERE {' AND '.join(f'{f} IS NOT NULL' for f in S.MODEL_FEATURES)}
+        QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY d DESC) = 1)
+  """ + " UNION ALL ".join(
+    f"SELECT series_id, d AS as_of, {h} AS horizon, CAST(coalesce(day_{h}, last_day + CAST({h} - (n - rn) AS INTEGER)) AS DATE) AS target_date FROM c"
+    for h in fixed.HORIZONS
+))
+def _(spark, sf):
+    df = model_table(spark, sf)
+    return modelling.forecast_days(df, features.feature_list(df))

@@ -369,24 +369,38 @@ def fit_forecasters(
     trees.store(fits, trees.fit_trees(settle(table), fits, [*KEYS, D]), path)
 
 
+def forecast_rows(df: DataFrame, features: Sequence[str], horizons: Sequence[int] = fixed.HORIZONS) -> DataFrame:
+    """The last row of each series with all ``features``, and for each horizon the day ``day_<h>`` it aims at.
+
+    A horizon counts rows: the target is the day of that row where the series goes on, and beyond its end every day is a row.
+    """
+    w, whole = by_day(KEYS, D), Window.partitionBy(*KEYS)
+    left = F.count(F.lit(1)).over(whole) - F.row_number().over(w)
+    days = {
+        f"day_{h}": F.coalesce(F.lead(D, h).over(w), F.date_add(F.max(D).over(whole), (F.lit(h) - left).cast("int"))) for h in horizons
+    }
+    rows = dedupe_by(df.withColumns(days).na.drop(subset=list(features)), KEYS, [D], "last")
+    return rows.select(*KEYS, D, *features, *days)
+
+
+def forecast_days(df: DataFrame, features: Sequence[str], horizons: Sequence[int] = fixed.HORIZONS) -> DataFrame:
+    """``(series_id, as_of, horizon, target_date)``: what the next forecasts start from and aim at."""
+    lines = [F.struct(F.lit(h).cast("int").alias("horizon"), F.col(f"day_{h}").alias("target_date")) for h in horizons]
+    rows = forecast_rows(df, features, horizons)
+    return rows.select(*KEYS, F.col(D).alias("as_of"), F.explode(F.array(*lines)).alias("_l")).select(*KEYS, "as_of", "_l.*")
+
+
 def forecast(df: DataFrame, path: str) -> DataFrame:
     """Score the last complete row of each series with stored models; nothing is fitted.
 
-    One row per series and horizon: ``(series_id, as_of, horizon, target_date, price)``. A horizon counts rows: the
-    target is the day of that row where the series goes on behind ``as_of``, and beyond its end every day is a row.
+    One row per series and horizon: ``(series_id, as_of, horizon, target_date, price)``; see :func:`forecast_rows`.
     """
     fits, model = trees.load(df.sparkSession, path)
     features = list(dict.fromkeys(c for f in fits for c in f.features))
     spans = {f: int(f.name) for f in fits}
-    w, whole = by_day(KEYS, D), Window.partitionBy(*KEYS)
-    left = F.count(F.lit(1)).over(whole) - F.row_number().over(w)
-    days = {
-        f"day_{h}": F.coalesce(F.lead(D, h).over(w), F.date_add(F.max(D).over(whole), (F.lit(h) - left).cast("int"))) for h in spans.values()
-    }
-    rows = dedupe_by(df.withColumns(days).na.drop(subset=features), KEYS, [D], "last")
-    last = settle(rows.select(
-        *KEYS, D, *features, *days, *[F.lit("last").alias(f.role) for f in fits], *[F.lit(None).cast("double").alias(f.target) for f in fits]
+    last = settle(forecast_rows(df, features, list(spans.values())).select(
+        "*", *[F.lit("last").alias(f.role) for f in fits], *[F.lit(None).cast("double").alias(f.target) for f in fits]
     ))
-    pred = trees.predict(last, fits, model, [*KEYS, D, *days])
+    pred = trees.predict(last, fits, model, [*KEYS, D, *[f"day_{h}" for h in spans.values()]])
     target = F.coalesce(*[F.when(F.col("fit") == f.name, F.col(f"day_{h}")) for f, h in spans.items()])
     return pred.select(*KEYS, F.col(D).alias("as_of"), F.col("fit").cast("int").alias("horizon"), target.alias("target_date"), F.exp("y_pred").alias("price"))
