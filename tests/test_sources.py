@@ -79,6 +79,15 @@ def test_seek_header_reads_the_whole_sheet(frame):
     assert [tuple(r) for r in sheets.sheets_without_header(df).collect()] == [(3, 2)]
 
 
+def test_headers_of_many_sheets_are_not_broadcast(spark, tmp_path):
+    lines = F.array(F.array(F.lit("title")), F.array(F.lit("Fiscal Year")), F.array(F.col("id").cast("string")))
+    spark.range(50).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t").select(F.col("id").alias("sheet_id"), F.posexplode(lines).alias("row_no", "cells"))
+    got = sheets.seek_header(df)
+    assert sorted((r["sheet_id"], r["row_no"], r["cells"][0]) for r in got.collect()) == [(i, 2, str(i)) for i in range(50)]
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_inflation_rows(frame):
     lines = [["Prices", None, None, None]] * 12 + [
         ["No", "Mid-Month", "Overall Index", "Change"], ["1", "2021/22", None, None], ["2", "Jul/Aug", "100", "4.5"], ["3", "Jan/Feb", "101", "5"],

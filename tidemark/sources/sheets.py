@@ -86,11 +86,12 @@ def seek_header(
     The header is the first row of the sheet in which some cell contains a marker, however far
     down it stands. A sheet without one gives no rows; ``sheets_without_header`` lists those.
     The header rows are found with one map-side-combined aggregate per sheet, so a very long
-    sheet is not gathered anywhere.
+    sheet is not gathered anywhere. There are as many headers as sheets, and Spark takes exploded rows for
+    far smaller than they are: the hint keeps either side from being sent to the driver and broadcast.
     """
     hit = F.when(_marked(markers, cells), F.col(row_no))
     header = df.groupBy(sheet).agg(F.min(hit).alias("_header_row"), F.min_by(cells, hit).alias("header"))
-    return df.join(header, sheet).where(F.col(row_no) > F.col("_header_row")).drop("_header_row")
+    return df.join(header.hint("merge"), sheet).where(F.col(row_no) > F.col("_header_row")).drop("_header_row")
 
 
 def sheets_without_header(
