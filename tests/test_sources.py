@@ -295,3 +295,32 @@ def test_common_forms_of_dates(frame):
     df = frame("t string", [(f,) for f in [*forms, "Fri", "13/13/2024", "", None]])
     got = [r[0] for r in df.select(parse_date(F.col("t"))).collect()]
     assert got == [day("2024-01-05")] * len(forms) + [None] * 4
+
+
+def test_quotes_are_parsed_once(spark, tmp_path):
+    from tidemark.plans import dataset
+
+    raw = spark.createDataFrame([("1/2/2024", "गोलभेडा ठूलो(नेपाली)", "रू १०"), ("not a day", "गोलभेडा ठूलो", "2"), (None, "x", "-")],
+                                list(fixed.QUOTE_COLUMNS))
+    raw.write.parquet(f"{tmp_path}/q")
+    daily = dataset.daily_price(dataset.quote_rows(spark.read.parquet(f"{tmp_path}/q")), keys=["commodity"])
+    assert [(r["commodity"], r["d"], r["Average_Price"]) for r in daily.collect()] == [("Tomato_Big", day("2024-01-02"), 10.0)]
+    assert daily._jdf.queryExecution().optimizedPlan().toString().count("yyyyMMdd") == 1
+
+
+def test_only_formats_of_the_same_shape_are_tried(spark):
+    from tidemark.functions import dates
+
+    texts = [
+        "2024-1-2", "+12024-01-02", "-2024-01-02", "2024-000001-02", "01/02/2024", "2024/1/2", "1/2/24", "1/2/2", "2024.1.2", "20240102", "202401",
+        "2 Jan 2024", "2 january 2024", "2-JAN-2024", "2-May-2024", "Jan 2, 2024", "May 2, 2024", "March 2 2024", "Mar  2 2024", "2 Jan 24", "not a day",
+        "Mon, 2 Jan 2024", "2024-01-02T00:00:00", "1/2/2024 3:04 PM", "2024-13-01", "2024-02-30", "", " ", "-", "2024-01-02\n", "२०२४-१-२", "2 ſep 2024", None,
+    ]
+    cut = lambda c: F.regexp_replace(F.regexp_replace(F.trim(c), dates._TIME_OF_DAY, ""), dates._WEEKDAY, "")
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for date_format in (*dates.DATE_FORMATS, "MM/dd/yyyy", "yyyy-MM-dd HH:mm"):
+        assert dates._shape(date_format) or "H" in date_format
+        got = df.select("t", dates.parse_date(F.col("t"), [date_format]).alias("got"), F.try_to_date(cut(F.col("t")), date_format).alias("want"))
+        assert got.where(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
+    got = df.select("t", dates.parse_date(F.col("t")).alias("got"), F.coalesce(*[F.try_to_date(cut(F.col("t")), f) for f in dates.DATE_FORMATS]).alias("want"))
+    assert got.where(~F.col("got").eqNullSafe(F.col("want"))).collect() == []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -22,10 +23,32 @@ _WEEKDAY = r"(?i)^(?:mon|tue(?:s)?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:
 _ANY_DATE = r"(\d{4}[.\-/]\d{1,2}[.\-/]\d{1,2})"
 
 
+#: Parts of a format: numbers, names of months, marks between them.
+_PARTS = re.compile(r"((?:y+|M{1,2}(?!M)|d{1,2})+)|(M{3,4})|([\s,./-]+)")
+
+
+def _shape(date_format: str) -> str | None:
+    """A pattern that fits every text in this format, and maybe others; None if the format has parts of other kinds."""
+    if _PARTS.sub("", date_format):
+        return None
+    number = lambda run: r"[-+]?\d+" if len(set(run)) == 1 else r"[-+\d]+"
+    parts = [number(n) if n else r"\D+" if name else re.escape(marks) for n, name, marks in _PARTS.findall(date_format)]
+    return rf"\A{''.join(parts)}\z"
+
+
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """The day of the first format that fits, as it is written, else NULL."""
+    """The day of the first format that fits, as it is written, else NULL.
+
+    A format that does not fit costs an exception inside Spark, so those of another shape are not tried.
+    """
     day = F.regexp_replace(F.regexp_replace(F.trim(c), _TIME_OF_DAY, ""), _WEEKDAY, "")
-    return F.coalesce(*[F.try_to_date(day, f) for f in formats])
+
+    def tried(text: Column, date_format: str) -> Column:
+        found, shape = F.try_to_date(text, date_format), _shape(date_format)
+        return found if shape is None else F.when(text.rlike(shape), found)
+
+    # An array of one: a lambda's argument is computed once, a column at each place where it stands.
+    return F.get(F.transform(F.array(day), lambda text: F.coalesce(*[tried(text, f) for f in formats])), F.lit(0))
 
 
 def extract_ad_date(c: Column, before: int = 2050) -> Column:

@@ -22,15 +22,17 @@ MACRO = ("USD_TO_NPR", "Diesel", "Inflation")
 
 
 def quote_rows(raw: DataFrame, columns=fixed.QUOTE_COLUMNS, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Scraped quote or volume rows: renamed, cleaned, and cut to the commodities kept."""
+    """Scraped quote or volume rows: renamed, cleaned, and cut to the commodities kept.
+
+    Dates and numbers come out of a generator: later filters on them would else be pushed below this step, and
+    everything would be parsed twice.
+    """
     value = next(v for v in columns.values() if v not in ("Date", "commodity"))
     picked = raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in columns.items()])
-    cleaned = picked.select(
-        parse_date(F.col("Date"), formats).alias(D),
-        normalize_category(F.col("commodity")).alias("commodity"),
-        clean_number(F.col(value)).alias(value),
-    )
-    return cleaned.where(F.col("commodity").isin(list(fixed.COMMODITIES_KEPT)))
+    named = picked.withColumn("commodity", normalize_category(F.col("commodity")))
+    kept = named.where(F.col("commodity").isin(list(fixed.COMMODITIES_KEPT)))
+    parsed = F.struct(parse_date(F.col("Date"), formats).alias(D), clean_number(F.col(value)).alias(value))
+    return kept.select("commodity", F.inline(F.array(parsed)).alias(D, value)).select(D, "commodity", value)
 
 
 def daily_price(quotes: DataFrame, value: str = PRICE, keys: Sequence[str] = KEYS, d: str = D) -> DataFrame:
