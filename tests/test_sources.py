@@ -324,3 +324,18 @@ def test_only_formats_of_the_same_shape_are_tried(spark):
         assert got.where(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
     got = df.select("t", dates.parse_date(F.col("t")).alias("got"), F.coalesce(*[F.try_to_date(cut(F.col("t")), f) for f in dates.DATE_FORMATS]).alias("want"))
     assert got.where(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
+
+
+def test_cells_are_cut_once(spark, tmp_path):
+    spark.createDataFrame([(1, "<table><tr><th>a</th></tr><tr><td> x &amp; <b>y</b></td></tr></table>")], "id int, html string").write.parquet(f"{tmp_path}/p")
+    rows = payloads.explode_html_table(spark.read.parquet(f"{tmp_path}/p"), "html", ["id"])
+    assert [tuple(r) for r in rows.collect()] == [(1, ["a"], 1, ["x &y"])]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("<[^>]*>") == 2  # of the header and of the body
+
+
+def test_content_is_what_one_pattern_finds(spark):
+    texts = ["<tr>a</tr>b", "<tr a>b", "<TR>a</TR>", "<tr", "<tr </tr>a>b</tr >c", "<tr>", "<tr></tr>", "<tr>a</trx>b</tr>", "<tr>a>b\nc</tr\n>", "<tr>a<tr>b</tr>", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = F.regexp_extract("t", r"(?is)^<(?:tr)\b[^>]*>(.*?)(?:</(?:tr)\b|\z)", 1)
+    got = df.select("t", payloads._content(F.col("t"), r"</(?:tr)\b").alias("got"), want.alias("want"))
+    assert got.where("t is not null and not (got <=> want)").collect() == []

@@ -127,6 +127,12 @@ def decode_entities(text: Column) -> Column:
     return F.when(text.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
 
 
+def _text_nodes(fragment: Column, glue: str) -> Column:
+    """Text nodes of a fragment, trimmed and joined; entities are left as they are."""
+    nodes = F.transform(F.split(fragment, r"<[^>]*>"), lambda x: F.btrim(x, F.lit(_BLANKS)))
+    return F.when(fragment.contains("<"), F.array_join(F.filter(nodes, lambda x: x != ""), glue)).otherwise(F.btrim(fragment, F.lit(_BLANKS)))
+
+
 #: What is no markup to be read: comments, and the bodies of scripts and styles.
 _UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
 #: A whole tag; quoted attributes may hold any character.
@@ -143,21 +149,30 @@ def _strip_tags(fragment: Column, glue: str = "") -> Column:
 
     Tags are cut one at a time, so that a fragment may hold any number of them.
     """
-    nodes = F.transform(F.split(fragment, r"<[^>]*>"), lambda x: F.btrim(x, F.lit(_BLANKS)))
-    return decode_entities(F.array_join(F.filter(nodes, lambda x: x != ""), glue))
+    return decode_entities(_text_nodes(fragment, glue))
+
+
+def _content(element: Column, end: str) -> Column:
+    """What stands behind an element's first ``>`` and before its first ``end``; empty if its tag does not end.
+
+    Two cuts at marks: one pattern for both would try its end at each character.
+    """
+    inner = F.coalesce(F.get(F.split(element, ">", 2), F.lit(1)), F.lit(""))
+    return F.get(F.split(inner, rf"(?i){end}", 2), F.lit(0))
 
 
 def _elements(text: Column, tags: str) -> Column:
     """Inner text of each ``tags`` element; an end tag may be missing, as HTML allows."""
     pieces = F.filter(F.split(text, rf"(?i)(?=<(?:{tags})\b)"), lambda x: x.rlike(rf"(?i)^<(?:{tags})\b"))
-    return F.transform(pieces, lambda x: F.regexp_extract(x, rf"(?is)^<(?:{tags})\b[^>]*>(.*?)(?:</(?:{tags})\b|\z)", 1))
+    return F.transform(pieces, lambda x: _content(x, rf"</(?:{tags})\b"))
 
 
 def _cells(row: Column, tags: str) -> Column:
     """Cell texts; ``td`` and ``th`` both end the cell before them."""
     pieces = F.filter(F.split(row, r"(?i)(?=<t[dh]\b)"), lambda x: x.rlike(rf"(?i)^<(?:{tags})\b"))
-    inner = F.transform(pieces, lambda x: F.regexp_extract(x, r"(?is)^<t[dh]\b[^>]*>(.*?)(?:</t[dh]\b|\z)", 1))
-    return F.transform(inner, lambda x: _strip_tags(x))
+    inner = F.transform(pieces, lambda x: _content(x, r"</t[dh]\b"))
+    # Two steps: the second reads the text at several places, and in a lambda each of them would cut the tags again.
+    return F.transform(F.transform(inner, lambda x: _text_nodes(x, "")), decode_entities)
 
 
 def _first_table(page: Column) -> Column:
@@ -192,7 +207,7 @@ def explode_html_table(df: DataFrame, col: str, keep: Sequence[str] = ()) -> Dat
     # Most pages have one table, or none inside another: there the rows are those up to its end.
     tags = F.lower(F.array_join(F.regexp_extract_all(page, F.lit(r"(?i)</?table"), F.lit(0)), ""))
     nested = tags.contains("<table<table")
-    simple = _elements(F.regexp_extract(page, r"(?is)<table>(.*?)(?:</table|\z)", 1), "tr")
+    simple = _elements(F.get(F.split(F.get(F.split(page, "(?i)<table>", 2), F.lit(1)), "(?i)</table", 2), F.lit(0)), "tr")
     lines = F.when(nested, _nested_lines(_first_table(page))).otherwise(simple)
     header = F.transform(_cells(F.get(F.col("_lines"), F.lit(0)), "th|td"), F.lower)
     body = F.transform(
@@ -257,7 +272,7 @@ def dated_values(
     """
     dates, values = _positions(F.col("header"), date_words), _positions(F.col("header"), value_words)
     raw_date = F.get("cells", F.get(dates, F.lit(0)))
-    raw_value = F.replace(F.get("cells", F.get(values, F.size(values) - 1)), F.lit(","), F.lit(""))
+    raw_value = F.replace(F.get("cells", F.try_element_at(values, F.lit(-1))), F.lit(","), F.lit(""))
     found = F.struct(extract_ad_date(raw_date).alias("d"), to_float(raw_value).alias("value"))
     whole = F.filter(F.array(found), lambda r: r["d"].isNotNull() & r["value"].isNotNull())
     return rows.select(*keep, "row_no", F.inline(whole).alias("d", "value"))
