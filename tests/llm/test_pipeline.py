@@ -111,3 +111,14 @@ def test_odd_rows_run_through(spark, store):
     assert rows and 20 not in {r.doc_id for r in rows}
     empty = store(documents=[], labels=(labels[0], []), benchmark=("item_id long, text string", []))
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_packing_encodes_small_pieces(spark, docs, monkeypatch):
+    from tidemark.llm import packing
+
+    monkeypatch.setattr(packing, "PIECE_BYTES", 1000)
+    rows = [(i, f"word{i} " * (i % 50)) for i in range(200)]
+    cut = {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in packing.pack(docs(rows).coalesce(1), size=65536).collect()}
+    monkeypatch.setattr(packing, "PIECE_BYTES", 8 << 20)
+    whole = {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in packing.pack(docs(rows).coalesce(1), size=65536).collect()}
+    assert cut.keys() == whole.keys() and {k: n for k, (n, _) in cut.items()} == {k: n for k, (n, _) in whole.items()}

@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_number, read_table, texts_of, tidied
 from tidemark.llm.token_ids import encode, parts_of, vocabulary_path
 
+#: Text encoded at a time: a worker also holds two tokenizers and the words it has met, beside what other stages left to its executor.
+PIECE_BYTES = 1 << 20
+
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -138,7 +141,7 @@ def pack(
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(size, linear, quadratic, block_docs, TaskContext.get().partitionId())
-        for batch in (piece for whole in batches for piece in parts_of(whole, 1)):
+        for batch in (piece for whole in batches for piece in parts_of(whole, 1, PIECE_BYTES)):
             ids, offsets = encode(texts_of(batch.column(1)), path)
             for doc_id, begin, end in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                 packer.add(doc_id, ids[begin:end])
