@@ -125,3 +125,20 @@ def test_context_stops_at_the_text():
     before = lm.with_context(np.array([1, 2, 3, 4, 5], np.uint8), np.array([0, 3, 5]))
     s = lm.START
     assert before.tolist() == [[s, s, s], [1, s, s], [2, 1, s], [s, s, s], [4, s, s]]
+
+
+def test_each_context_is_normalised_once(monkeypatch):
+    import numpy as np
+
+    from tidemark.llm import language_model as lm
+
+    model, seen = lm.Model.fresh(np.arange(lm.CLASSES)), []
+    plain = model.log_totals
+    monkeypatch.setattr(model, "log_totals", lambda before: seen.append(len(before)) or plain(before))
+    classes = np.tile(np.array([3, 1, 4, 1, 5], np.uint8), 2000)
+    before = lm.with_context(classes, np.array([0, len(classes)]))
+    got = model.log10(before, classes)
+    assert seen == [len(np.unique(before, axis=0))] and seen[0] < 10
+    scores = (model.predicted(before) @ model.target.T + model.bias).astype(np.float64)
+    want = (scores[np.arange(len(classes)), classes] - np.log(np.exp(scores).sum(axis=1))) / np.log(10)
+    assert np.allclose(got, want, atol=1e-5)

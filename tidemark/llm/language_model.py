@@ -44,7 +44,7 @@ START = CLASSES  # what stands before a text
 ORDER, WIDTH, NOISE, BLOCK, ROUNDS, STEP, CALM = 3, 24, 64, 1024, 4, 0.1, 1e-6
 #: Words whose counts are broadcast, and the longest of them: at most 2^18 * (64 + 8) bytes or 19 MB.
 KNOWN, KNOWN_BYTES = 1 << 18, 64
-#: Tokens scored by one matrix product.
+#: Tokens or contexts scored by one matrix product.
 SCORED = 1 << 11
 
 
@@ -161,21 +161,34 @@ class Model:
             total = total + self.context[place][before[:, place]]
         return total
 
-    def log10(self, before: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Normalised log10 probabilities of the classes ``targets``."""
-        out = np.empty(len(targets))
+    def log_totals(self, before: np.ndarray) -> np.ndarray:
+        """The logarithm of the sum of exp(score) over all classes, for each context."""
+        out = np.empty(len(before))
         weights, ones = np.ascontiguousarray(self.target.T), np.ones(CLASSES, np.float32)
-        for at in range(0, len(targets), SCORED):
-            here = targets[at : at + SCORED]
+        for at in range(0, len(before), SCORED):
             scores = self.predicted(before[at : at + SCORED]) @ weights
             scores += self.bias
-            chosen, total = scores[np.arange(len(here)), here], np.exp(scores) @ ones
+            total, top = np.exp(scores) @ ones, 0.0
             if not (np.isfinite(total) & (total > 0)).all():  # beyond what single precision holds
                 top = scores.max(axis=1)
-                chosen, total = chosen - top, np.exp(scores - top[:, None]) @ ones
-            out[at : at + SCORED] = (chosen - np.log(total)) / np.log(10)
+                total = np.exp(scores - top[:, None]) @ ones
+            out[at : at + SCORED] = top + np.log(total.astype(np.float64))
         return out
 
+    def log10(self, before: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        """Normalised log10 probabilities of the classes ``targets``.
+
+        Texts come back to the same few words before a token again and again, so the sum over all classes is
+        computed once for each distinct context.
+        """
+        keys = before @ np.array([(CLASSES + 1) ** place for place in range(ORDER)], np.int32)
+        _, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        out = -self.log_totals(before[first])[place]
+        for at in range(0, len(targets), SCORED):
+            here, predicted = targets[at : at + SCORED], self.predicted(before[at : at + SCORED])
+            out[at : at + SCORED] += np.einsum("ij,ij->i", predicted, self.target[here]) + self.bias[here]
+        return out / np.log(10)
+
 
 class Trainer:
     """Noise-contrastive steps with a step size of its own for each number (Adagrad)."""
