@@ -64,6 +64,51 @@ def test_kept_words_are_bounded_and_right(monkeypatch):
         assert len(kept.words) <= 50 + 20
 
 
+def test_kept_words_are_looked_up_once_and_not_encoded_again(monkeypatch):
+    texts = pa.array([f"{a}{b} {a}{c}," for a in "abcdefgh" for b in ("%%%", "-1", "é!") for c in "xyz"], pa.large_string())
+    path = token_ids.vocabulary_path()
+    token_ids.kept_words.cache_clear()
+    lookups, given_out, whole = [], [], token_ids.load(path)
+
+    class Counted:
+        def encode_batch_fast(self, words, **how):
+            given_out.extend(w for w in words if w not in ",.")
+            return whole.encode_batch_fast(words, **how)
+
+    index_in = token_ids.pc.index_in
+    monkeypatch.setattr(token_ids.pc, "index_in", lambda *a, **k: lookups.append(1) or index_in(*a, **k))
+    monkeypatch.setattr(token_ids, "load", lambda path: Counted())
+    first = token_ids.encode(texts, path)
+    assert given_out and len(lookups) == 2, "plain and other words: all kept words are read once for each"
+    given_out.clear()
+    again = token_ids.encode(texts, path)
+    assert not given_out
+    monkeypatch.undo()
+    assert first[0].tolist() == again[0].tolist() == [i for t in texts.to_pylist() for i in plain_ids(t)[:-1] + [token_ids.END_ID]]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=8), st.sampled_from([1, 30, 1 << 20]))
+def test_words_encoded_in_one_text_are_as_alone(texts, split):
+    texts = [t.replace("\0", "") for t in texts]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_ids, "SPLIT_BYTES", split)
+        ids, offsets = token_ids.encode(pa.array(texts, pa.large_string()), token_ids.vocabulary_path())
+    assert len(offsets) == len(texts) + 1
+    for text, begin, end in zip(texts, offsets, offsets[1:]):
+        assert ids[begin:end].tolist() == plain_ids(text)
+
+
+def test_long_words_are_not_kept():
+    path = token_ids.vocabulary_path()
+    token_ids.kept_words.cache_clear()
+    texts = ["x" * 5000, "%5" * 900, "漢字" * 400, "a|b | ||", "short -5"]
+    ids, offsets = token_ids.encode(pa.array(texts, pa.large_string()), path)
+    for text, begin, end in zip(texts, offsets, offsets[1:]):
+        assert ids[begin:end].tolist() == plain_ids(text)
+    assert [kept.words.to_pylist() for kept in token_ids.kept_words(path)] == [["short"], ["-5"]]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(1, 32).flatmap(lambda b: st.tuples(st.just(b), st.lists(st.integers(0, 2**b - 1), max_size=300))))
 def test_bits_round_trip(case):

@@ -4,7 +4,7 @@ White space never joins two pieces of this vocabulary, so a text's ids are its w
 after another. Each distinct word of a batch is therefore encoded once, and the texts are put
 together from the words' ids with numpy. Words of plain Latin letters, with at most one comma
 or full stop behind them, need none of the vocabulary's normalising and cutting; they go to
-the same merges by a shorter way.
+the same merges by a shorter way. A worker keeps the ids of short words of both kinds.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tidemark.llm.common import split_words, word_codes
+from tidemark.llm.common import split_words, texts_of, word_codes
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -29,12 +29,16 @@ LETTERS = "[a-zß-öø-ÿ]+"
 #: Words encoded in one call, which bounds the memory that the tokenizer's own objects take.
 CALL = 512
 
-#: Plain words whose ids a worker keeps.
+#: Words of a kind whose ids a worker keeps, and the most bytes of such a word.
 KEPT = 1 << 19
+LONGEST = 32
 
 #: Bytes of text that are worked on at a time.
 PART_BYTES = 8 << 20
 
+#: Bytes of text that are cut into words at a time.
+SPLIT_BYTES = 1 << 20
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -53,7 +57,7 @@ def load(path: str):
 
 @lru_cache(maxsize=2)
 def load_plain(path: str):
-    """(the tokenizer for plain words between blanks, the id that stands for a separator)."""
+    """(the tokenizer for plain words between blanks, the id that stands for a separator here and in the whole tokenizer)."""
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     load(path)
@@ -76,10 +80,25 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[places]
 
 
+def joined_ids(tokenizer, separator: int, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words one after another, ids of each): words without a ``|``, many of them in one text."""
+    parts = [np.zeros(0, np.uint32)]
+    for at in range(0, len(words), 16 * CALL):
+        joined, ids = [" | ".join(words[k : k + CALL]) for k in range(at, min(at + 16 * CALL, len(words)), CALL)], []
+        for found in tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids += found.ids
+            ids.append(separator)
+        parts.append(np.array(ids, np.uint32))
+    flat = np.concatenate(parts)
+    cuts = np.flatnonzero(flat == separator)
+    return np.delete(flat, cuts), np.diff(cuts, prepend=-1) - 1
+
+
 class PlainWords:
     """Ids of plain words, kept from batch to batch in a worker: at most ``KEPT`` words.
 
-    When they are full, those not met since the last time are dropped.
+    When they are full, those not met since the last time are dropped. A look-up reads all kept
+    words, so it should come once for many words.
     """
 
     def __init__(self, path: str):
@@ -88,47 +107,50 @@ class PlainWords:
         self.ids, self.sizes, self.met = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool)
 
     def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        plain, separator = load_plain(self.path)
-        texts, ids = words.to_pylist(), []
-        for at in range(0, len(texts), 16 * CALL):
-            joined = [" | ".join(texts[k : k + CALL]) for k in range(at, min(at + 16 * CALL, len(texts)), CALL)]
-            for found in plain.encode_batch_fast(joined, add_special_tokens=False):
-                ids += found.ids
-                ids.append(separator)
-        flat = np.array(ids, np.uint32)
-        cuts = np.flatnonzero(flat == separator)
-        return np.delete(flat, cuts), np.diff(cuts, prepend=-1) - 1
-
-    def _add(self, words: pa.Array) -> None:
-        if len(self.words) + len(words) > KEPT:  # never drops a word that the present batch has
-            begins = np.cumsum(self.sizes) - self.sizes
-            self.ids = gather(self.ids, begins[self.met], self.sizes[self.met])
-            self.words, self.sizes = self.words.filter(pa.array(self.met)), self.sizes[self.met]
-            self.met = np.zeros(len(self.sizes), bool)
-        ids, sizes = self._encoded(words)
-        self.words = pa.concat_arrays([self.words, words])
-        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-        self.met = np.concatenate([self.met, np.zeros(len(sizes), bool)])
+        return joined_ids(*load_plain(self.path), words.to_pylist())
+
+    def _drop(self) -> np.ndarray:
+        """Drops the words not met; the others' new places."""
+        begins = np.cumsum(self.sizes) - self.sizes
+        places = np.cumsum(self.met) - 1
+        self.ids = gather(self.ids, begins[self.met], self.sizes[self.met])
+        self.words, self.sizes = self.words.filter(pa.array(self.met)), self.sizes[self.met]
+        self.met = np.zeros(len(self.sizes), bool)
+        return places
 
     def get(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words one after another, ids of each): distinct words of ``LETTERS`` alone."""
+        """(ids of all words one after another, ids of each), of distinct words."""
         place = pc.index_in(words, value_set=self.words)
-        new = words.filter(pc.is_null(place))
-        self.met[place.drop_null().to_numpy()] = True
-        if len(new):
-            self._add(new)
-            place = pc.index_in(words, value_set=self.words)
-        at = place.to_numpy().astype(np.int64)
+        new = pc.is_null(place).to_numpy(zero_copy_only=False)
+        at = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        self.met[at[~new]] = True
+        if new.any():
+            added = words.filter(pa.array(new))
+            if len(self.words) + len(added) > KEPT:  # never drops a word that the present batch has
+                at[~new] = self._drop()[at[~new]]
+            at[new] = len(self.words) + np.arange(len(added))
+            ids, sizes = self._encoded(added)
+            self.words = pa.concat_arrays([self.words, added])
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+            self.met = np.concatenate([self.met, np.zeros(len(sizes), bool)])
         begins = np.cumsum(self.sizes) - self.sizes
         return gather(self.ids, begins[at], self.sizes[at]), self.sizes[at]
 
 
+class OtherWords(PlainWords):
+    """Ids of any words without a ``|``, kept alike, by the whole tokenizer."""
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        _, separator = load_plain(self.path)
+        return joined_ids(load(self.path), separator, words.to_pylist())
+
+
 @lru_cache(maxsize=1)
-def plain_words(path: str) -> PlainWords:
-    return PlainWords(path)
+def kept_words(path: str) -> tuple[PlainWords, OtherWords]:
+    return PlainWords(path), OtherWords(path)
 
 
-def _other_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+def _single_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     tokenizer, ids, lengths = load(path), [], []
     for at in range(0, len(words), 4 * CALL):
         for found in tokenizer.encode_batch_fast(words.slice(at, 4 * CALL).to_pylist(), add_special_tokens=False):
@@ -139,11 +161,17 @@ def _other_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def word_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words one after another, how many ids each word has)."""
-    plain = pc.match_substring_regex(words, f"^{LETTERS}[.,]?$").to_numpy(zero_copy_only=False)
+    short = pc.less_equal(pc.binary_length(words), LONGEST)
+    plain = pc.and_(short, pc.match_substring_regex(words, f"^{LETTERS}[.,]?$")).to_numpy(zero_copy_only=False)
+    other = pc.and_not(short, pc.match_substring(words, "|")).to_numpy(zero_copy_only=False) & ~plain
+    single = ~(plain | other)
     simple = words.filter(pa.array(plain))
     codes, stems = word_codes(pc.utf8_rtrim(simple, characters=".,"))
-    marks = [_other_ids(pa.array([m], pa.large_string()), path) for m in ",."]
-    tables = [plain_words(path).get(stems), _other_ids(words.filter(pa.array(~plain)), path), *marks]
+    plain_words, other_words = kept_words(path)
+    tables = [
+        plain_words.get(stems), other_words.get(words.filter(pa.array(other))), _single_ids(words.filter(pa.array(single)), path),
+        _single_ids(pa.array([",", "."], pa.large_string()), path),
+    ]
     flat = np.concatenate([ids for ids, _ in tables])
     sizes = np.concatenate([n for _, n in tables])
     begins = np.cumsum(sizes) - sizes
@@ -151,7 +179,8 @@ def word_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     # Each word is one entry of the tables, and for some a second one: the mark behind it.
     entry = np.zeros((len(words), 2), np.int64)
     entry[plain, 0] = codes
-    entry[~plain, 0] = len(stems) + np.arange(int((~plain).sum()))
+    entry[other, 0] = len(stems) + np.arange(int(other.sum()))
+    entry[single, 0] = len(stems) + int(other.sum()) + np.arange(int(single.sum()))
     second = np.zeros(len(simple), np.int64)
     second[pc.ends_with(simple, ",").to_numpy(zero_copy_only=False)] = comma
     second[pc.ends_with(simple, ".").to_numpy(zero_copy_only=False)] = stop
@@ -162,18 +191,30 @@ def word_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, each followed by ``end_id``; where each text's ids begin, and the end)."""
-    words, starts = split_words(_folded(texts))
-    codes, distinct = word_codes(words)
+    """(ids of all texts, each followed by ``end_id``; where each text's ids begin, and the end).
+
+    Texts are cut into words, and put together from ids, ``SPLIT_BYTES`` at a time, which is what
+    takes memory; their distinct words are encoded together, which is what takes time.
+    """
+    split = []
+    for piece in parts_of(pa.RecordBatch.from_arrays([texts], names=["text"]), 0, SPLIT_BYTES):
+        words, starts = split_words(_folded(texts_of(piece.column(0))))
+        codes, own = word_codes(words)
+        split.append((codes.astype(np.int32), starts, own))
+    known, distinct = word_codes(pa.concat_arrays([own for _, _, own in split] or [pa.array([], pa.large_string())]))
+    known = np.split(known, np.cumsum([len(own) for _, _, own in split])[:-1])
     ids, sizes = word_ids(distinct, path)
     # One more entry stands for the end of a text.
     vocabulary, sizes = np.append(ids, np.uint32(end_id)), np.append(sizes, 1)
     begins = np.cumsum(sizes) - sizes
-    sequence = np.insert(codes, starts[1:], len(distinct))
-    lengths = sizes[sequence]
-    flat = gather(vocabulary, begins[sequence], lengths)
-    ends = np.cumsum(lengths)[starts[1:] + np.arange(len(texts))]
-    return flat, np.concatenate(([0], ends)).astype(np.int64)
+    flat, counts = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+    for (codes, starts, _), entries in zip(split, known):
+        sequence = np.insert(entries[codes], starts[1:], len(distinct))
+        lengths = sizes[sequence]
+        flat.append(gather(vocabulary, begins[sequence], lengths))
+        ends = np.cumsum(lengths)[starts[1:] + np.arange(len(starts) - 1)]
+        counts.append(np.diff(ends, prepend=0))
+    return np.concatenate(flat), np.cumsum(np.concatenate(counts))
 
 
 def parts_of(batch: pa.RecordBatch, column: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
