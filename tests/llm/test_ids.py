@@ -99,6 +99,20 @@ def test_words_encoded_in_one_text_are_as_alone(texts, split):
         assert ids[begin:end].tolist() == plain_ids(text)
 
 
+def test_kept_words_are_dropped_with_their_task():
+    path = token_ids.vocabulary_path()
+    token_ids.kept_words.cache_clear()
+
+    @token_ids.forgetting
+    def task(batches):
+        for texts in batches:
+            yield token_ids.encode(pa.array(texts, pa.large_string()), path)[0].tolist()
+
+    kept = [(ids, len(token_ids.kept_words(path)[0].words)) for ids in task([["some words"], ["more words"]])]
+    assert kept == [(plain_ids("some words"), 2), (plain_ids("more words"), 3)]
+    assert not len(token_ids.kept_words(path)[0].words)
+
+
 def test_long_words_are_not_kept():
     path = token_ids.vocabulary_path()
     token_ids.kept_words.cache_clear()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_number, read_table, texts_of, tidied
-from tidemark.llm.token_ids import VOCABULARY_SIZE, encode, parts_of, vocabulary_path
+from tidemark.llm.token_ids import VOCABULARY_SIZE, encode, forgetting, parts_of, vocabulary_path
 from tidemark.session import scratch_path
 
 #: Bytes of text whose distinct words are encoded together.
@@ -136,6 +136,7 @@ def write_ids(
     path, bits = vocabulary or vocabulary_path(), id_bits(vocabulary_size)
 
     @tidied
+    @forgetting
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, before = TaskContext.get().partitionId(), 0, 0
         chunks: list[np.ndarray] = []

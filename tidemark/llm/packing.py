@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_number, read_table, texts_of, tidied
-from tidemark.llm.token_ids import encode, parts_of, vocabulary_path
+from tidemark.llm.token_ids import encode, forgetting, parts_of, vocabulary_path
 
-#: Text encoded at a time: a worker also holds two tokenizers and the words it has met, beside what other stages left to its executor.
+#: Text encoded at a time: a worker also holds the tokenizer and the words a task has met, beside what other stages left to its executor.
 #: Each piece's distinct words are looked up among all kept ones, so much smaller pieces take twice the time.
 PIECE_BYTES = 4 << 20
 
@@ -140,6 +140,7 @@ def pack(
         raise ValueError("size must be a power of two")
 
     @tidied
+    @forgetting
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(size, linear, quadratic, block_docs, TaskContext.get().partitionId())
         for batch in (piece for whole in batches for piece in parts_of(whole, 1, PIECE_BYTES)):

@@ -4,14 +4,14 @@ White space never joins two pieces of this vocabulary, so a text's ids are its w
 after another. Each distinct word of a batch is therefore encoded once, and the texts are put
 together from the words' ids with numpy. Words of plain Latin letters, with at most one comma
 or full stop behind them, need none of the vocabulary's normalising and cutting; they go to
-the same merges by a shorter way. A worker keeps the ids of short words of both kinds.
+the same merges by a shorter way. A task keeps the ids of short words of both kinds.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ LETTERS = "[a-zß-öø-ÿ]+"
 #: Words encoded in one call, which bounds the memory that the tokenizer's own objects take.
 CALL = 512
 
-#: Words of a kind whose ids a worker keeps, and the most bytes of such a word.
+#: Words of a kind whose ids a task keeps, and the most bytes of such a word.
 KEPT = 1 << 19
 LONGEST = 32
 
@@ -58,11 +58,9 @@ def load(path: str):
 @lru_cache(maxsize=2)
 def load_plain(path: str):
     """(the tokenizer for plain words between blanks, the id that stands for a separator here and in the whole tokenizer)."""
-    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    load(path)
-    plain = Tokenizer.from_file(path)
-    plain.normalizer = normalizers.Sequence([])
+    plain = Tokenizer(load(path).model)  # the same model, not a second one in memory
     plain.pre_tokenizer = pre_tokenizers.Sequence(
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
     )
@@ -95,7 +93,7 @@ def joined_ids(tokenizer, separator: int, words: list[str]) -> tuple[np.ndarray,
 
 
 class PlainWords:
-    """Ids of plain words, kept from batch to batch in a worker: at most ``KEPT`` words.
+    """Ids of plain words, kept from batch to batch of a task: at most ``KEPT`` words.
 
     When they are full, those not met since the last time are dropped. A look-up reads all kept
     words, so it should come once for many words.
@@ -150,6 +148,19 @@ def kept_words(path: str) -> tuple[PlainWords, OtherWords]:
     return PlainWords(path), OtherWords(path)
 
 
+def forgetting(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's generator, after which its kept words are dropped: Spark keeps Python workers, and other stages need the memory."""
+
+    @wraps(work)
+    def run(*given: object) -> Iterator:
+        try:
+            yield from work(*given)
+        finally:
+            kept_words.cache_clear()
+
+    return run
+
+
 def _single_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     tokenizer, ids, lengths = load(path), [], []
     for at in range(0, len(words), 4 * CALL):
